@@ -18,22 +18,13 @@ from wattlake.operators.lookup import with_dimension
 _BITS = 32
 
 
-def distinct_times(time: Column) -> Column:
-    """Exact number of distinct timestamps in one calendar day, null counting as a value.
-
-    Timestamps on the hour are collected as bits of one integer, which every map task can
-    combine before the shuffle.  Only timestamps off the hour go through COUNT(DISTINCT); an
-    hourly table has none, so it is shuffled as one row per group instead of one per hour.
-    """
-    on_the_hour = F.date_trunc("hour", time) == time
+def _hour_bit(time: Column, on_the_hour: Column) -> Column:
     hour = F.pmod(F.floor(F.unix_seconds(time) / 3600), F.lit(_BITS)).cast("int")
-    bit = (
+    return (
         F.when(time.isNull(), F.lit(1 << _BITS))
         .when(on_the_hour, F.call_function("shiftleft", F.lit(1).cast("long"), hour))
         .otherwise(F.lit(0).cast("long"))
     )
-    off_the_hour = F.count_distinct(F.when(~on_the_hour, time))
-    return (F.bit_count(F.bit_or(bit)) + off_the_hour).cast("int")
 
 
 def daily_totals(
@@ -42,14 +33,36 @@ def daily_totals(
     sums: Mapping[str, str],
     time_col: str = "datetime_utc",
     time_zone: str | None = None,
+    cluster_by: Sequence[str] = (),
 ) -> DataFrame:
     """Per group and day: one sum per ``output name -> measure`` and the hours covered.
 
-    A null measure adds 0 but its hour still counts.
+    A null measure adds 0 but its hour still counts; hours are distinct timestamps, null
+    counting as one.  The first aggregation groups by day and, only for timestamps off the
+    hour, by the timestamp; those on the hour are collected as bits of one integer.  So map
+    tasks combine an hourly table to one row per group and day before anything is shuffled,
+    and the count stays exact for any timestamps.
+
+    ``cluster_by`` names columns, a subset of the group and ``date_utc``, that the caller
+    partitions a window by: the second aggregation then runs on that partitioning and the
+    window needs no shuffle of its own.
     """
-    return df.groupBy(*by, day_of(F.col(time_col), time_zone).alias("date_utc")).agg(
+    time = F.col(time_col)
+    on_the_hour = F.date_trunc("hour", time) == time
+    by_time = df.groupBy(
+        *by,
+        day_of(time, time_zone).alias("date_utc"),
+        F.when(~on_the_hour, time).alias("off_the_hour"),
+    ).agg(
         *(total(F.col(measure)).alias(name) for name, measure in sums.items()),
-        distinct_times(F.col(time_col)).alias("hours_covered"),
+        F.bit_or(_hour_bit(time, on_the_hour)).alias("hours"),
+    )
+    if cluster_by:
+        by_time = by_time.repartition(*cluster_by)
+    hours_covered = F.bit_count(F.bit_or("hours")) + F.count("off_the_hour")
+    return by_time.groupBy(*by, "date_utc").agg(
+        *(F.sum(name).alias(name) for name in sums),
+        hours_covered.cast("int").alias("hours_covered"),
     )
 
 
@@ -64,10 +77,11 @@ def add_day_columns(df: DataFrame, time_zone: str | None = None) -> DataFrame:
     )
 
 
-def share_of_total(value: str, by: Sequence[str]) -> Column:
+def with_share(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:
     """Percentage of the group's total; null unless the total is positive."""
-    group_total = F.sum(value).over(Window.partitionBy(*by))
-    return F.when(group_total > 0, F.col(value) / group_total * 100)
+    whole = F.sum(value).over(Window.partitionBy(*by))
+    share = F.when(F.col("_whole") > 0, F.col(value) / F.col("_whole") * 100)
+    return df.withColumn("_whole", whole).withColumn(name, share).drop("_whole")
 
 
 def daily_relative_mix(
@@ -77,12 +91,17 @@ def daily_relative_mix(
 
     The window runs on daily rows, so a partition holds one zone-day's sources.
     """
-    production = mix.filter(~F.col("source").endswith("_charge"))
+    zone_day = ["zone", "date_utc"]
     daily = daily_totals(
-        production, ["zone", "source"], {"energy_mwh": "power_mw"}, time_zone=time_zone
-    ).withColumn("percentage", share_of_total("energy_mwh", ["zone", "date_utc"]))
+        mix.filter(~F.col("source").endswith("_charge")),
+        ["zone", "source"],
+        {"energy_mwh": "power_mw"},
+        time_zone=time_zone,
+        cluster_by=zone_day,
+    )
+    shares = with_share(daily, "energy_mwh", zone_day, "percentage")
     product = with_dimension(
-        add_day_columns(daily, time_zone), zones, "zone", ["zone_name", "country_code"]
+        add_day_columns(shares, time_zone), zones, "zone", ["zone_name", "country_code"]
     ).select(
         "date_utc", "period_start_utc", "period_end_utc", "hours_covered",
         "zone", "zone_name", "country_code", "source", "energy_mwh", "percentage", "year",

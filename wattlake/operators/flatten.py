@@ -25,23 +25,25 @@ def _entries(
         FAIL_FAST,
     )
     response = F.col("document.response")
+    entry = F.col("entry")
     return (
         records.select(*carry, document.alias("document"))
+        # The document's own fields become columns first, so that exploding the history does
+        # not copy the whole document to every entry.
         .select(
             *carry,
             required(response["zone"], "response.zone").alias("zone"),
             parse_iso(required(F.col("document.ingested_at"), "ingested_at")).alias("ingested_at"),
-            F.posexplode(required(response["history"], "response.history")).alias(
-                POSITION, "entry"
-            ),
+            required(response["history"], "response.history").alias("history"),
         )
+        .select(*carry, "zone", "ingested_at", F.posexplode("history").alias(POSITION, "entry"))
         .select(
             *carry,
             POSITION,
             "zone",
             "ingested_at",
-            parse_iso(required(F.col("entry.datetime"), "datetime")).alias("datetime_utc"),
-            parse_iso(F.col("entry.updatedAt")).alias("updated_at"),
+            parse_iso(required(entry["datetime"], "datetime")).alias("datetime_utc"),
+            parse_iso(entry["updatedAt"]).alias("updated_at"),
             "entry",
         )
     )
@@ -52,45 +54,49 @@ def is_estimated(method: Column) -> Column:
     return F.coalesce(method != "MEASURED", F.lit(False))
 
 
+def _number(reading: Column) -> Column:
+    """A VARIANT number or null as a double; anything else, quoted numbers too, fails."""
+    numeric = F.schema_of_variant(reading).rlike("^(VOID|BIGINT|DECIMAL|DOUBLE)")
+    refused = F.raise_error(F.concat(F.lit("not a number: "), F.to_json(reading)))
+    return F.when(numeric, F.variant_get(reading, "$", "double")).otherwise(refused)
+
+
 def flatten_mix(
     records: DataFrame, text: str = "value", carry: Sequence[str] = (), skip: str = "flows"
 ) -> DataFrame:
     """One row per zone, hour and source.
 
     A ``mix`` value is a number, null, or an object such as a storage's charge and discharge,
-    which becomes one row per inner key (an empty object: none).  Values are parsed as VARIANT
-    and printed back, because that keeps a quoted number apart from a number: only the latter
-    is accepted.
+    which becomes one row per inner key (an empty object: none).  VARIANT keeps the JSON type
+    of each value, so objects are recognised without text tests and quoted numbers refused.
     """
     entries = _entries(
         records, "estimationMethod string, mix map<string,variant>", text, carry
     )
     shared = [*carry, POSITION, "zone", "datetime_utc", "estimation_method", "updated_at",
               "ingested_at"]
+    is_object = F.schema_of_variant("reading").startswith("OBJECT")
     values = (
         entries.withColumn("estimation_method", F.col("entry.estimationMethod"))
-        .select(*shared, F.explode(required(F.col("entry.mix"), "mix")).alias("name", "variant"))
+        .select(*shared, F.explode(required(F.col("entry.mix"), "mix")).alias("name", "reading"))
         .filter(F.col("name") != skip)
-        .select(*shared, "name", F.to_json("variant").alias("json"))
-    )
-    nested = F.col("json").startswith("{")
-    inner = F.transform_keys(
-        F.from_json("json", "map<string,double>", FAIL_FAST),
-        lambda key, _: F.concat(F.col("name"), F.lit("_"), key),
+        .withColumn("nested", is_object)
     )
-    scalar = F.when(~nested, F.nullif(F.col("json"), F.lit("null"))).cast("double")
+    inner = F.when(
+        F.col("nested"), F.variant_get("reading", "$", "map<string,variant>")
+    ).otherwise(F.create_map("name", "reading"))
+    source = F.when(
+        F.col("nested"), F.concat("name", F.lit("_"), "part")
+    ).otherwise(F.col("name"))
     return values.select(
-        *shared,
-        F.explode(
-            F.when(nested, inner).otherwise(F.create_map("name", scalar))
-        ).alias("name", "power_mw"),
+        *shared, "name", "nested", F.explode(inner).alias("part", "reading")
     ).select(
         *carry,
         *([POSITION] if carry else []),
         "zone",
         "datetime_utc",
-        F.replace("name", F.lit(" "), F.lit("_")).alias("source"),
-        "power_mw",
+        F.replace(source, F.lit(" "), F.lit("_")).alias("source"),
+        _number(F.col("reading")).alias("power_mw"),
         "estimation_method",
         is_estimated(F.col("estimation_method")).alias("is_estimated"),
         "updated_at",

@@ -41,9 +41,11 @@ def monthly_group_shares(
         .groupBy("month", "group")
         .agg(total(F.col("energy_mwh")).alias("energy_mwh"))
     )
-    whole = F.sum("energy_mwh").over(Window.partitionBy("month"))
+    whole = F.col("whole")
     share = F.when(whole != 0, F.col("energy_mwh") / whole * 100).otherwise(F.lit(float("nan")))
-    return monthly.select("month", "group", share.alias("share"))
+    return monthly.withColumn(
+        "whole", F.sum("energy_mwh").over(Window.partitionBy("month"))
+    ).select("month", "group", share.alias("share"))
 
 
 def monthly_mix_share(
@@ -100,14 +102,16 @@ def signed_exchange(exports: DataFrame, imports: DataFrame) -> DataFrame:
     return side(exports, "to", 1).unionByName(side(imports, "from", -1))
 
 
-def monthly_net_exchange(exports: DataFrame, imports: DataFrame) -> DataFrame:
+def monthly_net_exchange(
+    exports: DataFrame, imports: DataFrame, ordered: bool = True
+) -> DataFrame:
     """Net GWh per full month and neighbour; a day counts when any neighbour has it."""
-    return (
+    monthly = (
         full_months(signed_exchange(exports, imports))
         .groupBy("month", "neighbour", "name")
         .agg((total(F.col("net")) / 1000).alias("net_gwh"))
-        .orderBy("month", "neighbour")
     )
+    return monthly.orderBy("month", "neighbour") if ordered else monthly
 
 
 def top_partners(monthly: DataFrame, n: int = 8) -> DataFrame:

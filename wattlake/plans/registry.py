@@ -709,7 +709,7 @@ def _monthly_net_exchange(spark, sf_dir):
     ),
 )
 def _top_partners(spark, sf_dir):
-    return top_partners(monthly_net_exchange(*_exchange_tables(spark, sf_dir)))
+    return top_partners(monthly_net_exchange(*_exchange_tables(spark, sf_dir), ordered=False))
 
 
 @_query(
