@@ -12,6 +12,7 @@ from conftest import (
 )
 from pyspark.sql import functions as F
 
+from wattlake.__main__ import main
 from wattlake.operators.quality import percentages_sum_to_100
 from wattlake.plans.medallion import run
 from wattlake.plans.silver import STREAMS, load_new_bronze, rebuild, silver_rows
@@ -191,3 +192,18 @@ def test_duplicate_keys_block_only_the_tables_built_from_them(spark, lake):
     assert not report.succeeded and report.not_built == [DAILY_MIX.name]
     assert gold(spark, lake, DAILY_IMPORTS).count() == 1
     assert not Path(table_path(lake, "gold", DAILY_MIX.name)).exists()
+
+
+def test_the_command_line_runs_and_rebuilds(spark, lake, tmp_path):
+    zones = tmp_path / "zones.json"
+    zones.write_text('{"FR": {"zoneName": "France", "countryCode": "FR"}}')
+    write_bronze(lake, MIX.name, mix_document(2.0, NEWER))
+    write_bronze(lake, FLOWS.name, flows_document())
+    assert main([lake, str(zones)]) == 0
+    write_bronze(lake, MIX.name, mix_document(1.0, hours=4))  # late: only a rebuild sees it
+    assert main([lake, str(zones)]) == 0
+    assert silver(spark, lake).count() == 12
+    assert main([lake, str(zones), "--rebuild"]) == 0
+    assert silver(spark, lake).count() == 16 and nuclear(spark, lake) == [2.0]
+    assert gold(spark, lake, DAILY_MIX).first()["zone_name"] == "France"
+    assert not Path(mark_path(lake, MIX.name)).exists()

@@ -14,8 +14,9 @@ from wattlake.operators.quality import (
     unique_key,
 )
 from wattlake.plans.gold import build_daily_exchange, build_daily_relative_mix
-from wattlake.plans.silver import STREAMS, load_new_bronze
+from wattlake.plans.silver import STREAMS, load_new_bronze, rebuild
 from wattlake.schemas import DAILY_EXPORTS, DAILY_IMPORTS, DAILY_MIX, FLOWS, MIX
+from wattlake.sources.files import exists
 from wattlake.sources.tables import read_table, table_exists, table_path
 
 
@@ -47,18 +48,36 @@ def run(
     now: datetime | None = None,
     layout: str = "files",
 ) -> RunReport:
-    """Bronze to Silver to Gold.
+    """Load what is new in Bronze into Silver, check it and rebuild Gold."""
+    report = RunReport()
+    for name in STREAMS:
+        report.files_loaded[name] = load_new_bronze(spark, lake, name, now, layout)
+    return build_checked(spark, lake, zones, report)
+
+
+def rebuild_all(
+    spark: SparkSession, lake: str, zones: DataFrame, layout: str = "files"
+) -> RunReport:
+    """Recompute Silver from all of Bronze, drop the marks and rebuild Gold."""
+    for name, stream in STREAMS.items():
+        if exists(spark, stream.bronze(lake)):
+            rebuild(spark, lake, name, layout)
+    return build_checked(spark, lake, zones, RunReport())
+
+
+def build_checked(
+    spark: SparkSession, lake: str, zones: DataFrame, report: RunReport
+) -> RunReport:
+    """Gold from Silver, with the checks.
 
     A Silver table with duplicate keys blocks the Gold tables built from it, and only those.
     Missing hours are a warning; percentages not adding up are an error found after the build.
     """
-    report = RunReport()
     products = {
         MIX.name: (build_daily_relative_mix, [DAILY_MIX.name]),
         FLOWS.name: (build_daily_exchange, [DAILY_IMPORTS.name, DAILY_EXPORTS.name]),
     }
     for name, stream in STREAMS.items():
-        report.files_loaded[name] = load_new_bronze(spark, lake, name, now, layout)
         build, gold_tables = products[name]
         if not table_exists(spark, stream.silver(lake)):
             report.not_built.extend(gold_tables)

@@ -50,19 +50,26 @@ STREAMS = {
 def silver_rows(records: DataFrame, stream: Stream) -> DataFrame:
     """Flat rows of a set of documents, the newest ingestion per key, ready to be merged.
 
-    Equal ingestion times go to the later file name and then the later position in the file.
+    Equal ingestion times go to the later file name and then the later position in the file;
+    names are carried without their stamp, which is equal then, to keep shuffled rows short.
     A document whose own ``ingested_at`` differs from the stamp it is stored under fails the
     load: the mark is taken from stamps and could otherwise pass over documents.
     """
-    flat = stream.flatten(records, carry=["source_file", "stamp"])
+    name = F.substring_index("source_file", "/", -1)
+    named = records.withColumn("file_rest", F.regexp_replace(name, r"^\d{8}T\d{12}Z", ""))
+    flat = stream.flatten(named, carry=["file_rest", "stamp"])
     agreed = F.when(F.col("ingested_at") == F.col("stamp"), F.col("ingested_at")).otherwise(
-        F.raise_error(F.concat(F.lit("ingested_at differs from the stamp of "), "source_file"))
+        F.raise_error(
+            F.concat(
+                F.lit("ingested_at differs from the stamp "), F.col("stamp").cast("string")
+            )
+        )
     )
     latest = deduplicate(
         flat.withColumn("ingested_at", agreed).drop("stamp"),
         stream.contract.key,
-        tie_break=["source_file", POSITION],
-    ).drop("source_file", POSITION)
+        tie_break=["file_rest", POSITION],
+    ).drop("file_rest", POSITION)
     return add_partition_columns(latest)
 
 
