@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wattlake.functions.times import day_of, day_start
 from wattlake.functions.values import total
 from wattlake.operators.lookup import with_dimension
+from wattlake.schemas import DAILY_IMPORTS, DAILY_MIX
 
 # An hour of a day of at most 32 hours gets one of 32 bits; a null timestamp gets the next one.
 _BITS = 32
@@ -102,11 +103,8 @@ def daily_relative_mix(
     shares = with_share(daily, "energy_mwh", zone_day, "percentage")
     product = with_dimension(
         add_day_columns(shares, time_zone), zones, "zone", ["zone_name", "country_code"]
-    ).select(
-        "date_utc", "period_start_utc", "period_end_utc", "hours_covered",
-        "zone", "zone_name", "country_code", "source", "energy_mwh", "percentage", "year",
-    )
-    return product.orderBy("date_utc", "zone", "source") if ordered else product
+    ).select(*DAILY_MIX.schema.names)
+    return product.orderBy(*DAILY_MIX.key) if ordered else product
 
 
 def daily_net_flows(flows: DataFrame) -> DataFrame:
@@ -140,12 +138,8 @@ def exchange_table(
     named = add_day_columns(directed)
     for prefix in ("from_", "to_"):
         named = with_dimension(named, zones, "zone", ["zone_name", "country_code"], prefix)
-    product = named.select(
-        "date_utc", "period_start_utc", "period_end_utc", "hours_covered",
-        "from_zone", "from_zone_name", "from_country_code",
-        "to_zone", "to_zone_name", "to_country_code", "net_mwh", "year",
-    )
-    return product.orderBy("date_utc", "from_zone", "to_zone") if ordered else product
+    product = named.select(*DAILY_IMPORTS.schema.names)
+    return product.orderBy(*DAILY_IMPORTS.key) if ordered else product
 
 
 def daily_imports(flows: DataFrame, zones: DataFrame) -> DataFrame:

@@ -16,9 +16,26 @@ from wattlake.operators.flatten import is_estimated
 from wattlake.schemas import MIX
 
 
+# Columns of the supplied tables; declared, so no job has to look them up.
+_COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": """c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+                   c_mktsegment string""",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string,
+                 o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+                   l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+                   l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
+                 value double, props string""",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A stored table; its zone-less timestamps are UTC instants."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
     zoneless = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({name: F.col(name).cast("timestamp") for name in zoneless})
 
