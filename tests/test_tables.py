@@ -9,7 +9,9 @@ from wattlake.schemas import DAILY_IMPORTS, MIX
 from wattlake.sources import files
 from wattlake.sources.tables import (
     create_table,
+    existing_folders,
     merge_into_catalog,
+    partition_folders,
     read_table,
     replace_table,
     table_exists,
@@ -153,3 +155,19 @@ def test_catalog_merge_needs_a_table_that_supports_it(spark):
             merge_into_catalog(rows(spark), "plain_mix", MIX)
     finally:
         spark.sql("DROP TABLE plain_mix")
+
+
+def test_partitions_are_found_without_listing_the_table(spark, uri):
+    assert partition_folders(spark, uri, MIX) == []
+    upsert(rows(spark), uri, MIX)
+    assert partition_folders(spark, uri, MIX) == ["year=2026/month=10/day=02"]
+    wanted = ["year=2026/month=10/day=02", "year=2026/month=10/day=03", "year=2027/month=01/day=01"]
+    assert existing_folders(spark, uri, wanted) == wanted[:1]
+    assert read_table(spark, uri, MIX, wanted[:1]).count() == 12
+    assert read_table(spark, uri, MIX, []).schema == MIX.schema
+
+
+def test_an_empty_batch_changes_nothing(spark, uri):
+    upsert(rows(spark), uri, MIX)
+    upsert(rows(spark).limit(0), uri, MIX)
+    assert read_table(spark, uri, MIX).count() == 12

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 def join_path(*parts: str) -> str:
     first, *rest = (str(part) for part in parts)
-    return "/".join([first.rstrip("/"), *(part.strip("/") for part in rest)])
+    return "/".join([first.rstrip("/"), *(part.strip("/") for part in rest if part)])
 
 
 def _open(spark: SparkSession, uri: str):

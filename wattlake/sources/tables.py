@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.operators.contract import conform, guard
@@ -32,9 +32,43 @@ def table_exists(spark: SparkSession, uri: str) -> bool:
     return bool(files.children(spark, uri))
 
 
-def read_table(spark: SparkSession, uri: str, contract: TableContract) -> DataFrame:
-    """The contract's schema is given, so partition strings such as '01' stay strings."""
-    return spark.read.schema(contract.schema).parquet(uri)
+def read_table(
+    spark: SparkSession,
+    uri: str,
+    contract: TableContract,
+    partitions: Sequence[str] | None = None,
+) -> DataFrame:
+    """A table, or the named partition folders of it, without listing the others.
+
+    The contract's schema is given, so partition strings such as '01' stay strings.
+    """
+    reader = spark.read.schema(contract.schema)
+    if partitions is None:
+        return reader.parquet(uri)
+    if not partitions:
+        return spark.createDataFrame([], contract.schema)
+    paths = [files.join_path(uri, folder) for folder in partitions]
+    return reader.option("basePath", uri).parquet(*paths)
+
+
+def partition_folders(spark: SparkSession, uri: str, contract: TableContract) -> list[str]:
+    """Relative folders of all partitions, such as ``year=2026/month=01/day=31``."""
+    folders = [""]
+    for _ in contract.partition_by:
+        folders = [
+            f"{folder}/{child}".lstrip("/")
+            for folder in folders
+            for child in files.children(spark, files.join_path(uri, folder))
+        ]
+    return folders
+
+
+def existing_folders(spark: SparkSession, uri: str, folders: Sequence[str]) -> list[str]:
+    """Those of the folders the table has, listing each parent folder once."""
+    found: dict[str, set[str]] = {}
+    for parent in {folder.rpartition("/")[0] for folder in folders}:
+        found[parent] = set(files.children(spark, files.join_path(uri, parent)))
+    return [f for f in folders if f.rpartition("/")[2] in found[f.rpartition("/")[0]]]
 
 
 def _publish(df: DataFrame, uri: str, contract: TableContract) -> None:
@@ -61,18 +95,14 @@ def create_table(df: DataFrame, uri: str, contract: TableContract) -> None:
     _publish(guard(conform(df, contract), contract), uri, contract)
 
 
-def _partition_values(columns: Sequence[str]) -> Column:
-    return F.concat_ws("/", *columns)
-
-
 def upsert(
     df: DataFrame, uri: str, contract: TableContract, newer_only: bool = False
 ) -> None:
     """Insert new keys and replace the rows of known keys; ``df`` has each key once.
 
     The batch is written once to the shared scratch folder, which validates it and gives Spark
-    its real size for the join.  Only the partitions it touches are read and rewritten; their
-    names are the only thing brought to the driver.
+    its real size for the join.  Only the partitions it touches are listed, read and
+    rewritten; their folder names are the only thing the driver handles.
 
     By default the batch always wins.  With ``newer_only`` a stored row with a later
     ``ingested_at`` is kept, which makes the result independent of arrival order.
@@ -86,13 +116,16 @@ def upsert(
     staged_uri = scratch_path(spark, f"{contract.name}-batch")
     try:
         _publish(batch, staged_uri, contract)
-        if not table_exists(spark, staged_uri):
+        touched = partition_folders(spark, staged_uri, contract)
+        if not touched:
             return
         staged = read_table(spark, staged_uri, contract)
-        touched = _partition_values(contract.partition_by)
-        names = [row[0] for row in staged.select(touched).distinct().collect()]
-        stored = read_table(spark, uri, contract).filter(touched.isin(names))
-        _publish(merged(stored, staged, contract, newer_only), uri, contract)
+        known = existing_folders(spark, uri, touched)
+        rows = staged
+        if known:
+            stored = read_table(spark, uri, contract, known)
+            rows = merged(stored, staged, contract, newer_only)
+        _publish(rows, uri, contract)
     finally:
         files.delete(spark, staged_uri)
 
