@@ -42,7 +42,8 @@ from wattlake.operators.report import (
     stack_positions,
     top_partners,
 )
-from wattlake.plans.gold import build_daily_relative_mix
+from wattlake.plans.gold import build_daily_exchange, build_daily_relative_mix
+from wattlake.plans.medallion import run
 from wattlake.plans.silver import load_new_bronze, rebuild
 from wattlake.plans.warehouse import (
     PRIORITY_GROUPS,
@@ -55,10 +56,17 @@ from wattlake.plans.warehouse import (
     table,
     zones,
 )
-from wattlake.schemas import DAILY_MIX, FLOWS, MIX
+from wattlake.schemas import (
+    DAILY_EXPORTS,
+    DAILY_IMPORTS,
+    DAILY_MIX,
+    FLOWS,
+    MIX,
+    TableContract,
+)
 from wattlake.session import configure, scratch_path
 from wattlake.sources.bronze import land, provenance, records_since
-from wattlake.sources.state import read_mark
+from wattlake.sources.state import read_mark, write_mark
 from wattlake.sources.tables import (
     create_table,
     read_table,
@@ -197,10 +205,10 @@ def _with(names: str, question: str, **pieces: str) -> str:
 
 def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
             return _comparable(build(configure(spark), sf_dir))
 
-        _QUERIES[name] = run
+        _QUERIES[name] = query
         if sql is not None:
             _SQL[name] = sql
         return build
@@ -340,7 +348,7 @@ _EXCHANGED = """
 @_query("flatten_flows_roundtrip", _with("flows", _EXCHANGED))
 def _flatten_flows_roundtrip(spark, sf_dir):
     root = table_path(_fresh_lake(spark, "flatten-flows"), "bronze", FLOWS.name)
-    land(flow_responses(spark, sf_dir), root)
+    land(flow_responses(spark, sf_dir, unreported_over=90), root)
     return flatten_flows(records_since(spark, root, layout="lines"))
 
 
@@ -585,6 +593,74 @@ def _bronze_to_gold_mix(spark, sf_dir):
     return read_table(spark, table_path(lake, "gold", DAILY_MIX.name), DAILY_MIX)
 
 
+@_query(
+    "bronze_to_gold_flows",
+    _with(
+        "zones flows net signed",
+        """SELECT CASE WHEN net_import_mwh > 0 THEN 'import' ELSE 'export' END AS direction,
+                  date_utc, hours_covered, from_zone, f.country_code AS from_country_code,
+                  to_zone, t.country_code AS to_country_code,
+                  round(abs(net_import_mwh), 6) AS net_mwh
+           FROM signed LEFT JOIN zones f ON f.zone = from_zone
+                       LEFT JOIN zones t ON t.zone = to_zone""",
+    ),
+)
+def _bronze_to_gold_flows(spark, sf_dir):
+    lake = _fresh_lake(spark, "gold-flows")
+    land(flow_responses(spark, sf_dir), table_path(lake, "bronze", FLOWS.name))
+    load_new_bronze(spark, lake, FLOWS.name, layout="lines")
+    build_daily_exchange(spark, lake, zones(spark, sf_dir))
+
+    def built(contract: TableContract, direction: str) -> DataFrame:
+        return read_table(spark, table_path(lake, "gold", contract.name), contract).select(
+            F.lit(direction).alias("direction"),
+            "date_utc", "hours_covered", "from_zone", "from_country_code",
+            "to_zone", "to_country_code", "net_mwh",
+        )
+
+    return built(DAILY_IMPORTS, "import").unionByName(built(DAILY_EXPORTS, "export"))
+
+
+@_query(
+    "run_checks",
+    _with(
+        "zones mix delivered silver daily_mix",
+        """SELECT 'electricity_mix_unique_key' AS check_name,
+                  count(*) = (SELECT count(*) FROM (SELECT DISTINCT zone, datetime_utc, source
+                                                    FROM silver)) AS passed
+           FROM silver
+           UNION ALL
+           SELECT 'electricity_mix_no_missing_hours',
+                  count(DISTINCT datetime_utc)
+                  = date_diff('hour', min(datetime_utc), max(datetime_utc)) + 1
+           FROM silver
+           UNION ALL
+           SELECT 'daily_relative_mix_sum_to_100', count(*) = 0
+           FROM (SELECT zone, date_utc FROM daily_mix GROUP BY 1, 2
+                 HAVING abs(coalesce(sum(percentage), 0) - 100) > 0.01)""",
+        readings="silver",
+    ),
+)
+def _run_checks(spark, sf_dir):
+    """The whole run on a lake with mix documents, and what its checks found."""
+    lake = _fresh_lake(spark, "run")
+    _landed_mix(spark, sf_dir, lake)
+    report = run(spark, lake, zones(spark, sf_dir), layout="lines")
+    found = [(name, result.passed) for name, result in report.checks.items()]
+    return spark.createDataFrame(found, "check_name string, passed boolean")
+
+
+@_query("reload_after_failure", _SILVER_ROWS)
+def _reload_after_failure(spark, sf_dir):
+    """A load whose mark was lost before it moved: the same documents are merged again."""
+    lake = _fresh_lake(spark, "reload")
+    _landed_mix(spark, sf_dir, lake)
+    load_new_bronze(spark, lake, MIX.name, layout="lines")
+    write_mark(spark, lake, MIX.name, datetime(2024, 1, 1, tzinfo=UTC))
+    load_new_bronze(spark, lake, MIX.name, datetime(2024, 12, 31, tzinfo=UTC), "lines")
+    return read_table(spark, table_path(lake, "silver", MIX.name), MIX)
+
+
 @_query(
     "bronze_since",
     _with(

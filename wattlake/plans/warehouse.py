@@ -249,10 +249,12 @@ def flow_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flow_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flow_responses(
+    spark: SparkSession, sf_dir: str, unreported_over: float | None = None
+) -> DataFrame:
     """Flows as raw JSON: one document per zone and month, an entry per time.
 
-    A direction without flow leaves its key out, and totals over 90 are reported as null.
+    A direction without flow leaves its key out; totals above a given limit are null.
     """
     totals = (
         flow_readings(spark, sf_dir)
@@ -262,9 +264,9 @@ def flow_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def members(amount: str) -> Column:
         value = F.col(amount)
-        reported = _number(F.when(value <= 90, value))
+        limited = value if unreported_over is None else F.when(value <= unreported_over, value)
         return F.sort_array(
-            F.collect_list(F.when(value > 0, _member(F.col("counterpart_zone"), reported)))
+            F.collect_list(F.when(value > 0, _member(F.col("counterpart_zone"), _number(limited))))
         )
 
     entry = F.concat(

@@ -1,7 +1,8 @@
 """Session settings the operators rely on, and the shared scratch location.
 
 Days, partitions and file stamps are UTC, so the session time zone must be UTC.  ANSI mode
-makes malformed casts fail instead of turning into nulls.
+makes malformed casts fail instead of turning into nulls.  Adaptive execution is what splits
+skewed joins and hot table partitions.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import SparkSession
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.adaptive.enabled": "true",
 }
 
 

@@ -10,7 +10,8 @@ rebuild from Bronze.  Tables of a catalog that supports row-level changes use
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +72,25 @@ def existing_folders(spark: SparkSession, uri: str, folders: Sequence[str]) -> l
     return [f for f in folders if f.rpartition("/")[2] in found[f.rpartition("/")[0]]]
 
 
+@contextmanager
+def _spread_small_writes(spark: SparkSession) -> Iterator[None]:
+    """Let a small write keep its tasks.
+
+    Adaptive execution merges shuffle partitions below 1 MB, so a little data for thousands of
+    table partitions would be written by one task, one file after the other.
+    """
+    setting = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "16k")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
 def _publish(df: DataFrame, uri: str, contract: TableContract) -> None:
     """Replace exactly the partitions present in ``df``.
 
@@ -78,14 +98,15 @@ def _publish(df: DataFrame, uri: str, contract: TableContract) -> None:
     large for one task; rows are sorted inside each file so readers can skip row groups.
     """
     partitions = contract.partition_by
-    (
-        df.hint("rebalance", *partitions)
-        .sortWithinPartitions(*partitions, *contract.key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(uri)
-    )
+    with _spread_small_writes(df.sparkSession):
+        (
+            df.hint("rebalance", *partitions)
+            .sortWithinPartitions(*partitions, *contract.key)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partitions)
+            .parquet(uri)
+        )
 
 
 def create_table(df: DataFrame, uri: str, contract: TableContract) -> None:
