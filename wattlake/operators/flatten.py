@@ -34,9 +34,14 @@ def _entries(
             *carry,
             required(response["zone"], "response.zone").alias("zone"),
             parse_iso(required(F.col("document.ingested_at"), "ingested_at")).alias("ingested_at"),
-            required(response["history"], "response.history").alias("history"),
+            response["history"].alias("history"),
+        )
+        .select(
+            *carry,
+            "zone",
+            "ingested_at",
+            F.posexplode(required(F.col("history"), "response.history")).alias(POSITION, "entry"),
         )
-        .select(*carry, "zone", "ingested_at", F.posexplode("history").alias(POSITION, "entry"))
         .select(
             *carry,
             POSITION,
@@ -56,7 +61,8 @@ def is_estimated(method: Column) -> Column:
 
 def _number(reading: Column) -> Column:
     """A VARIANT number or null as a double; anything else, quoted numbers too, fails."""
-    numeric = F.schema_of_variant(reading).rlike("^(VOID|BIGINT|DECIMAL|DOUBLE)")
+    kind = F.schema_of_variant(reading)
+    numeric = kind.isin("VOID", "BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
     refused = F.raise_error(F.concat(F.lit("not a number: "), F.to_json(reading)))
     return F.when(numeric, F.variant_get(reading, "$", "double")).otherwise(refused)
 
@@ -82,25 +88,33 @@ def flatten_mix(
         .filter(F.col("name") != skip)
         .withColumn("nested", is_object)
     )
-    inner = F.when(
-        F.col("nested"), F.variant_get("reading", "$", "map<string,variant>")
-    ).otherwise(F.create_map("name", "reading"))
-    source = F.when(
-        F.col("nested"), F.concat("name", F.lit("_"), "part")
-    ).otherwise(F.col("name"))
-    return values.select(
-        *shared, "name", "nested", F.explode(inner).alias("part", "reading")
-    ).select(
-        *carry,
-        *([POSITION] if carry else []),
-        "zone",
-        "datetime_utc",
-        F.replace(source, F.lit(" "), F.lit("_")).alias("source"),
-        _number(F.col("reading")).alias("power_mw"),
-        "estimation_method",
-        is_estimated(F.col("estimation_method")).alias("is_estimated"),
-        "updated_at",
-        "ingested_at",
+    nested, part = F.col("nested"), F.col("part")
+    inner = F.when(nested, F.variant_get("reading", "$", "map<string,variant>"))
+    source = F.when(nested, F.concat("name", F.lit("_"), part)).otherwise(F.col("name"))
+    power = F.when(nested, F.col("part_reading")).otherwise(F.col("reading"))
+    # The outer explode keeps a plain value as one row without a part; an empty object's row
+    # without a part is dropped.
+    return (
+        values.select(
+            *shared,
+            "name",
+            "reading",
+            "nested",
+            F.explode_outer(inner).alias("part", "part_reading"),
+        )
+        .filter(~nested | part.isNotNull())
+        .select(
+            *carry,
+            *([POSITION] if carry else []),
+            "zone",
+            "datetime_utc",
+            F.replace(source, F.lit(" "), F.lit("_")).alias("source"),
+            _number(power).alias("power_mw"),
+            "estimation_method",
+            is_estimated(F.col("estimation_method")).alias("is_estimated"),
+            "updated_at",
+            "ingested_at",
+        )
     )
 
 

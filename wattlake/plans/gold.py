@@ -13,7 +13,7 @@ from wattlake.schemas import (
     MIX,
     TableContract,
 )
-from wattlake.sources.tables import read_table, replace_table, table_path
+from wattlake.sources.tables import read_table, replace_table, staged, table_path
 
 
 def _silver(spark: SparkSession, lake: str, contract: TableContract) -> DataFrame:
@@ -30,10 +30,7 @@ def build_daily_relative_mix(spark: SparkSession, lake: str, zones: DataFrame) -
 
 
 def build_daily_exchange(spark: SparkSession, lake: str, zones: DataFrame) -> None:
-    """Imports and exports from one pass over Silver: the netted days are kept for both."""
-    net = daily_net_flows(_silver(spark, lake, FLOWS)).persist()
-    try:
+    """Imports and exports from one pass over Silver: the netted days are staged for both."""
+    with staged(daily_net_flows(_silver(spark, lake, FLOWS)), "net-flows") as net:
         _replace(exchange_table(net, zones, "import", ordered=False), lake, DAILY_IMPORTS)
         _replace(exchange_table(net, zones, "export", ordered=False), lake, DAILY_EXPORTS)
-    finally:
-        net.unpersist()

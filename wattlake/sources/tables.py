@@ -151,6 +151,21 @@ def upsert(
         files.delete(spark, staged_uri)
 
 
+@contextmanager
+def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """The frame computed once into the shared folder, for use by several jobs.
+
+    Unlike cached blocks, the files outlive the executors that wrote them.
+    """
+    spark = df.sparkSession
+    uri = scratch_path(spark, purpose)
+    try:
+        df.write.parquet(uri)
+        yield spark.read.schema(df.schema).parquet(uri)
+    finally:
+        files.delete(spark, uri)
+
+
 def merged(
     stored: DataFrame, batch: DataFrame, contract: TableContract, newer_only: bool = False
 ) -> DataFrame:
