@@ -15,8 +15,8 @@ from wattlake.functions.values import total
 from wattlake.operators.lookup import with_dimension
 from wattlake.schemas import DAILY_IMPORTS, DAILY_MIX
 
-# An hour of a day of at most 32 hours gets one of 32 bits; a null timestamp gets the next one.
-_BITS = 32
+# An hour of a day of at most 60 hours gets one of 60 bits; a null timestamp gets the next one.
+_BITS = 60
 
 
 def _hour_bit(time: Column, on_the_hour: Column) -> Column:

@@ -413,25 +413,25 @@ def _duplicate_rows(spark, sf_dir):
 
 _GAPS = _with(
     "mix",
-    """SELECT source, datetime_utc FROM (
-           SELECT source, unnest(generate_series(min(datetime_utc), max(datetime_utc),
-                                                 INTERVAL 1 HOUR)) AS datetime_utc
-           FROM mix GROUP BY source) g
+    """SELECT zone, source, datetime_utc FROM (
+           SELECT zone, source, unnest(generate_series(
+                      min(datetime_utc), max(datetime_utc), INTERVAL 1 HOUR)) AS datetime_utc
+           FROM mix GROUP BY zone, source) g
        WHERE NOT EXISTS (SELECT 1 FROM mix m
-                         WHERE m.source = g.source AND m.datetime_utc = g.datetime_utc)""",
+                         WHERE m.zone = g.zone AND m.source = g.source
+                           AND m.datetime_utc = g.datetime_utc)""",
 )
+_SERIES = ["zone", "source"]
 
 
 @_query("missing_hours", _GAPS)
 def _missing_hours(spark, sf_dir):
-    return missing_hours(mix_readings(spark, sf_dir), by=["source"])
+    return missing_hours(mix_readings(spark, sf_dir), by=_SERIES)
 
 
-@_query("missing_hours_sample", _GAPS + " ORDER BY datetime_utc, source LIMIT 5")
+@_query("missing_hours_sample", _GAPS + " ORDER BY datetime_utc, zone, source LIMIT 5")
 def _missing_hours_sample(spark, sf_dir):
-    return first_missing(
-        missing_hours(mix_readings(spark, sf_dir), by=["source"]), by=["source"]
-    )
+    return first_missing(missing_hours(mix_readings(spark, sf_dir), by=_SERIES), by=_SERIES)
 
 
 @_query(
