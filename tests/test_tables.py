@@ -1,4 +1,5 @@
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from conftest import documents, mix_document, moment
@@ -8,6 +9,7 @@ from wattlake.operators.flatten import add_partition_columns, flatten_mix
 from wattlake.schemas import DAILY_IMPORTS, MIX
 from wattlake.sources import files
 from wattlake.sources.tables import (
+    InterruptedMerge,
     create_table,
     existing_folders,
     merge_into_catalog,
@@ -171,3 +173,18 @@ def test_an_empty_batch_changes_nothing(spark, uri):
     upsert(rows(spark), uri, MIX)
     upsert(rows(spark).limit(0), uri, MIX)
     assert read_table(spark, uri, MIX).count() == 12
+
+
+def test_an_interrupted_merge_is_completed_or_refused(spark, uri):
+    upsert(rows(spark), uri, MIX)
+    note = Path(uri, "_merging")
+    note.write_text("year=2026/month=10/day=02")
+    upsert(rows(spark, nuclear=5.0), uri, MIX)  # nothing was lost: merged again
+    assert nuclear(spark, uri) == [5.0] and not note.exists()
+    note.write_text("year=2026/month=10/day=02\nyear=2026/month=10/day=01")
+    with pytest.raises(InterruptedMerge, match="lost year=2026/month=10/day=01"):
+        upsert(rows(spark), uri, MIX)
+    assert nuclear(spark, uri) == [5.0]
+    replace_table(rows(spark), uri, MIX)
+    upsert(rows(spark, nuclear=6.0), uri, MIX)
+    assert nuclear(spark, uri) == [6.0]

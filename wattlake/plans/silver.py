@@ -100,9 +100,10 @@ def load_new_bronze(
 def rebuild(spark: SparkSession, lake: str, table: str, layout: str = "files") -> None:
     """Recompute a Silver table from all of Bronze and put it in place of the old one.
 
-    The mark is dropped; the next incremental load derives it from the new table.
+    The mark is dropped; the next incremental load derives it from the new table.  It goes
+    first, so that an interrupted rebuild cannot leave a mark without the rows behind it.
     """
     stream = STREAMS[table]
     records = records_since(spark, stream.bronze(lake), layout=layout)
-    replace_table(silver_rows(records, stream), stream.silver(lake), stream.contract)
     files.delete(spark, mark_path(lake, table))
+    replace_table(silver_rows(records, stream), stream.silver(lake), stream.contract)

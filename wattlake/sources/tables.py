@@ -2,9 +2,9 @@
 
 Every write is staged by Spark and published when the whole job has succeeded, so a lost
 executor or a broken rule leaves the table as it was.  Publishing itself replaces folders one by
-one: on plain Parquet it is not atomic for readers, and a driver lost in the middle of it needs a
-rebuild from Bronze.  Tables of a catalog that supports row-level changes use
-:func:`merge_into_catalog` instead, where that limit does not exist.
+one: on plain Parquet it is not atomic for readers, and a driver lost in the middle of it can
+lose a folder, which the next merge notices and refuses.  Tables of a catalog that supports
+row-level changes use :func:`merge_into_catalog` instead, where that limit does not exist.
 """
 
 from __future__ import annotations
@@ -116,6 +116,27 @@ def create_table(df: DataFrame, uri: str, contract: TableContract) -> None:
     _publish(guard(conform(df, contract), contract), uri, contract)
 
 
+class InterruptedMerge(RuntimeError):
+    """An earlier merge stopped while publishing and stored rows are gone; rebuild the table."""
+
+
+def _merge_note(uri: str) -> str:
+    return files.join_path(uri, "_merging")
+
+
+def check_last_merge(spark: SparkSession, uri: str) -> None:
+    """Refuse a table that lost folders to a merge that never finished publishing.
+
+    Where all of them are still there, each holds its old or its new rows, and merging the
+    batch again completes it.
+    """
+    note = files.read_text(spark, _merge_note(uri))
+    folders = note.splitlines() if note else []
+    lost = sorted(set(folders) - set(existing_folders(spark, uri, folders)))
+    if lost:
+        raise InterruptedMerge(f"{uri} lost {', '.join(lost)}; rebuild it from Bronze")
+
+
 def upsert(
     df: DataFrame, uri: str, contract: TableContract, newer_only: bool = False
 ) -> None:
@@ -134,6 +155,7 @@ def upsert(
         _publish(batch, uri, contract)
         return
 
+    check_last_merge(spark, uri)
     staged_uri = scratch_path(spark, f"{contract.name}-batch")
     try:
         _publish(batch, staged_uri, contract)
@@ -146,7 +168,9 @@ def upsert(
         if known:
             stored = read_table(spark, uri, contract, known)
             rows = merged(stored, staged, contract, newer_only)
+        files.write_text(spark, _merge_note(uri), "\n".join(known))
         _publish(rows, uri, contract)
+        files.delete(spark, _merge_note(uri))
     finally:
         files.delete(spark, staged_uri)
 
