@@ -11,19 +11,13 @@ from wattlake.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def shared(tmp_path_factory):
-    return str(tmp_path_factory.mktemp("shared"))
-
-
-@pytest.fixture(scope="session")
-def spark(shared):
+def spark():
     session = build_session(
         "tests",
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
-            "spark.checkpoint.dir": shared,
         },
     )
     session.sparkContext.setLogLevel("ERROR")
