@@ -46,7 +46,8 @@ def daily_totals(
 
     ``cluster_by`` names columns, a subset of the group and ``date_utc``, that the caller
     partitions a window by: the second aggregation then runs on that partitioning and the
-    window needs no shuffle of its own.
+    window needs no shuffle of its own.  It suits tables with few timestamps off the hour;
+    without it, those are combined per task before the second shuffle as well.
     """
     time = F.col(time_col)
     on_the_hour = F.date_trunc("hour", time) == time
@@ -86,11 +87,17 @@ def with_share(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataF
 
 
 def daily_relative_mix(
-    mix: DataFrame, zones: DataFrame, time_zone: str | None = None, ordered: bool = True
+    mix: DataFrame,
+    zones: DataFrame,
+    time_zone: str | None = None,
+    ordered: bool = True,
+    hourly: bool = True,
 ) -> DataFrame:
     """Share of each source in a zone's daily production; charging storage is not production.
 
-    The window runs on daily rows, so a partition holds one zone-day's sources.
+    The window runs on daily rows, so a partition holds one zone-day's sources.  ``hourly``
+    only chooses the plan: False costs a shuffle of daily rows more, and keeps a zone-day with
+    very many timestamps off the hour from meeting in one task.
     """
     zone_day = ["zone", "date_utc"]
     daily = daily_totals(
@@ -98,7 +105,7 @@ def daily_relative_mix(
         ["zone", "source"],
         {"energy_mwh": "power_mw"},
         time_zone=time_zone,
-        cluster_by=zone_day,
+        cluster_by=zone_day if hourly else (),
     )
     shares = with_share(daily, "energy_mwh", zone_day, "percentage")
     product = with_dimension(
