@@ -4,20 +4,23 @@ Every window of fixed length is hashed by Rabin-Karp, and the hashes are brought
 Spark in buckets.  A batch of documents sends each window once, in arrays per bucket, so that a
 passage shared by a third of all documents costs a bucket one entry per batch.  The bucket of a
 window comes from a second, independent hash: two different windows are confused only if 64 bits
-and the bucket agree.
+and the bucket agree.  The answers, again in arrays, meet the texts in parts of the table, small
+enough for a task.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StructType
 
-from wattlake.llm.frames import exchange_buckets, with_computed
+from wattlake.llm.frames import exchange_buckets
 from wattlake.llm.words import (
     FIRST_BASE,
     SECOND_BASE,
@@ -33,7 +36,7 @@ from wattlake.llm.words import (
 _MESSAGE = pa.schema(
     [("bucket", pa.int32()), ("known", pa.bool_()), ("docs", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())]
 )
-_FOUND = pa.schema([("doc", pa.int64()), ("hashes", pa.binary())])
+_FOUND = pa.schema([("part", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
 
 
 def _runs(sorted_values: np.ndarray) -> np.ndarray:
@@ -89,45 +92,90 @@ def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(docs, np.frombuffer(row["counts"], np.int32)), np.frombuffer(row["hashes"], np.uint64)
 
 
-def _by_document(docs: np.ndarray, hashes: np.ndarray) -> Iterator[dict]:
-    order = np.argsort(docs, kind="stable")
-    docs, hashes = docs[order], hashes[order]
-    begin = _runs(docs) if len(docs) else np.zeros(0, np.int64)
-    for a, b in zip(begin, np.append(begin[1:], len(docs)), strict=False):
-        yield {"doc": int(docs[a]), "hashes": hashes[a:b].tobytes()}
-
-
-def _repeated(table: pa.Table) -> pa.Table:
-    """Per document, the windows of this bucket that a document with a smaller id has as well."""
-    rows, docs, hashes = [], [], []
-    for message in table.to_pylist():
-        doc, found = _unpacked(message)
-        if message["known"]:
-            rows += _by_document(doc, found)
-        else:
-            docs.append(doc)
-            hashes.append(found)
-    if docs:
-        doc, found = np.concatenate(docs), np.concatenate(hashes)
-        order = np.argsort(found, kind="stable")
-        doc, found = doc[order], found[order]
-        begin = _runs(found)
-        least = np.repeat(np.minimum.reduceat(doc, begin), np.diff(np.append(begin, len(doc))))
-        rows += _by_document(doc[doc > least], found[doc > least])
-    return pa.Table.from_pylist(rows, schema=_FOUND)
-
-
-def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """(doc, hashes): arrays of the hashes of a document's windows that begin in a document with
-    a smaller id as well; several rows per document."""
+def part_of(id_col: str, text_col: str, parts: int):
+    """The part of the table a document belongs to; rows without id go by their text."""
+    name = F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit(""))
+    return F.pmod(F.crc32(name), F.lit(parts)).cast("int")
+
+
+def _by_part(docs: np.ndarray, hashes: np.ndarray, parts: int) -> Iterator[dict]:
+    if not len(docs):
+        return
+    names, at = np.unique(docs, return_inverse=True)
+    part = np.array([zlib.crc32(str(d).encode()) % parts for d in names.tolist()])[at]
+    order = np.lexsort((docs, part))
+    begin = _runs(part[order])
+    for a, b in zip(begin, np.append(begin[1:], len(order)), strict=True):
+        mine = order[a:b]
+        row = _message(0, True, docs[mine], hashes[mine])
+        yield {"part": int(part[mine[0]]), **{k: row[k] for k in ("docs", "counts", "hashes")}}
+
+
+def _repeated(parts: int):
+    def run(table: pa.Table) -> pa.Table:
+        """The windows of this bucket that documents with a smaller id have as well, in arrays
+        per part of the documents."""
+        docs, hashes, known_docs, known_hashes = [], [], [], []
+        for message in table.to_pylist():
+            doc, found = _unpacked(message)
+            (known_docs if message["known"] else docs).append(doc)
+            (known_hashes if message["known"] else hashes).append(found)
+        if docs:
+            doc, found = np.concatenate(docs), np.concatenate(hashes)
+            order = np.argsort(found, kind="stable")
+            doc, found = doc[order], found[order]
+            begin = _runs(found)
+            least = np.repeat(np.minimum.reduceat(doc, begin), np.diff(np.append(begin, len(doc))))
+            known_docs.append(doc[doc > least])
+            known_hashes.append(found[doc > least])
+        rows = list(_by_part(np.concatenate(known_docs), np.concatenate(known_hashes), parts)) if known_docs else []
+        return pa.Table.from_pylist(rows, schema=_FOUND)
+
+    return run
+
+
+def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int, parts: int) -> DataFrame:
+    """(part, docs, counts, hashes): the documents of a part, and the hashes of their windows that
+    begin in a document with a smaller id as well, in arrays; several rows per part."""
     plain = docs.select(
         F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")
     )
     messages = plain.mapInArrow(
-        _windows_to_buckets(window, exchange_buckets(docs)),
+        _windows_to_buckets(window, parts),
         "bucket int, known boolean, docs binary, counts binary, hashes binary",
     )
-    return messages.groupBy("bucket").applyInArrow(_repeated, "doc long, hashes binary")
+    return messages.groupBy("bucket").applyInArrow(
+        _repeated(parts), "part int, docs binary, counts binary, hashes binary"
+    )
+
+
+def _cut(part: pa.RecordBatch, id_col: str, text_col: str, window: int, found: tuple, rejoin_all: bool) -> dict:
+    """The texts of a slice without their repeated windows, and the words they had and lost."""
+    known, begin, end, sought = found
+    words = find_words(*text_bytes(part.column(text_col)))
+    ids = part.column(id_col).cast(pa.int64())
+    at = np.searchsorted(known, np.asarray(ids.fill_null(0)))
+    hit = np.flatnonzero(np.asarray(ids.is_valid()) & (np.append(known, 0)[at] == np.asarray(ids.fill_null(0))) & (at < len(known)))
+    gone = np.zeros(len(words.starts), bool)
+    if len(hit):
+        named = span_hashes(words.data, words.starts, words.ends)
+        windows = window_hashes(named, words.bounds, window, FIRST_BASE)
+        bounds = np.searchsorted(windows.text, np.arange(len(words.bounds)))
+        chosen = []
+        for d in hit:
+            mine = slice(bounds[d], bounds[d + 1])
+            repeated = np.isin(windows.hashes[mine], sought[begin[at[d]] : end[at[d]]])
+            chosen.append(windows.first[mine][repeated])
+        gone = covered(np.concatenate(chosen), window, len(gone))
+    removed = per_text(gone, words.bounds)
+    texts = part.column(text_col).cast(pa.binary()).to_pylist()
+    for d in np.flatnonzero(removed) if not rejoin_all else range(len(texts)):
+        pieces = (texts[d] or b"").split()
+        if removed[d]:
+            keep = ~gone[words.bounds[d] : words.bounds[d + 1]]
+            pieces = [pieces[i] for i in np.flatnonzero(keep)]
+        texts[d] = b" ".join(pieces)
+    return {text_col: texts, "n_words": np.diff(words.bounds), "n_removed": removed}
 
 
 def remove_repeated_passages(
@@ -150,49 +198,38 @@ def remove_repeated_passages(
     them.  Rows with the same id are one document here: they never repeat each other, and what
     is repeated in one of them goes from all.  An empty table gives an empty table.
     """
-    found = (
-        repeated_windows(docs, id_col, text_col, window)
-        .groupBy("doc")
-        .agg(F.collect_list("hashes").alias("__repeated"))
-        .withColumnRenamed("doc", "__doc")
+    parts = exchange_buckets(docs)
+    found = repeated_windows(docs, id_col, text_col, window, parts)
+    added = {"n_words": LongType(), "n_removed": LongType()}
+    schema = StructType([f for f in docs.schema.fields if f.name not in added])
+    for name, kind in added.items():
+        schema = schema.add(name, kind)
+    arrow = to_arrow_schema(schema)
+
+    def cut(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        messages = [_unpacked(m) for m in right.to_pylist()]
+        known = np.concatenate([m[0] for m in messages] or [np.zeros(0, np.int64)])
+        hashes = np.concatenate([m[1] for m in messages] or [np.zeros(0, np.uint64)])
+        order = np.argsort(known, kind="stable")
+        names, begin = np.unique(known[order], return_index=True)
+        looked_up = names, begin, np.append(begin[1:], len(known)), hashes[order]
+        done = []
+        for batch in left.to_batches():
+            for part in sliced(batch, text_col):
+                new = _cut(part, id_col, text_col, window, looked_up, rejoin_all)
+                done.append(pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(new[f.name], pa.binary()).cast(f.type) if f.name == text_col
+                        else pa.array(new[f.name], f.type) if f.name in new
+                        else part.column(f.name).cast(f.type)
+                        for f in arrow
+                    ],
+                    schema=arrow,
+                ))
+        return pa.Table.from_batches(done, arrow)
+
+    parted = docs.withColumn("__part", part_of(id_col, text_col, parts))
+    result = (
+        parted.groupBy("__part").cogroup(found.groupBy("part")).applyInArrow(cut, schema)
     )
-    marked = docs.join(found, F.col(id_col).cast("long") == F.col("__doc"), "left").drop("__doc")
-    text_type = docs.schema[text_col].dataType
-
-    def compute(part: pa.RecordBatch) -> dict:
-        repeated = part.column("__repeated")
-        words = find_words(*text_bytes(part.column(text_col)))
-        hit = np.flatnonzero(np.asarray(repeated.is_valid()))
-        gone = np.zeros(len(words.starts), bool)
-        if len(hit):
-            named = span_hashes(words.data, words.starts, words.ends)
-            found = window_hashes(named, words.bounds, window, FIRST_BASE)
-            bounds = np.searchsorted(found.text, np.arange(len(words.bounds)))
-            chosen = []
-            for d in hit:
-                mine = slice(bounds[d], bounds[d + 1])
-                sought = np.concatenate([np.frombuffer(x, np.uint64) for x in repeated[d].as_py()])
-                chosen.append(found.first[mine][np.isin(found.hashes[mine], sought)])
-            gone = covered(np.concatenate(chosen), window, len(gone))
-        removed = per_text(gone, words.bounds)
-        texts = part.column(text_col).cast(pa.binary()).to_pylist()
-        for d in np.flatnonzero(removed) if not rejoin_all else range(len(texts)):
-            pieces = (texts[d] or b"").split()
-            if removed[d]:
-                keep = ~gone[words.bounds[d] : words.bounds[d + 1]]
-                pieces = [pieces[i] for i in np.flatnonzero(keep)]
-            texts[d] = b" ".join(pieces)
-        return {
-            text_col: pa.array(texts, pa.binary()).cast(pa.string()),
-            "n_words": np.diff(words.bounds),
-            "n_removed": removed,
-        }
-
-    fields = [
-        StructField(text_col, text_type if text_type == StringType() else StringType()),
-        StructField("n_words", LongType(), False),
-        StructField("n_removed", LongType(), False),
-    ]
-    result = with_computed(marked, text_col, fields, compute, keep=docs.columns)
-    added = [c for c in ("n_words", "n_removed") if c not in docs.columns]
-    return result.select(*docs.columns, *added)
+    return result.select(*docs.columns, *(c for c in added if c not in docs.columns))
