@@ -1,0 +1,87 @@
+"""The pipeline's stages, each against a plain version on what the stage before it kept."""
+
+import os
+
+import pytest
+from helpers import components, without_repeats, words
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from wattlake.llm import quality_model, quality_rules
+
+SF = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+
+def rows(df):
+    return {r["doc_id"]: r["text"] for r in df.collect()}
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    docs = [spark.read.parquet(f"{SF}/documents.parquet")]
+    for name, stage in corpus_pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp(name) / "out")
+        stage(spark, docs[-1], SF).write.parquet(path)
+        docs.append(spark.read.parquet(path))
+    return docs
+
+
+def test_filters_follow_their_operators(spark, stages):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality_model.fit_quality_model(stages[0], labels)
+    good = quality_model.score_quality(stages[0], model).filter("score >= 0.5")
+    assert rows(stages[1]) == rows(good) and 0 < len(rows(good)) < stages[0].count()
+    kept = quality_rules.apply_quality_rules(stages[1], labels).filter("kept")
+    assert rows(stages[2]) == rows(kept)
+    clean = labels.filter("quality = 1").join(stages[0], "doc_id").filter(F.length("text") > 200)
+    remaining = {r["doc_id"] for r in clean.join(stages[2], "doc_id", "left_semi").collect()}
+    assert len(remaining) >= 0.95 * clean.count()
+
+
+def test_one_document_of_each_group_stays(stages):
+    before = rows(stages[2])
+    expected = {i for i, (_, c, _) in components(list(before.items())).items() if i == c}
+    assert set(rows(stages[3])) == expected < set(before)
+
+
+def test_repeated_passages_are_gone(stages):
+    before, after = rows(stages[3]), rows(stages[4])
+    for i, (_, removed, kept) in without_repeats(list(before.items())).items():
+        assert after[i] == (" ".join(kept) if removed else before[i])
+    assert all(s.columns == stages[0].columns for s in stages[:5])
+    sizes = {r["doc_id"]: r["n_chars"] for r in stages[4].collect()}
+    assert all(sizes[i] == len(t) for i, t in after.items() if t != before[i])
+
+
+def test_all_words_are_packed(stages):
+    packed = stages[5].groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()
+    assert {r["doc_id"]: r["n"] for r in packed} == {i: len(words(t)) for i, t in rows(stages[4]).items()}
+
+
+def test_run_applies_all_stages(spark, stages):
+    got = entry.queries()["pipeline"](spark, SF)
+    columns = ["doc_id", "piece", "n_tokens", "bin_size"]
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, stages[5].select(columns).collect()))
+
+
+def test_stages_take_odd_documents(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(1, None, None, None, None), (None, "", "en", "s", 0), (2, "a b c", None, None, 5), (2, "a b c", None, None, 5)],
+        stages_schema := "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for frame in (docs, spark.createDataFrame([], stages_schema)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, frame, str(tmp_path)).columns == docs.columns
+        assert corpus_pipeline.near_duplicates(spark, frame, str(tmp_path)).count() == (3 if frame is docs else 0)
+        assert corpus_pipeline.repeated_passages(spark, frame, str(tmp_path)).count() == frame.count()
+        assert corpus_pipeline.packed(spark, frame, str(tmp_path)).count() == frame.count()
+
+
+def test_every_operator_has_a_query():
+    names = entry.queries()
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
