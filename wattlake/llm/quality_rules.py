@@ -24,6 +24,8 @@ from wattlake.llm.text_stats import text_stats
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _MORE = ("n_capitals", "n_small", "n_marks", "n_lines")
+#: Counts that are not results get names no table is likely to have.
+_OWN = "__"
 
 #: Cutoffs tried per rule, lenient to strict; a document is rejected above the cutoff.
 STEPS = 40
@@ -36,28 +38,28 @@ def _share(part, whole):
 #: Rules: a statistic between 0 and its upper limit; high values are bad.
 RULES = {
     "symbols_per_word": (lambda: _share("n_symbols", "n_words"), 4.0),
-    "marks_per_word": (lambda: _share("n_marks", "n_words"), 4.0),
+    "marks_per_word": (lambda: _share("__n_marks", "n_words"), 4.0),
     "capital_share": (
         lambda: F.when(
-            F.col("n_capitals") + F.col("n_small") > 0,
-            F.col("n_capitals") / (F.col("n_capitals") + F.col("n_small")),
+            F.col("__n_capitals") + F.col("__n_small") > 0,
+            F.col("__n_capitals") / (F.col("__n_capitals") + F.col("__n_small")),
         ).otherwise(0.0),
         1.0,
     ),
-    "duplicate_line_share": (lambda: _share("n_dup_lines", "n_lines"), 1.0),
+    "duplicate_line_share": (lambda: _share("n_dup_lines", "__n_lines"), 1.0),
     "repeated_word_share": (lambda: _share("n_repeat_words", "n_words"), 1.0),
     "word_length": (lambda: _share("word_chars", "n_words"), 40.0),
 }
 
 
 def with_stats(docs: DataFrame, text_col: str) -> DataFrame:
-    names = (*BASE, *_MORE)
+    names = {name: name for name in BASE} | {_OWN + name: name for name in _MORE}
 
     def compute(part: pa.RecordBatch) -> dict:
         stats = text_stats(part.column(text_col))
-        return {name: stats[name] for name in names}
+        return {column: stats[name] for column, name in names.items()}
 
-    fields = [StructField(name, LongType(), False) for name in names]
+    fields = [StructField(column, LongType(), False) for column in names]
     return with_computed(docs, text_col, fields, compute)
 
 
