@@ -5,7 +5,7 @@ For two vectors, the inner product of a segment of length w is at most
 ``w * (mean_x * mean_y + dev_x * dev_y)`` (Cauchy-Schwarz on the deviations), which is the same as
 a lower bound of their distance.  With few segments the bound is cheap and loose, with many it is
 close: candidates are bounded coarse to fine, and only those that may still reach a query's k-th
-best score are scored exactly.
+best score are scored exactly.  Bounds and scores of many queries at once are matrix products.
 
 Queries and candidates are dealt into blocks; a task gets one block of either and returns k rows
 per query at most.
@@ -51,6 +51,10 @@ def _integers(x: np.ndarray) -> np.ndarray:
     return np.frompyfunc(int, 1, 1)(x)
 
 
+#: Queries bounded together, and so the size of the matrices of bounds.
+TILE = 64
+
+
 def block_top_k(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
 ) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -58,31 +62,49 @@ def block_top_k(
 
     ``ids`` must be ascending; several candidates may share an id.
     """
-    size = np.sqrt((queries**2).sum(1))[:, None] * np.sqrt((vectors**2).sum(1).max(initial=0))
-    slack = 1e-9 * size[:, 0] + 1e-6
-    bounds = [
-        (segment_statistics(queries, min(level, queries.shape[1])), segment_statistics(vectors, min(level, queries.shape[1])))
-        for level in LEVELS
+    longest = np.sqrt((vectors**2).sum(1).max(initial=0))
+    largest = np.abs(vectors).max(initial=0)
+    slack = 1e-9 * np.sqrt((queries**2).sum(1)) * longest + 1e-6
+    levels = [
+        (segment_statistics(queries, n), segment_statistics(vectors, n))
+        for n in sorted({min(level, queries.shape[1]) for level in LEVELS})
     ]
+    seeds = levels[min(1, len(levels) - 1)]
     result = []
-    for q in range(len(queries)):
-        coarse = bounds[0][1] @ bounds[0][0][q]
-        coarse[ids == query_ids[q]] = -np.inf
-        others = int(np.isfinite(coarse).sum())
-        take = min(k, others)
-        if not take:
-            continue
-        # the most promising by the closest bound set the score to beat
-        close = bounds[-1][1] @ bounds[-1][0][q]
-        close[np.isneginf(coarse)] = -np.inf
-        first = np.argpartition(-close, take - 1)[:take]
-        beat = exact_scores(queries[q], vectors[first]).min() - slack[q]
-        alive = np.flatnonzero(coarse >= beat)
-        for of_query, of_vectors in bounds[1:]:
-            alive = alive[of_vectors[alive] @ of_query[q] >= beat]
-        scores = exact_scores(queries[q], vectors[alive])
-        best = np.lexsort((ids[alive], -scores))[:take]
-        result.append((np.full(len(best), query_ids[q]), ids[alive[best]], scores[best]))
+    for a in range(0, len(queries), TILE):
+        tile = np.arange(a, min(a + TILE, len(queries)))
+        own = [np.flatnonzero(ids == i) for i in query_ids[tile]]
+        # the candidates with the highest middle bounds set the score to beat
+        middle = seeds[0][tile] @ seeds[1].T
+        for row, mine in enumerate(own):
+            middle[row, mine] = -np.inf
+        take = [min(k, len(ids) - len(mine)) for mine in own]
+        beat = np.full(len(tile), np.inf)
+        for row, n in enumerate(take):
+            if n:
+                first = np.argpartition(-middle[row], n - 1)[:n]
+                beat[row] = exact_scores(queries[tile[row]], vectors[first]).min() - slack[tile[row]]
+        columns = np.arange(len(ids))
+        alive = np.isfinite(middle) & np.isfinite(beat)[:, None]
+        for of_queries, of_vectors in levels:
+            alive &= of_queries[tile] @ of_vectors[columns].T >= beat[:, None]
+            some = alive.any(0)
+            columns, alive = columns[some], alive[:, some]
+        # whole numbers below 2**53 are exact as doubles, in whatever order they are summed up
+        whole = largest * np.abs(queries[tile]).max(initial=0) * queries.shape[1] < 2**53
+        table = queries[tile] @ vectors[columns].T if whole else None
+        for row, n in enumerate(take):
+            if not n:
+                continue
+            left = np.flatnonzero(alive[row])
+            if whole:
+                scores = table[row, left]
+                left = left[scores >= -np.partition(-scores, n - 1)[n - 1]]
+                scores = table[row, left].astype(np.int64)
+            else:
+                scores = exact_scores(queries[tile[row]], vectors[columns[left]])
+            best = np.lexsort((ids[columns[left]], -scores))[:n]
+            result.append((np.full(len(best), query_ids[tile[row]]), ids[columns[left[best]]], scores[best]))
     return result
 
 
