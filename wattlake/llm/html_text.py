@@ -25,6 +25,7 @@ from pyspark.sql.types import LongType, StringType, StructField
 
 from wattlake.llm.frames import with_computed
 from wattlake.llm.words import sliced
+from wattlake.session import scratch_path
 
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -305,7 +306,12 @@ def extract_text(
     page has the empty text.  A page whose url is null or has no host belongs to the host ''.
     Repeated rows get the same text; columns of ``pages`` named like results are replaced.
     """
-    templates = site_templates(pages, url_col, html_col, share, least_pages)
+    spark = pages.sparkSession
+    found = site_templates(pages, url_col, html_col, share, least_pages)
+    # written first, so that Spark plans the join by their real size
+    path = scratch_path(spark, "site-templates")
+    found.write.parquet(path)
+    templates = spark.read.schema(found.schema).parquet(path)
     marked = pages.withColumn("__at", host_of(url_col)).join(
         templates, F.col("__at") == F.col("__host"), "left"
     )
