@@ -52,7 +52,7 @@ RULES = {
 }
 
 
-def with_stats(docs: DataFrame, text_col: str) -> DataFrame:
+def with_stats(docs: DataFrame, text_col: str, keep: Sequence[str] | None = None) -> DataFrame:
     names = {name: name for name in BASE} | {_OWN + name: name for name in _MORE}
 
     def compute(part: pa.RecordBatch) -> dict:
@@ -60,7 +60,7 @@ def with_stats(docs: DataFrame, text_col: str) -> DataFrame:
         return {column: stats[name] for column, name in names.items()}
 
     fields = [StructField(column, LongType(), False) for column in names]
-    return with_computed(docs, text_col, fields, compute)
+    return with_computed(docs, text_col, fields, compute, keep)
 
 
 def base_failed():
@@ -164,7 +164,9 @@ def apply_quality_rules(
     few = docs.select(
         F.col(id_col).alias("__id"), F.col(text_col).alias("text"), F.col(stratum_col).alias("stratum")
     )
-    labelled = with_stats(few.join(told, "__id"), "text").filter(~base_failed())
+    # counts of all texts meet the labels; the texts themselves stay where they are
+    counted = with_stats(few, "text", keep=["__id", "stratum"])
+    labelled = counted.join(told, "__id").filter(~base_failed())
     cutoffs, _ = fit_cutoffs(labelled, "stratum", risk, delta)
     judged = with_stats(docs, text_col).withColumn("base_failed", base_failed())
     judged = judged.join(
