@@ -376,6 +376,8 @@ def _units(candidates: DataFrame, groups: DataFrame) -> DataFrame:
         F.least(F.lit(BLOCKS), F.ceil(F.col("docs") / BLOCK_DOCS)),
         F.ceil(F.col("shingles_in") / BLOCK_SHINGLES),
     )
+    # a search takes far longer than its bytes suggest: do not let small partitions be merged
+    tasks = 4 * int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         placed.join(sizes.select("component", blocks.cast("int").alias("blocks")), "component")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -384,6 +386,7 @@ def _units(candidates: DataFrame, groups: DataFrame) -> DataFrame:
             "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
             "block", "node", "n", "copies", "shingles",
         )
+        .repartition(tasks, "component", "low", "high")
     )
 
 
@@ -445,12 +448,12 @@ def jaccard_components(
     # a row that links a node to itself carries its number of partners
     partners = links.groupBy("node").agg(F.sum("links").alias("links"))
     forest = links.filter("node <> partner").select(F.col("node").alias("a"), F.col("partner").alias("b"))
-    nodes_of = written(
-        usable.join(classes, "key").groupBy("doc").agg(F.min("node").alias("b"), F.max("node").alias("a"), F.collect_set("node").alias("all"))
-        .filter("a <> b").select(F.explode("all").alias("a"), "b").filter("a <> b"),
-        "same-ids",
-    )
-    components = connected_components(forest.unionByName(nodes_of))
+    # rows that share an id tie their sets together; usually there are none
+    repeated = usable.groupBy("doc").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc")
+    tied = usable.join(repeated, "doc").join(classes, "key").select("doc", "node")
+    first = tied.groupBy("doc").agg(F.min("node").alias("b"))
+    same_id = tied.join(first, "doc").select(F.col("node").alias("a"), "b").filter("a <> b")
+    components = connected_components(forest.unionByName(same_id))
     answer = (
         classes.join(components, "node", "left").join(partners, "node", "left")
         .select(
