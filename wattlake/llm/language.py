@@ -115,7 +115,7 @@ def fit_language_model(
     Documents whose ``crc32(id as text) mod 4`` is 2 are held out.  Executors turn texts into sets
     of n-grams; the driver gets ``DIMS`` bits per sampled text.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    order = [F.xxhash64("id"), "id"]
     told = (
         docs.select(
             F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
@@ -126,8 +126,12 @@ def fit_language_model(
         .filter(has_letter("text"))
     )
     # choose ids without their texts, then fetch the texts of those
+    # first within parts of a language, so that no task gets the firsts of all others
+    parted = told.select("id", "lang", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64)).alias("part"))
     picked = (
-        told.select("id", "lang").withColumn("n", F.row_number().over(order))
+        parted.withColumn("n", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+        .filter(F.col("n") <= sample_per_language)
+        .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
         .filter(F.col("n") <= sample_per_language)
         .orderBy("n", "lang").limit(sample).select("id")
     )
