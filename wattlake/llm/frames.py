@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from wattlake.llm.words import sliced
+from wattlake.llm.words import release_memory, sliced
 
 Compute = Callable[[pa.RecordBatch], dict]
 
@@ -33,6 +33,7 @@ def with_computed(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            release_memory()
             for part in sliced(batch, text):
                 values = compute(part)
                 columns = [part.column(name) for name in names]

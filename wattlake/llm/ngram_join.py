@@ -35,6 +35,8 @@ from wattlake.llm.frames import exchange_buckets
 from wattlake.llm.words import (
     find_words,
     lower_ascii,
+    release_memory,
+    releasing,
     scrambled,
     sliced,
     span_hashes,
@@ -85,6 +87,7 @@ def set_key(shingles: np.ndarray) -> bytes:
 def _signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            release_memory()
             for part in sliced(batch, "text"):
                 sets = shingle_sets(part.column("text"), size)
                 yield pa.RecordBatch.from_arrays(
@@ -108,6 +111,7 @@ def frequent_shingles(plain: DataFrame, size: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            release_memory()
             for part in sliced(batch, "text"):
                 sets = {set_key(s): s for s in shingle_sets(part.column("text"), size)}
                 keys = np.array([int.from_bytes(k[:8], "big", signed=True) for k in sets], np.int64)
@@ -150,6 +154,7 @@ def _shingles_to_buckets(size: int, buckets: int, frequent: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            release_memory()
             for part in sliced(batch, "text"):
                 found = {set_key(s): s for s in shingle_sets(part.column("text"), size) if len(s)}
                 if not found:
@@ -254,6 +259,7 @@ def _candidates(percent: int, frequent: np.ndarray):
 def _prefix_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per batch: the smallest node of each prefix shingle, and edges to it (without shingle)."""
     for batch in batches:
+        release_memory()
         for at in range(0, batch.num_rows, 2048):
             part = batch.slice(at, 2048)
             nodes = np.asarray(part.column("node"), np.int64)
@@ -422,9 +428,9 @@ def jaccard_components(
     buckets = exchange_buckets(plain)
     lists = (
         known.mapInArrow(_shingles_to_buckets(size, buckets, frequent), _EXCHANGE)
-        .groupBy("bucket").applyInArrow(_count_lists, _EXCHANGE)
+        .groupBy("bucket").applyInArrow(releasing(_count_lists), _EXCHANGE)
     )
-    found = lists.groupBy("slice").applyInArrow(_candidates(percent, frequent), _CANDIDATE)
+    found = lists.groupBy("slice").applyInArrow(releasing(_candidates(percent, frequent)), _CANDIDATE)
     candidates = written(
         found.dropDuplicates(["key"]).join(classes, "key").select("node", "n", "copies", "shingles", "prefix"),
         "candidates",
@@ -442,7 +448,7 @@ def jaccard_components(
     )
     links = written(
         _units(candidates, connected_components(edges))
-        .groupBy("component", "low", "high").applyInArrow(_search(percent), _LINKS),
+        .groupBy("component", "low", "high").applyInArrow(releasing(_search(percent)), _LINKS),
         "links",
     )
     # a row that links a node to itself carries its number of partners

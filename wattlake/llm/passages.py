@@ -27,6 +27,9 @@ from wattlake.llm.words import (
     covered,
     find_words,
     per_text,
+    release_memory,
+    releasing,
+    releasing_pair,
     sliced,
     span_hashes,
     text_bytes,
@@ -57,6 +60,7 @@ def _message(bucket: int, known: bool, docs: np.ndarray, hashes: np.ndarray) ->
 def _windows_to_buckets(window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            release_memory()
             batch = batch.filter(batch.column("doc").is_valid())
             for part in sliced(batch, "text"):
                 part = part.sort_by("doc")
@@ -145,7 +149,7 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, window: int, p
         "bucket int, known boolean, docs binary, counts binary, hashes binary",
     )
     return messages.groupBy("bucket").applyInArrow(
-        _repeated(parts), "part int, docs binary, counts binary, hashes binary"
+        releasing(_repeated(parts)), "part int, docs binary, counts binary, hashes binary"
     )
 
 
@@ -206,7 +210,7 @@ def remove_repeated_passages(
         schema = schema.add(name, kind)
     arrow = to_arrow_schema(schema)
 
-    def cut(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         messages = [_unpacked(m) for m in right.to_pylist()]
         known = np.concatenate([m[0] for m in messages] or [np.zeros(0, np.int64)])
         hashes = np.concatenate([m[1] for m in messages] or [np.zeros(0, np.uint64)])
@@ -230,6 +234,6 @@ def remove_repeated_passages(
 
     parted = docs.withColumn("__part", part_of(id_col, text_col, parts))
     result = (
-        parted.groupBy("__part").cogroup(found.groupBy("part")).applyInArrow(cut, schema)
+        parted.groupBy("__part").cogroup(found.groupBy("part")).applyInArrow(releasing_pair(cut), schema)
     )
     return result.select(*docs.columns, *(c for c in added if c not in docs.columns))
