@@ -35,6 +35,9 @@ def _share(part, whole):
     return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(0.0)
 
 
+#: Up to so many cutoffs are sent to all tasks; beyond that Spark plans the join with them.
+BROADCAST_CUTOFFS = 10_000
+
 #: Rules: a statistic between 0 and its upper limit; high values are bad.
 RULES = {
     "symbols_per_word": (lambda: _share("n_symbols", "n_words"), 4.0),
@@ -167,7 +170,9 @@ def apply_quality_rules(
     # counts of all texts meet the labels; the texts themselves stay where they are
     counted = with_stats(few, "text", keep=["__id", "stratum"])
     labelled = counted.join(told, "__id").filter(~base_failed())
-    cutoffs, _ = fit_cutoffs(labelled, "stratum", risk, delta)
+    cutoffs, known = fit_cutoffs(labelled, "stratum", risk, delta)
+    if len(known) <= BROADCAST_CUTOFFS:
+        cutoffs = F.broadcast(cutoffs)
     judged = with_stats(docs, text_col).withColumn("base_failed", base_failed())
     judged = judged.join(
         cutoffs, F.col(stratum_col).cast("string").eqNullSafe(F.col("__stratum")), "left"
