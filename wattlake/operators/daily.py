@@ -128,14 +128,16 @@ def exchange_table(
 ) -> DataFrame:
     """Pair-days with a net flow in one direction, as a positive amount from zone to zone.
 
-    A pair-day that nets to exactly 0 is in neither direction.
+    A pair-day that nets to exactly 0, or to NaN, is in neither direction.
     """
     here, there = F.col("zone"), F.col("counterpart_zone")
-    origin, target, net = {
-        "import": (there, here, F.col("net_import_mwh")),
-        "export": (here, there, -F.col("net_import_mwh")),
+    balance = F.col("net_import_mwh")
+    # NaN sorts above all numbers, so it would count as an import
+    origin, target, net, flows_so = {
+        "import": (there, here, balance, (balance > 0) & ~F.isnan(balance)),
+        "export": (here, there, -balance, balance < 0),
     }[direction]
-    directed = net_flows.filter(net > 0).select(
+    directed = net_flows.filter(flows_so).select(
         "date_utc",
         "hours_covered",
         origin.alias("from_zone"),

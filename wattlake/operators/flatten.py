@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from wattlake.functions.times import date_parts, parse_iso
 from wattlake.functions.values import key_union, required, value_or
 
-FAIL_FAST = {"mode": "FAILFAST"}
+#: Quoted "NaN" and "Infinity" are refused like any quoted number.
+FAIL_FAST = {"mode": "FAILFAST", "allowNonNumericNumbers": "false"}
 POSITION = "entry_position"
 
 

@@ -63,8 +63,15 @@ def monthly_mix_share(
 
 
 def stack_positions(shares: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Where each group's band starts and its label sits, stacking a month's groups in order."""
-    rank = F.create_map(*(F.lit(x) for pair in zip(order, range(len(order))) for x in pair))
+    """Where each group's band starts and its label sits, stacking a month's groups in order.
+
+    A group that ``order`` does not name is an error.
+    """
+    ranks = F.create_map(*(F.lit(x) for pair in zip(order, range(len(order))) for x in pair))
+    rank = F.coalesce(
+        ranks[F.col("group")],
+        F.raise_error(F.concat(F.lit("group without a place in the stack: "), F.col("group"))).cast("int"),
+    )
     below = (
         Window.partitionBy("month")
         .orderBy("rank")
@@ -72,7 +79,7 @@ def stack_positions(shares: DataFrame, order: Sequence[str]) -> DataFrame:
     )
     bottom = F.coalesce(F.sum("share").over(below), F.lit(0.0))
     return (
-        shares.withColumn("rank", rank[F.col("group")])
+        shares.withColumn("rank", rank)
         .withColumn("bottom", bottom)
         .withColumn("label_at", F.col("bottom") + F.col("share") / 2)
         .drop("rank")

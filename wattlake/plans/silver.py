@@ -19,7 +19,7 @@ from wattlake.operators.flatten import (
 from wattlake.schemas import FLOWS, MIX, TableContract
 from wattlake.sources import files
 from wattlake.sources.bronze import next_batch, records_since
-from wattlake.sources.state import mark_path, read_mark, write_mark
+from wattlake.sources.state import keep_mark, mark_path, write_mark
 from wattlake.sources.tables import replace_table, table_path, upsert
 
 
@@ -81,14 +81,15 @@ def load_new_bronze(
     layout: str = "files",
     newer_only: bool = False,
 ) -> int:
-    """Merge the Bronze files newer than the table's mark; returns how many there were.
+    """Load what was landed after the table's mark, and return the number of files.
 
-    The mark moves only after the merge.  A run that fails before that is repeated by the next
-    one, which is harmless because merging the same batch again changes nothing.
+    A mark that had to be derived from the table is stored before the merge begins, and the new
+    one after it has ended.  Whatever a lost driver leaves in between, the next run starts from
+    the old mark and merges the same files again.
     """
     stream = STREAMS[table]
     root = stream.bronze(lake)
-    batch = next_batch(spark, root, read_mark(spark, lake, stream.contract), now, layout)
+    batch = next_batch(spark, root, keep_mark(spark, lake, stream.contract), now, layout)
     if batch.files == 0:
         return 0
     records = records_since(spark, root, batch.after, now, batch.upto, layout)

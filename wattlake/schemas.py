@@ -13,8 +13,11 @@ def not_null(*columns: str) -> str:
 
 
 def at_least_zero(*columns: str, nullable: bool = False) -> str:
-    """A null satisfies the rule only when ``nullable`` says so."""
-    tests = [f"{c} >= 0" + (f" OR {c} IS NULL" if nullable else "") for c in columns]
+    """A null satisfies the rule only when ``nullable`` says so; NaN never does."""
+    tests = [
+        f"{c} >= 0 AND NOT isnan({c})" + (f" OR {c} IS NULL" if nullable else "")
+        for c in columns
+    ]
     return " AND ".join(f"({test})" for test in tests)
 
 
@@ -89,7 +92,7 @@ _EXCHANGE_COLUMNS = """date_utc date, period_start_utc timestamp, period_end_utc
        hours_covered int, from_zone string, from_zone_name string, from_country_code string,
        to_zone string, to_zone_name string, to_country_code string, net_mwh double, year string"""
 _EXCHANGE = dict(
-    key="date_utc from_zone to_zone", partition_by="year", rules={"net_positive": "net_mwh > 0"}
+    key="date_utc from_zone to_zone", partition_by="year", rules={"net_positive": "net_mwh > 0 AND NOT isnan(net_mwh)"}
 )
 DAILY_IMPORTS = _table("fr_daily_imports", _EXCHANGE_COLUMNS, **_EXCHANGE)
 DAILY_EXPORTS = _table("fr_daily_exports", _EXCHANGE_COLUMNS, **_EXCHANGE)

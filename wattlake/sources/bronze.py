@@ -33,14 +33,19 @@ EMPTY = f"value string, source_file string, stamp timestamp, {DAY_FOLDERS}"
 
 
 def envelope(response: Column, source_url: Column, ingested_at: Column) -> Column:
-    """The stored document: ingestion metadata around the response, kept as received."""
+    """The stored document: ingestion metadata around the response, kept as received.
+
+    A null response is an error: its empty line would make every load that covers it fail.
+    """
     head = F.to_json(
         F.struct(
             format_iso(ingested_at).alias("ingested_at"),
             F.coalesce(source_url, F.lit("")).alias("source_url"),
         )
     )
-    one_line = F.regexp_replace(response, r"[\r\n]+", " ")
+    one_line = F.when(
+        response.isNotNull(), F.regexp_replace(response, r"[\r\n]+", " ")
+    ).otherwise(F.raise_error(F.lit("cannot land a null response")))
     return F.concat(F.rtrim(head, F.lit("}")), F.lit(',"response":'), one_line, F.lit("}"))
 
 

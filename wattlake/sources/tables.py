@@ -113,14 +113,14 @@ def create_table(df: DataFrame, uri: str, contract: TableContract) -> None:
     """First write of a table; an existing table is an error."""
     if table_exists(df.sparkSession, uri):
         raise FileExistsError(f"table already exists: {uri}")
-    _publish(guard(conform(df, contract), contract), uri, contract)
+    replace_table(df, uri, contract)
 
 
 class InterruptedMerge(RuntimeError):
     """An earlier merge stopped while publishing and stored rows are gone; rebuild the table."""
 
 
-def _merge_note(uri: str) -> str:
+def merge_note(uri: str) -> str:
     return files.join_path(uri, "_merging")
 
 
@@ -130,7 +130,7 @@ def check_last_merge(spark: SparkSession, uri: str) -> None:
     Where all of them are still there, each holds its old or its new rows, and merging the
     batch again completes it.
     """
-    note = files.read_text(spark, _merge_note(uri))
+    note = files.read_text(spark, merge_note(uri))
     folders = note.splitlines() if note else []
     lost = sorted(set(folders) - set(existing_folders(spark, uri, folders)))
     if lost:
@@ -150,10 +150,11 @@ def upsert(
     ``ingested_at`` is kept, which makes the result independent of arrival order.
     """
     spark = df.sparkSession
-    batch = guard(conform(df, contract), contract)
     if not table_exists(spark, uri):
-        _publish(batch, uri, contract)
+        # written aside and moved once, so that a lost driver leaves all of it or nothing
+        replace_table(df, uri, contract)
         return
+    batch = guard(conform(df, contract), contract)
 
     check_last_merge(spark, uri)
     staged_uri = scratch_path(spark, f"{contract.name}-batch")
@@ -168,9 +169,9 @@ def upsert(
         if known:
             stored = read_table(spark, uri, contract, known)
             rows = merged(stored, staged, contract, newer_only)
-        files.write_text(spark, _merge_note(uri), "\n".join(known))
+        files.write_text(spark, merge_note(uri), "\n".join(known))
         _publish(rows, uri, contract)
-        files.delete(spark, _merge_note(uri))
+        files.delete(spark, merge_note(uri))
     finally:
         files.delete(spark, staged_uri)
 
