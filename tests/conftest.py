@@ -67,14 +67,18 @@ def mix_document(nuclear=300.0, ingested_at="2026-10-03T09:30:00+00:00", hours=3
 
 
 def flows_document(ingested_at="2026-10-03T09:30:00+00:00"):
+    """A morning in which BE delivers 15 MWh net and CH takes 14."""
+    hours = {
+        6: ({"BE": 12.5, "CH": 4.0}, {"CH": 9.0}),
+        7: ({"BE": 7.5}, {"BE": 2.0, "CH": 1.5}),
+        8: ({"CH": 0.5}, {"BE": 3.0, "CH": 8.0}),
+    }
     history = [
         {
-            "datetime": f"2026-10-02T0{h}:00:00.000Z",
-            "updatedAt": None,
-            "import": {"ES": 100.0, "DE": 10.0 if h == 0 else 0.0},
-            "export": {"ES": 30.0 if h == 0 else 0.0, "DE": 50.0 + 10 * h},
+            "datetime": f"2026-10-02T{h:02d}:00:00.000Z", "updatedAt": None,
+            "import": bought, "export": sold,
         }
-        for h in range(2)
+        for h, (bought, sold) in hours.items()
     ]
     return document(history, ingested_at=ingested_at)
 

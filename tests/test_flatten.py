@@ -15,7 +15,7 @@ def power(df):
     return {(r["datetime_utc"].hour, r["source"]): r["power_mw"] for r in df.collect()}
 
 
-def test_mix_has_one_row_per_hour_and_source(spark):
+def test_the_entries_of_a_mix_become_rows(spark):
     df = flatten_mix(documents(spark, mix_document()))
     assert df.columns == MIX.data_columns
     wanted = {f.name: f.dataType for f in MIX.schema}
@@ -81,13 +81,15 @@ def test_no_history_gives_no_rows(spark):
     assert flatten_mix(documents(spark, document([]))).count() == 0
 
 
-def test_flows_have_import_and_export_per_neighbour(spark):
+def test_a_neighbour_in_either_map_gets_a_row_each_hour(spark):
     df = flatten_flows(documents(spark, flows_document()))
     assert df.columns == FLOWS.data_columns
     rows = {(r["datetime_utc"].hour, r["counterpart_zone"]): (r["import_mw"], r["export_mw"])
             for r in df.collect()}
-    assert rows == {(0, "ES"): (100, 30), (1, "ES"): (100, 0),
-                    (0, "DE"): (10, 50), (1, "DE"): (0, 60)}
+    assert rows == {
+        (6, "BE"): (12.5, 0), (6, "CH"): (4, 9), (7, "BE"): (7.5, 2), (7, "CH"): (0, 1.5),
+        (8, "BE"): (0, 3), (8, "CH"): (0.5, 8),
+    }
 
 
 @pytest.mark.parametrize(

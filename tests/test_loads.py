@@ -161,8 +161,8 @@ def test_a_whole_run(spark, lake):
     daily = gold(spark, lake, DAILY_MIX)
     assert percentages_sum_to_100(daily).passed
     assert daily.count() == 3 and daily.schema == DAILY_MIX.schema
-    assert [r["net_mwh"] for r in gold(spark, lake, DAILY_IMPORTS).collect()] == [170.0]
-    assert [r["net_mwh"] for r in gold(spark, lake, DAILY_EXPORTS).collect()] == [100.0]
+    assert [r["net_mwh"] for r in gold(spark, lake, DAILY_IMPORTS).collect()] == [15.0]
+    assert [r["net_mwh"] for r in gold(spark, lake, DAILY_EXPORTS).collect()] == [14.0]
     again = run(spark, lake, zone_names(spark), NOW)
     assert again.succeeded and set(again.files_loaded.values()) == {0}
 
