@@ -73,4 +73,4 @@ def test_flow_rows_fit_their_contract(spark):
     from conftest import flows_document
 
     df = add_partition_columns(flatten_flows(documents(spark, flows_document())))
-    assert guard(conform(df, FLOWS), FLOWS).count() == 4
+    assert guard(conform(df, FLOWS), FLOWS).count() == 6

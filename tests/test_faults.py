@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wattlake.operators.daily import exchange_table
 from wattlake.operators.flatten import flatten_flows
 from wattlake.operators.report import stack_positions
+from wattlake.plans.gold import build_daily_relative_mix
 from wattlake.plans.silver import load_new_bronze, rebuild
 from wattlake.schemas import MIX, at_least_zero
 from wattlake.sources import files, tables
@@ -55,7 +56,7 @@ def test_a_merge_lost_after_a_rebuild_is_repeated(spark, lake, monkeypatch):
     rebuild(spark, lake, MIX.name)
     write_bronze(lake, MIX.name, mix_document(7.0, "2026-10-04T09:30:00+00:00", zone="ES"))
     with monkeypatch.context() as m:
-        lose_driver(m, 2)  # the staged batch, then the table
+        lose_driver(m, 1)
         with pytest.raises(LostDriver):
             load_new_bronze(spark, lake, MIX.name, NOW)
     assert read_mark(spark, lake, MIX) == moment("2026-10-03 09:30:00")
@@ -108,6 +109,45 @@ def test_nan_is_not_at_least_zero(spark):
     assert row.select(*(F.expr(r) for r in rule)).first()[:] == (False, True)
 
 
+def test_a_session_of_another_zone_is_refused(spark, lake):
+    write_bronze(lake, MIX.name, mix_document())
+    setting = "spark.sql.session.timeZone"
+    spark.conf.set(setting, "America/Los_Angeles")
+    try:
+        for refused in (
+            lambda: load_new_bronze(spark, lake, MIX.name, NOW),
+            lambda: rebuild(spark, lake, MIX.name),
+            lambda: load_available(spark, lake, MIX.name),
+            lambda: build_daily_relative_mix(spark, lake, None),
+        ):
+            with pytest.raises(RuntimeError, match="not UTC"):
+                refused()
+    finally:
+        spark.conf.set(setting, "UTC")
+
+
+def test_a_merge_of_many_partitions_equals_one_of_few(spark, lake, monkeypatch):
+    for day in range(2, 5):
+        write_bronze(lake, MIX.name, mix_document(float(day), f"2026-10-0{day}T09:30:00+00:00"))
+    load_new_bronze(spark, lake, MIX.name, NOW)
+    monkeypatch.setattr(tables, "MOST_PATHS", 0)
+    write_bronze(lake, MIX.name, mix_document(50.0, "2026-10-05T09:30:00+00:00"))
+    before = silver(spark, lake).count()
+    load_new_bronze(spark, lake, MIX.name, NOW)
+    rows = silver(spark, lake).filter("source = 'nuclear' AND hour(datetime_utc) = 0").collect()
+    assert [r["power_mw"] for r in rows] == [50.0] and silver(spark, lake).count() == before
+
+
+def test_writes_at_the_same_time_restore_the_setting(spark):
+    before = spark.conf.get(tables._MIN_PARTITION, None)
+    first, second = tables._spread_small_writes(spark), tables._spread_small_writes(spark)
+    first.__enter__(), second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(tables._MIN_PARTITION) == "16k"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(tables._MIN_PARTITION, None) == before
+
+
 def test_a_null_response_is_not_landed(spark, lake):
     documents = spark.createDataFrame(
         [(None, "u", moment("2026-10-01 00:00:00"))], "response string, source_url string, ingested_at timestamp"

@@ -45,6 +45,25 @@ def test_times_off_the_grid_do_not_fill_it(spark):
     assert [r["datetime_utc"].hour for r in missing_hours(df).collect()] == [1]
 
 
+def scans(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan") + plan.count("Scan ExistingRDD")
+
+
+def test_gaps_are_found_in_one_pass(spark, tmp_path):
+    hours(spark, 0, 30, 80).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert scans(missing_hours(stored)) == 1
+    assert missing_hours(stored).count() == 78
+
+
+def test_the_grid_starts_at_the_first_time_and_ends_before_the_last(spark):
+    found = missing_hours(hours(spark, 0.25, 1, 3.25, 5).withColumn("x", F.lit(None).cast("string")), by=["x"])
+    assert sorted(r["datetime_utc"].strftime("%H:%M") for r in found.collect()) == ["01:15", "02:15", "04:15"]
+    assert found.filter("x IS NULL").count() == 3
+    assert missing_hours(hours(spark, 5).unionByName(spark.sql("SELECT CAST(NULL AS TIMESTAMP) AS datetime_utc"))).count() == 0
+
+
 def test_random_gaps_against_plain_python(spark):
     rng = random.Random(11)
     present = {z: {rng.randrange(200) for _ in range(120)} for z in "abc"}

@@ -71,6 +71,19 @@ def test_bands_are_stacked_in_group_order(spark):
     assert [(r["group"], r["label_at"]) for r in labels] == [("Wind", 48.5)]
 
 
+def test_monthly_reports_read_their_input_once(spark, tmp_path):
+    daily(spark, [(d, "gas", 1.0) for d in JAN]).write.parquet(str(tmp_path / "d"))
+    shares = monthly_group_shares(spark.read.parquet(str(tmp_path / "d")))
+    labels = last_month_labels(shares, list(SOURCE_GROUPS))
+    assert labels._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert [r["group"] for r in labels.collect()] == ["Gas"]
+
+
+def test_a_source_of_an_incomplete_month_needs_no_group(spark):
+    rows = [(d, "gas", 1.0) for d in JAN] + [(FEB[0], "fusion", 1.0)]
+    assert [r["group"] for r in monthly_group_shares(daily(spark, rows)).collect()] == ["Gas"]
+
+
 def exchange(spark, rows, here, there):
     columns = f"date_utc date, {here}_zone string, {there}_zone string, {there}_zone_name string"
     return spark.createDataFrame(rows, columns + ", net_mwh double")

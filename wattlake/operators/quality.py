@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions.values import total
@@ -19,6 +19,7 @@ from wattlake.functions.values import total
 class CheckResult:
     passed: bool
     description: str
+    failures: int = 0
 
 
 def key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -39,7 +40,8 @@ def duplicate_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def unique_key(df: DataFrame, key: Sequence[str]) -> CheckResult:
     duplicates = duplicate_rows(df, key).first()["duplicates"]
-    return CheckResult(duplicates == 0, f"{duplicates} duplicate rows on key {list(key)}")
+    description = f"{duplicates} duplicate rows on key {list(key)}"
+    return CheckResult(duplicates == 0, description, duplicates)
 
 
 def missing_hours(
@@ -47,20 +49,54 @@ def missing_hours(
 ) -> DataFrame:
     """Hours between the first and the last one that no row has, overall or per series.
 
-    The grid is generated from each series' two bounds and compared with the distinct hours,
-    both spread over the cluster by series and hour.
+    Times are first combined to one row per series, day and position in the hour, the hours of
+    the day being bits.  A series counts from its own first time on, so only the rows with that
+    position matter; its missing hours are the bits not set, and the days between two rows.
+    One pass over the table; what is brought together per series (or overall) are its days, and
+    hours are written out day by day.
     """
-    present = df.select(*by, time_col).distinct()
-    bounds = present.groupBy(*by).agg(
-        F.min(time_col).alias("first_hour"), F.max(time_col).alias("last_hour")
+    kind = df.schema[time_col].dataType
+    df = df.withColumn(time_col, F.col(time_col).cast("timestamp"))
+    time, day = F.col(time_col), F.date_trunc("day", time_col)
+    hour_of = F.date_trunc("hour", time_col)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.hour(time_col))
+    days = (
+        df.filter(time.isNotNull())
+        .groupBy(
+            *by, day.alias("__day"),
+            (F.unix_micros(time) - F.unix_micros(hour_of)).alias("__in_hour"),
+        )
+        .agg(F.bit_or(bit).alias("__hours"), F.min(time).alias("__first"), F.max(time).alias("__last"))
     )
-    grid = bounds.select(
-        *by,
-        F.explode(
-            F.sequence("first_hour", "last_hour", F.expr("INTERVAL 1 HOUR"))
-        ).alias(time_col),
+    series = Window.partitionBy(*by)
+    following = F.lead("__day").over(series.orderBy("__day"))
+    day_step = F.expr("INTERVAL 1 DAY")
+    on_grid = (
+        days.withColumns({
+            "__from": F.min("__first").over(series), "__upto": F.max("__last").over(series),
+        })
+        .filter(F.col("__in_hour") == F.unix_micros("__from") - F.unix_micros(F.date_trunc("hour", "__from")))
+    )
+    # every day up to the next row's, or up to the last time of the series
+    until = F.coalesce(following - day_step, F.date_trunc("day", "__upto"))
+    each_day = on_grid.withColumn("__until", until).select(
+        *by, "__in_hour", "__from", "__upto", "__hours", F.col("__day").alias("__seen"),
+        F.explode(F.sequence("__day", "__until", day_step)).alias("__day"),
+    )
+    hours = F.when(F.col("__day") == F.col("__seen"), F.col("__hours")).otherwise(F.lit(0).cast("long"))
+    unset = F.filter(
+        F.sequence(F.lit(0), F.lit(23)),
+        lambda h: F.call_function("getbit", F.col("__hours"), h) == 0,
+    )
+    start = F.unix_micros("__day") + F.col("__in_hour")
+    return (
+        each_day.withColumn("__hours", hours)
+        .filter(F.bit_count("__hours") < 24)
+        .select(*by, "__from", "__upto", start.alias("__start"), F.explode(unset).alias("__hour"))
+        .withColumn(time_col, F.timestamp_micros(F.col("__start") + F.col("__hour") * 3_600_000_000))
+        .filter(F.col(time_col).between(F.col("__from"), F.col("__upto")))
+        .select(*by, F.col(time_col).cast(kind).alias(time_col))
     )
-    return grid.join(present, [*by, time_col], "left_anti")
 
 
 def first_missing(
@@ -71,13 +107,10 @@ def first_missing(
 
 def no_missing_hours(df: DataFrame, time_col: str = "datetime_utc") -> CheckResult:
     """Every hour between the table's first and last hour is in it, whatever the series."""
-    missing = missing_hours(df, time_col).persist()
-    try:
-        count = missing.count()
-        sample = [str(row[time_col]) for row in first_missing(missing, time_col).collect()]
-    finally:
-        missing.unpersist()
-    return CheckResult(count == 0, f"{count} missing hours: {sample}")
+    missing = missing_hours(df, time_col)
+    count = missing.count()
+    sample = [str(row[time_col]) for row in first_missing(missing, time_col).collect()] if count else []
+    return CheckResult(count == 0, f"{count} missing hours: {sample}", count)
 
 
 def percentage_totals(daily_mix: DataFrame, tolerance: float = 0.01) -> DataFrame:
@@ -91,4 +124,4 @@ def percentage_totals(daily_mix: DataFrame, tolerance: float = 0.01) -> DataFram
 
 def percentages_sum_to_100(daily_mix: DataFrame) -> CheckResult:
     days = percentage_totals(daily_mix).count()
-    return CheckResult(days == 0, f"{days} days where percentages do not sum to 100")
+    return CheckResult(days == 0, f"{days} days where percentages do not sum to 100", days)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions.times import days_in_month, month_of
@@ -19,24 +19,46 @@ def full_months(df: DataFrame, date_col: str = "date_utc") -> DataFrame:
     """Rows of the months in which every calendar day occurs, with their ``month``.
 
     The list of complete months is broadcast: a date type has fewer than 120,000 months, so it
-    cannot grow with the data.
+    cannot grow with the data.  It is made from the date column alone, which is read a second
+    time: bringing all rows of a month together instead would shuffle the whole table by month.
     """
     dated = df.withColumn("month", month_of(F.col(date_col)))
     complete = (
         dated.groupBy("month")
-        .agg(F.count_distinct(date_col).alias("days"))
-        .filter(F.col("days") == days_in_month(F.col("month")))
+        .agg(days_seen(F.col(date_col)).alias("seen"))
+        .filter(F.bit_count("seen") == days_in_month(F.col("month")))
         .select("month")
     )
     return dated.join(F.broadcast(complete), "month", "left_semi")
 
 
+def days_seen(date_col: Column) -> Column:
+    """Aggregate: the days of a month that occur, as bits, which map tasks combine."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth(date_col)))
+
+
+def _in_full_months(sums: DataFrame) -> DataFrame:
+    """Sums per month and something, with the days ``seen`` by each, of complete months only.
+
+    The sums are few, so this decides without a second pass over what they were made of.
+    """
+    same_month = Window.partitionBy("month")
+    return (
+        sums.withColumn("days", F.bit_count(F.bit_or("seen").over(same_month)))
+        .filter(F.col("days") == days_in_month(F.col("month")))
+        .drop("seen", "days")
+    )
+
+
 def monthly_group_shares(
     daily_mix: DataFrame, groups: Mapping[str, Iterable[str]] = SOURCE_GROUPS
 ) -> DataFrame:
     """(month, group, share): each source group's percentage of a full month's energy."""
+    by_source = daily_mix.groupBy(month_of(F.col("date_utc")).alias("month"), "source").agg(
+        total(F.col("energy_mwh")).alias("energy_mwh"), days_seen(F.col("date_utc")).alias("seen")
+    )
     monthly = (
-        full_months(daily_mix)
+        _in_full_months(by_source)
         .withColumn("group", strict_group(F.col("source"), groups))
         .groupBy("month", "group")
         .agg(total(F.col("energy_mwh")).alias("energy_mwh"))
@@ -89,9 +111,17 @@ def stack_positions(shares: DataFrame, order: Sequence[str]) -> DataFrame:
 def last_month_labels(
     shares: DataFrame, order: Sequence[str], min_share: float = 4.0
 ) -> DataFrame:
-    """Label positions of the latest month's larger bands."""
-    latest = shares.agg(F.max("month").alias("month"))
-    in_latest = shares.join(F.broadcast(latest), "month", "left_semi")
+    """Label positions of the latest month's larger bands.
+
+    ``shares`` has one row per month and group, fewer than 120,000 months by the date type, so
+    one task may look for the last month; taking it apart would compute the shares twice.
+    """
+    everything = Window.partitionBy()
+    in_latest = (
+        shares.withColumn("latest", F.max("month").over(everything))
+        .filter(F.col("month") == F.col("latest"))
+        .drop("latest")
+    )
     return stack_positions(in_latest, order).filter(F.col("share") >= min_share)
 
 
@@ -113,11 +143,11 @@ def monthly_net_exchange(
     exports: DataFrame, imports: DataFrame, ordered: bool = True
 ) -> DataFrame:
     """Net GWh per full month and neighbour; a day counts when any neighbour has it."""
-    monthly = (
-        full_months(signed_exchange(exports, imports))
-        .groupBy("month", "neighbour", "name")
-        .agg((total(F.col("net")) / 1000).alias("net_gwh"))
+    signed = signed_exchange(exports, imports)
+    sums = signed.groupBy(month_of(F.col("date_utc")).alias("month"), "neighbour", "name").agg(
+        (total(F.col("net")) / 1000).alias("net_gwh"), days_seen(F.col("date_utc")).alias("seen")
     )
+    monthly = _in_full_months(sums)
     return monthly.orderBy("month", "neighbour") if ordered else monthly
 
 

@@ -13,10 +13,12 @@ from wattlake.schemas import (
     MIX,
     TableContract,
 )
+from wattlake.session import require_utc
 from wattlake.sources.tables import read_table, replace_table, staged, table_path
 
 
 def _silver(spark: SparkSession, lake: str, contract: TableContract) -> DataFrame:
+    require_utc(spark)
     return read_table(spark, table_path(lake, "silver", contract.name), contract)
 
 

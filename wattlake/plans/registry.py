@@ -43,7 +43,7 @@ from wattlake.operators.report import (
     top_partners,
 )
 from wattlake.plans.gold import build_daily_exchange, build_daily_relative_mix
-from wattlake.plans.medallion import run
+from wattlake.plans.medallion import RunReport, build_checked, run
 from wattlake.plans.silver import load_new_bronze, rebuild
 from wattlake.plans.warehouse import (
     PRIORITY_GROUPS,
@@ -91,7 +91,7 @@ _VIEWS = {
         SELECT n_name AS zone, date_trunc('hour', ts) AS datetime_utc,
                CASE event_type WHEN 'error' THEN 'hydro_storage_charge'
                     WHEN 'purchase' THEN 'hydro_storage_discharge' ELSE event_type END AS source,
-               CASE WHEN value >= 1 THEN value END AS power_mw,
+               {power} AS power_mw,
                CASE WHEN value < 10 THEN NULL WHEN value < 20 THEN 'SURROGATE'
                     WHEN value < 30 THEN 'ESTIMATED' ELSE 'MEASURED' END AS estimation_method,
                value >= 10 AND value < 30 AS is_estimated,
@@ -199,6 +199,7 @@ _VIEWS = {
 
 
 def _with(names: str, question: str, **pieces: str) -> str:
+    pieces = {"power": "CASE WHEN extract(minute FROM ts) <> 7 THEN value END"} | pieces
     views = ",\n".join(f"{name} AS ({_VIEWS[name].format(**pieces)})" for name in names.split())
     return f"WITH {views}\n{question}"
 
@@ -258,20 +259,32 @@ def _daily_relative_mix(spark, sf_dir):
 @_query(
     "local_day_mix",
     _with(
-        "mix",
-        """SELECT zone, date_utc, source, round(energy_mwh, 6) AS energy_mwh, hours_covered
+        "zones mix",
+        """SELECT date_utc,
+                  timezone('UTC', timezone('Europe/Paris', CAST(date_utc AS TIMESTAMP)))
+                      AS period_start_utc,
+                  timezone('UTC', timezone('Europe/Paris', CAST(date_utc + 1 AS TIMESTAMP)))
+                      AS period_end_utc,
+                  hours_covered, d.zone, zone_name, country_code, source,
+                  round(energy_mwh, 6) AS energy_mwh,
+                  round(CASE WHEN sum(energy_mwh) OVER zone_day > 0
+                             THEN energy_mwh / sum(energy_mwh) OVER zone_day * 100 END, 6)
+                      AS percentage,
+                  strftime(date_utc, '%Y') AS year
            FROM (SELECT zone, source, sum(coalesce(power_mw, 0)) AS energy_mwh,
                         CAST(timezone('Europe/Paris', timezone('UTC', datetime_utc)) AS DATE)
                             AS date_utc,
                         CAST(count(DISTINCT datetime_utc) AS INTEGER) AS hours_covered
-                 FROM mix WHERE NOT ends_with(source, '_charge') GROUP BY 1, 2, 4)""",
+                 FROM mix WHERE NOT ends_with(source, '_charge') GROUP BY 1, 2, 4) d
+           LEFT JOIN zones z ON z.zone = d.zone
+           WINDOW zone_day AS (PARTITION BY d.zone, date_utc)""",
+        power="value",
     ),
 )
 def _local_day_mix(spark, sf_dir):
-    local = daily_relative_mix(
-        mix_readings(spark, sf_dir), zones(spark, sf_dir), time_zone="Europe/Paris"
-    )
-    return local.select("zone", "date_utc", "source", "energy_mwh", "hours_covered")
+    """Local days of every event's value, none left unreported."""
+    readings = mix_readings(spark, sf_dir, gaps=False)
+    return daily_relative_mix(readings, zones(spark, sf_dir), time_zone="Europe/Paris")
 
 
 def _exchange_sql(test: str) -> str:
@@ -337,8 +350,8 @@ def _flatten_mix_roundtrip(spark, sf_dir):
 
 _EXCHANGED = """
     SELECT zone, datetime_utc, counterpart_zone,
-           CASE WHEN import_mw <= 90 THEN import_mw END AS import_mw,
-           CASE WHEN export_mw <= 90 THEN export_mw END AS export_mw,
+           CASE WHEN import_mw = 0 OR day(datetime_utc) <> 13 THEN import_mw END AS import_mw,
+           CASE WHEN export_mw = 0 OR day(datetime_utc) <> 13 THEN export_mw END AS export_mw,
            CAST(NULL AS TIMESTAMP) AS updated_at, TIMESTAMP '2003-01-01' AS ingested_at
     FROM (SELECT zone, datetime_utc, counterpart_zone, sum(import_mw) AS import_mw,
                  sum(export_mw) AS export_mw
@@ -348,7 +361,7 @@ _EXCHANGED = """
 @_query("flatten_flows_roundtrip", _with("flows", _EXCHANGED))
 def _flatten_flows_roundtrip(spark, sf_dir):
     root = table_path(_fresh_lake(spark, "flatten-flows"), "bronze", FLOWS.name)
-    land(flow_responses(spark, sf_dir, unreported_over=90), root)
+    land(flow_responses(spark, sf_dir, unreported_day=13), root)
     return flatten_flows(records_since(spark, root, layout="lines"))
 
 
@@ -462,6 +475,21 @@ def _percent_sum_check(spark, sf_dir):
     return percentage_totals(daily.withColumn("percentage", F.round("percentage", 1)))
 
 
+@_query(
+    "percent_totals",
+    _with(
+        "zones mix daily_mix",
+        """SELECT zone, date_utc, round(coalesce(sum(percentage), 0), 6) AS total
+           FROM daily_mix GROUP BY 1, 2""",
+        readings="mix",
+    ),
+)
+def _percent_totals(spark, sf_dir):
+    """The total of every zone and day, whether or not it passes the check."""
+    daily = daily_relative_mix(mix_readings(spark, sf_dir), zones(spark, sf_dir), ordered=False)
+    return percentage_totals(daily, tolerance=-1.0)
+
+
 @_query(
     "contract_violations",
     _with(
@@ -598,9 +626,11 @@ def _bronze_to_gold_mix(spark, sf_dir):
     _with(
         "zones flows net signed",
         """SELECT CASE WHEN net_import_mwh > 0 THEN 'import' ELSE 'export' END AS direction,
-                  date_utc, hours_covered, from_zone, f.country_code AS from_country_code,
-                  to_zone, t.country_code AS to_country_code,
-                  round(abs(net_import_mwh), 6) AS net_mwh
+                  date_utc, CAST(date_utc AS TIMESTAMP) AS period_start_utc,
+                  CAST(date_utc AS TIMESTAMP) + INTERVAL 1 DAY AS period_end_utc, hours_covered,
+                  from_zone, f.zone_name AS from_zone_name, f.country_code AS from_country_code,
+                  to_zone, t.zone_name AS to_zone_name, t.country_code AS to_country_code,
+                  round(abs(net_import_mwh), 6) AS net_mwh, strftime(date_utc, '%Y') AS year
            FROM signed LEFT JOIN zones f ON f.zone = from_zone
                        LEFT JOIN zones t ON t.zone = to_zone""",
     ),
@@ -612,42 +642,87 @@ def _bronze_to_gold_flows(spark, sf_dir):
     build_daily_exchange(spark, lake, zones(spark, sf_dir))
 
     def built(contract: TableContract, direction: str) -> DataFrame:
-        return read_table(spark, table_path(lake, "gold", contract.name), contract).select(
-            F.lit(direction).alias("direction"),
-            "date_utc", "hours_covered", "from_zone", "from_country_code",
-            "to_zone", "to_country_code", "net_mwh",
-        )
+        stored = read_table(spark, table_path(lake, "gold", contract.name), contract)
+        return stored.withColumn("direction", F.lit(direction))
 
     return built(DAILY_IMPORTS, "import").unionByName(built(DAILY_EXPORTS, "export"))
 
 
+_MIX_CHECKS = """
+    SELECT 'electricity_mix_unique_key' AS check_name,
+           count(*) - (SELECT count(*) FROM (SELECT DISTINCT zone, datetime_utc, source
+                                             FROM silver)) AS failures
+    FROM silver
+    UNION ALL
+    SELECT 'electricity_mix_no_missing_hours',
+           date_diff('hour', min(datetime_utc), max(datetime_utc)) + 1
+           - count(DISTINCT datetime_utc)
+    FROM silver
+    UNION ALL
+    SELECT 'daily_relative_mix_sum_to_100', count(*)
+    FROM (SELECT zone, date_utc FROM daily_mix GROUP BY 1, 2
+          HAVING abs(coalesce(sum(percentage), 0) - 100) > 0.01)"""
+
+
 @_query(
     "run_checks",
     _with(
         "zones mix delivered silver daily_mix",
-        """SELECT 'electricity_mix_unique_key' AS check_name,
-                  count(*) = (SELECT count(*) FROM (SELECT DISTINCT zone, datetime_utc, source
-                                                    FROM silver)) AS passed
-           FROM silver
-           UNION ALL
-           SELECT 'electricity_mix_no_missing_hours',
-                  count(DISTINCT datetime_utc)
-                  = date_diff('hour', min(datetime_utc), max(datetime_utc)) + 1
-           FROM silver
-           UNION ALL
-           SELECT 'daily_relative_mix_sum_to_100', count(*) = 0
-           FROM (SELECT zone, date_utc FROM daily_mix GROUP BY 1, 2
-                 HAVING abs(coalesce(sum(percentage), 0) - 100) > 0.01)""",
+        f"""SELECT check_name, failures = 0 AS passed, failures,
+                  failures > 0 AND check_name <> 'electricity_mix_no_missing_hours' AS is_error
+           FROM ({_MIX_CHECKS}
+                 UNION ALL SELECT 'electricity_flows_unique_key', 0)""",
         readings="silver",
     ),
 )
 def _run_checks(spark, sf_dir):
-    """The whole run on a lake with mix documents, and what its checks found."""
+    """The whole run on a lake with documents of both streams, and what its checks found."""
     lake = _fresh_lake(spark, "run")
     _landed_mix(spark, sf_dir, lake)
-    report = run(spark, lake, zones(spark, sf_dir), layout="lines")
-    found = [(name, result.passed) for name, result in report.checks.items()]
-    return spark.createDataFrame(found, "check_name string, passed boolean")
+    land(flow_responses(spark, sf_dir), table_path(lake, "bronze", FLOWS.name))
+    return _found(spark, run(spark, lake, zones(spark, sf_dir), layout="lines"))
+
+
+def _found(spark: SparkSession, report: RunReport) -> DataFrame:
+    failed = {message.split(":")[0] for message in report.errors}
+    rows = [(n, r.passed, r.failures, n in failed) for n, r in report.checks.items()]
+    columns = "check_name string, passed boolean, failures bigint, is_error boolean"
+    return spark.createDataFrame(rows, columns)
+
+
+@_query(
+    "blocked_run",
+    _with(
+        "zones mix delivered silver daily_mix flows",
+        f"""SELECT check_name, failures = 0 AS passed, failures,
+                  failures > 0 AND check_name <> 'electricity_mix_no_missing_hours' AS is_error
+           FROM ({_MIX_CHECKS}
+                 UNION ALL
+                 SELECT 'electricity_flows_unique_key', count(*) - (SELECT count(*) FROM (
+                     SELECT DISTINCT zone, datetime_utc, counterpart_zone FROM flows))
+                 FROM flows)
+           UNION ALL
+           SELECT 'not built: ' || unnest(['fr_daily_imports', 'fr_daily_exports']), false, 1, true""",
+        readings="silver",
+    ),
+)
+def _blocked_run(spark, sf_dir):
+    """Silver flows with a row per order line: their key check fails and blocks both exchange
+    tables, while the mix is built all the same."""
+    lake = _fresh_lake(spark, "blocked")
+    _landed_mix(spark, sf_dir, lake)
+    load_new_bronze(spark, lake, MIX.name, layout="lines")
+    lines = flow_readings(spark, sf_dir).withColumns(
+        {
+            "updated_at": F.lit(None).cast("timestamp"),
+            "ingested_at": F.to_timestamp(F.lit("2003-01-01 00:00:00")),
+        }
+    )
+    create_table(add_partition_columns(lines), table_path(lake, "silver", FLOWS.name), FLOWS)
+    report = build_checked(spark, lake, zones(spark, sf_dir), RunReport())
+    blocked = [(f"not built: {name}", False, 1, True) for name in report.not_built]
+    found = _found(spark, report)
+    return found.unionByName(spark.createDataFrame(blocked, found.schema))
 
 
 @_query("reload_after_failure", _SILVER_ROWS)

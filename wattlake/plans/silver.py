@@ -17,6 +17,7 @@ from wattlake.operators.flatten import (
     flatten_mix,
 )
 from wattlake.schemas import FLOWS, MIX, TableContract
+from wattlake.session import require_utc
 from wattlake.sources import files
 from wattlake.sources.bronze import next_batch, records_since
 from wattlake.sources.state import keep_mark, mark_path, write_mark
@@ -87,6 +88,7 @@ def load_new_bronze(
     one after it has ended.  Whatever a lost driver leaves in between, the next run starts from
     the old mark and merges the same files again.
     """
+    require_utc(spark)
     stream = STREAMS[table]
     root = stream.bronze(lake)
     batch = next_batch(spark, root, keep_mark(spark, lake, stream.contract), now, layout)
@@ -104,6 +106,7 @@ def rebuild(spark: SparkSession, lake: str, table: str, layout: str = "files") -
     The mark is dropped; the next incremental load derives it from the new table.  It goes
     first, so that an interrupted rebuild cannot leave a mark without the rows behind it.
     """
+    require_utc(spark)
     stream = STREAMS[table]
     records = records_since(spark, stream.bronze(lake), layout=layout)
     files.delete(spark, mark_path(lake, table))

@@ -54,11 +54,11 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def mix_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mix_readings(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
     """Every event as a reading of its user's nation, hour and event type.
 
-    Two event types play a storage's charge and discharge, values under 1 are not reported
-    (null), and the value's size decides how it was estimated.  A key occurs more than once.
+    Two event types play a storage's charge and discharge, those of an hour's eighth minute are
+    not reported (null) unless ``gaps`` is off, and the value's size decides how it was estimated.  A key occurs more than once.
     """
     value, kind = F.col("value"), F.col("event_type")
     source = (
@@ -72,6 +72,7 @@ def mix_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(value < 30, "ESTIMATED")
         .otherwise("MEASURED")
     )
+    power = F.when(F.minute("ts") != 7, value) if gaps else value
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
@@ -82,7 +83,7 @@ def mix_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("n_name").alias("zone"),
             F.date_trunc("hour", "ts").alias("datetime_utc"),
             source.alias("source"),
-            F.when(value >= 1, value).alias("power_mw"),
+            power.alias("power_mw"),
             method.alias("estimation_method"),
             is_estimated(method).alias("is_estimated"),
             F.col("ts").alias("updated_at"),
@@ -250,11 +251,12 @@ def flow_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flow_responses(
-    spark: SparkSession, sf_dir: str, unreported_over: float | None = None
+    spark: SparkSession, sf_dir: str, unreported_day: int | None = None
 ) -> DataFrame:
     """Flows as raw JSON: one document per zone and month, an entry per time.
 
-    A direction without flow leaves its key out; totals above a given limit are null.
+    A direction without flow leaves its key out; of a given day of the month only the
+    partners are known, their amounts are null.
     """
     totals = (
         flow_readings(spark, sf_dir)
@@ -264,7 +266,9 @@ def flow_responses(
 
     def members(amount: str) -> Column:
         value = F.col(amount)
-        limited = value if unreported_over is None else F.when(value <= unreported_over, value)
+        limited = value
+        if unreported_day:
+            limited = F.when(F.dayofmonth("datetime_utc") != unreported_day, value)
         return F.sort_array(
             F.collect_list(F.when(value > 0, _member(F.col("counterpart_zone"), _number(limited))))
         )

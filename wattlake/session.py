@@ -27,6 +27,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Refuse a session in which days and hours would be those of another zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise RuntimeError(f"the session time zone is {zone}, not UTC: call wattlake.configure(spark)")
+
+
 def build_session(
     app_name: str = "wattlake", master: str | None = None, **conf: str
 ) -> SparkSession:

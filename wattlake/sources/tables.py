@@ -9,6 +9,7 @@ row-level changes use :func:`merge_into_catalog` instead, where that limit does
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -24,6 +25,10 @@ from wattlake.session import scratch_path
 from wattlake.sources import files
 
 
+#: Partition folders opened one by one; beyond that the table is listed as a whole.
+MOST_PATHS = 32
+
+
 def table_path(root: str, layer: str, table: str) -> str:
     return files.join_path(root, layer, table)
 
@@ -48,6 +53,11 @@ def read_table(
         return reader.parquet(uri)
     if not partitions:
         return spark.createDataFrame([], contract.schema)
+    if len(partitions) > MOST_PATHS:
+        # opening a path takes a step of the driver each; a filter over partition columns
+        # prunes the listing of the whole table, which Spark makes in parallel
+        levels = (F.concat(F.lit(f"{c}="), F.col(c)) for c in contract.partition_by)
+        return reader.parquet(uri).filter(F.concat_ws("/", *levels).isin(list(partitions)))
     paths = [files.join_path(uri, folder) for folder in partitions]
     return reader.option("basePath", uri).parquet(*paths)
 
@@ -64,6 +74,14 @@ def partition_folders(spark: SparkSession, uri: str, contract: TableContract) ->
     return folders
 
 
+def touched_folders(df: DataFrame, contract: TableContract) -> list[str]:
+    """Relative folders of the partitions that the rows of ``df`` belong to."""
+    values = df.select(*contract.partition_by).distinct().collect()
+    return sorted(
+        "/".join(f"{c}={v}" for c, v in zip(contract.partition_by, row, strict=True)) for row in values
+    )
+
+
 def existing_folders(spark: SparkSession, uri: str, folders: Sequence[str]) -> list[str]:
     """Those of the folders the table has, listing each parent folder once."""
     found: dict[str, set[str]] = {}
@@ -72,23 +90,38 @@ def existing_folders(spark: SparkSession, uri: str, folders: Sequence[str]) -> l
     return [f for f in folders if f.rpartition("/")[2] in found[f.rpartition("/")[0]]]
 
 
+_MIN_PARTITION = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+#: What the first of the running writes found set, and an entry for each further one.
+_spreading: list[str | None] = []
+_spreading_lock = threading.Lock()
+
+
 @contextmanager
 def _spread_small_writes(spark: SparkSession) -> Iterator[None]:
     """Let a small write keep its tasks.
 
     Adaptive execution merges shuffle partitions below 1 MB, so a little data for thousands of
-    table partitions would be written by one task, one file after the other.
+    table partitions would be written by one task, one file after the other.  Writes running at
+    the same time share the setting, and the last one to end restores it.
     """
-    setting = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, "16k")
+    with _spreading_lock:
+        if not _spreading:
+            _spreading.append(spark.conf.get(_MIN_PARTITION, None))
+            spark.conf.set(_MIN_PARTITION, "16k")
+        else:
+            _spreading.append(None)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(setting)
-        else:
-            spark.conf.set(setting, before)
+        with _spreading_lock:
+            if len(_spreading) > 1:
+                _spreading.pop()
+            else:
+                before = _spreading.pop()
+                if before is None:
+                    spark.conf.unset(_MIN_PARTITION)
+                else:
+                    spark.conf.set(_MIN_PARTITION, before)
 
 
 def _publish(df: DataFrame, uri: str, contract: TableContract) -> None:
@@ -142,8 +175,8 @@ def upsert(
 ) -> None:
     """Insert new keys and replace the rows of known keys; ``df`` has each key once.
 
-    The batch is written once to the shared scratch folder, which validates it and gives Spark
-    its real size for the join.  Only the partitions it touches are listed, read and
+    The batch is written once to the shared scratch folder, in plain files, which validates it
+    and gives Spark its real size for the join.  Only the partitions it touches are read and
     rewritten; their folder names are the only thing the driver handles.
 
     By default the batch always wins.  With ``newer_only`` a stored row with a later
@@ -159,11 +192,11 @@ def upsert(
     check_last_merge(spark, uri)
     staged_uri = scratch_path(spark, f"{contract.name}-batch")
     try:
-        _publish(batch, staged_uri, contract)
-        touched = partition_folders(spark, staged_uri, contract)
+        batch.write.parquet(staged_uri)
+        staged = read_table(spark, staged_uri, contract)
+        touched = touched_folders(staged, contract)
         if not touched:
             return
-        staged = read_table(spark, staged_uri, contract)
         known = existing_folders(spark, uri, touched)
         rows = staged
         if known:

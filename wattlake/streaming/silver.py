@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wattlake.plans.silver import STREAMS, silver_rows
+from wattlake.session import require_utc
 from wattlake.sources.bronze import document_schema, with_stamp
 from wattlake.sources.files import join_path
 from wattlake.sources.tables import upsert
@@ -28,6 +29,7 @@ def load_available(
     later ingestion.  Unlike the batch load, a file stamped before already loaded ones is
     picked up too: the checkpoint remembers files, not a mark.
     """
+    require_utc(spark)
     stream = STREAMS[table]
     reader = spark.readStream.schema(document_schema(layout))
     if files_per_batch:
