@@ -22,6 +22,7 @@ from wattlake.llm import (
     quality_rules,
     text_stats,
 )
+from wattlake.llm.components import connected_components
 
 SF = "/root/testdata/sf0.01"
 data = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -147,6 +148,16 @@ def test_components_of_odd_rows(spark):
     assert ngram_join.jaccard_components(frame(spark, [])).count() == 0
 
 
+def test_components_of_plain_graphs(spark):
+    """A long path in mixed order, a star, loops, repeated edges, and no edges at all."""
+    path = random.Random(5).sample(range(100, 160), 60)
+    edges = [*zip(path, path[1:]), *((7, i) for i in range(8, 30)), (3, 3), (90, 91), (91, 90), (90, 91)]
+    found = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    expected = {i: 100 for i in path} | {i: 7 for i in range(7, 30)} | {90: 90, 91: 90}
+    assert len(found) == len(expected) and {r["node"]: r["component"] for r in found} == expected
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_search_in_blocks_is_exact():
     pick = np.random.default_rng(2)
     base = [np.unique(pick.integers(0, 60, pick.integers(1, 40))).astype(np.uint64) for _ in range(60)]

@@ -9,6 +9,16 @@ from pyspark.sql import functions as F
 from wattlake.session import scratch_path
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether no node at the larger end of an edge (a, b) has any other edge."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("a").alias("node"), F.lit(1).alias("larger")),
+        F.struct(F.col("b").alias("node"), F.lit(0).alias("larger")),
+    )).alias("end"))
+    seen = ends.groupBy("end.node").agg(F.count(F.lit(1)).alias("n"), F.sum("end.larger").alias("larger"))
+    return seen.filter("larger > 0 AND n > 1").count() == 0
+
+
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b: longs), component the smallest node.
 
@@ -31,8 +41,11 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         .filter("a > b").distinct(),
         "edges-0",
     )
-    state = None
-    for step in range(1, most_rounds + 1):
+    step = 0
+    while not are_stars(current):
+        step += 1
+        if step > most_rounds:
+            raise RuntimeError("components did not settle")
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
         large = (
@@ -46,14 +59,6 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             .filter("a > b").distinct()
         )
         current = written(small, f"edges-{step}")
-        now = current.agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
-        ).first()
-        if state == now:
-            break
-        state = now
-    else:
-        raise RuntimeError("components did not settle")
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -257,7 +257,8 @@ def _candidates(percent: int, frequent: np.ndarray):
 
 
 def _prefix_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch: the smallest node of each prefix shingle, and edges to it (without shingle)."""
+    """Per batch: edges (without shingle) from each node to the smallest one that common prefix
+    shingles connect it with in the batch, and that smallest node of each prefix shingle."""
     for batch in batches:
         release_memory()
         for at in range(0, batch.num_rows, 2048):
@@ -268,18 +269,23 @@ def _prefix_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 np.frombuffer(s.as_buffer(), np.uint64)[:p]
                 for s, p in zip(part.column("shingles"), prefixes, strict=True)
             ]
-            hashes = np.concatenate([*shingles, np.zeros(0, np.uint64)])
-            node = np.repeat(nodes, [len(s) for s in shingles])
-            order = np.lexsort((node, hashes))
-            hashes, node = hashes[order], node[order]
-            begin = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else order
-            lead = np.repeat(node[begin], np.diff(np.append(begin, len(hashes))))
-            edges = np.unique(np.stack([node, lead], 1)[node != lead], axis=0)
-            none = pa.nulls(len(edges), pa.int64())
+            hashes = np.concatenate(shingles)
+            owner = np.repeat(np.arange(len(nodes)), [len(s) for s in shingles])
+            order = np.argsort(hashes, kind="stable")
+            hashes, owner = hashes[order], owner[order]
+            begin = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+            length = np.diff(np.append(begin, len(hashes)))
+            least, before = nodes.copy(), None
+            while before is None or (least != before).any():
+                before = least.copy()
+                lead = np.minimum.reduceat(least[owner], begin)
+                np.minimum.at(least, owner, np.repeat(lead, length))
+            other = least != nodes
+            none = pa.nulls(int(other.sum()), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["hash", "a", "b"]
+                [none, pa.array(nodes[other]), pa.array(least[other])], names=["hash", "a", "b"]
             )
-            first = pa.array(node[begin])
+            first = pa.array(lead)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes[begin].view(np.int64)), first, first], names=["hash", "a", "b"]
             )
@@ -331,7 +337,7 @@ _LINKS = "node long, partner long, links long"
 
 def _search(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        """Partners counted per node, and a spanning forest of the links."""
+        """Partners counted per node, and each node tied to the smallest one that links reach here."""
         table = table.sort_by([("n", "ascending"), ("node", "ascending")])
         nodes = np.asarray(table.column("node"), np.int64)
         sizes = np.asarray(table.column("n"), np.int64)
@@ -342,7 +348,6 @@ def _search(percent: int):
         sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column("shingles").combine_chunks()]
         links = np.zeros(len(nodes), np.int64)
         parent = list(range(len(nodes)))
-        forest = []
 
         def root(x: int) -> int:
             while parent[x] != x:
@@ -354,17 +359,17 @@ def _search(percent: int):
             links[q] += copies[partners].sum()
             links[partners] += copies[q]
             for p in partners.tolist():
-                a, b = root(q), root(p)
-                if a != b:
-                    parent[a] = b
-                    forest.append((nodes[q], nodes[p]))
+                parent[root(q)] = root(p)
         some = np.flatnonzero(links)
-        edges = np.array(forest, np.int64).reshape(-1, 2)
+        tops = np.array([root(x) for x in some.tolist()], np.int64)
+        least = np.full(len(nodes), np.iinfo(np.int64).max)
+        np.minimum.at(least, tops, nodes[some])
+        tied = nodes[some] != least[tops]
         return pa.table(
             [
-                np.concatenate([nodes[some], edges[:, 0]]),
-                np.concatenate([nodes[some], edges[:, 1]]),
-                np.concatenate([links[some], np.zeros(len(edges), np.int64)]),
+                np.concatenate([nodes[some], nodes[some][tied]]),
+                np.concatenate([nodes[some], least[tops][tied]]),
+                np.concatenate([links[some], np.zeros(int(tied.sum()), np.int64)]),
             ],
             schema=_arrow(_LINKS),
         )
@@ -453,13 +458,13 @@ def jaccard_components(
     )
     # a row that links a node to itself carries its number of partners
     partners = links.groupBy("node").agg(F.sum("links").alias("links"))
-    forest = links.filter("node <> partner").select(F.col("node").alias("a"), F.col("partner").alias("b"))
+    ties = links.filter("node <> partner").select(F.col("node").alias("a"), F.col("partner").alias("b"))
     # rows that share an id tie their sets together; usually there are none
     repeated = usable.groupBy("doc").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc")
     tied = usable.join(repeated, "doc").join(classes, "key").select("doc", "node")
     first = tied.groupBy("doc").agg(F.min("node").alias("b"))
     same_id = tied.join(first, "doc").select(F.col("node").alias("a"), "b").filter("a <> b")
-    components = connected_components(forest.unionByName(same_id))
+    components = connected_components(ties.unionByName(same_id))
     answer = (
         classes.join(components, "node", "left").join(partners, "node", "left")
         .select(
