@@ -123,6 +123,29 @@ def test_copies_of_an_article_are_not_template(spark):
     assert {got[50 + i] for i in range(15)} == {"Same page 0"}
 
 
+BOX = "<div><p>Share</p><ul><li>Mail<li>Print</ul></div>"
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_boxes_that_a_host_repeats_inside_articles_go(spark, tag):
+    def page(i):
+        return f"<body><{tag}><h1>Title {i}</h1><p>Text {i}<b>bold</b></p><h2>Steps</h2><p>Yes.</p>{BOX}</{tag}></body>"
+
+    rows = [(i, f"http://a.example/{i}", page(i)) for i in range(12)] + [(50, "http://b.example/", page(50))]
+    got = extracted(spark, rows)
+    assert all(got[i] == f"Title {i}\nText {i}bold\nSteps\nYes." for i in range(12))
+    assert got[50].endswith("Steps\nYes.\nShare\nMail\nPrint")
+
+
+def test_near_copies_of_an_article_keep_what_they_share(spark):
+    same = "".join(f"<p>{' '.join(f'w{k}x{n}' for n in range(12))}</p>" for k in range(3))
+    # one title and one changed paragraph each; then each with a title of its own
+    rows = [(i, f"http://a.example/{i}", f"<article><h1>One</h1><p>{'changed ' * 40}{i}</p>{same}</article>") for i in range(9)]
+    rows += [(50 + i, f"http://b.example/{i}", f"<article><h1>No {i}</h1>{same}</article>") for i in range(9)]
+    got = extracted(spark, rows)
+    assert all(t.count("x11") == 3 for t in got.values()) and len(got) == 18
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
     rows = [

@@ -7,8 +7,9 @@ they are (navigation, forms, adverts, comments, ...) go on every page, also wher
 pages to tell.  What remains of the article, or of the body where a page marks no article, is the
 text.
 
-An article's own content is never judged by recurrence: copies of an article on many pages of a
-host are not its template.
+Inside an article (or main element) only whole blocks are judged, and counted over articles that
+differ: copies and near copies of an article on many pages of a host are not its template, and a
+heading, cell, list item, inline element or short paragraph goes only with the block that holds it.
 """
 
 from __future__ import annotations
@@ -43,6 +44,15 @@ BOILERPLATE = frozenset(
     " title iframe xmp noembed noframes svg math head canvas audio video object embed label input"
     " fieldset datalist".split()
 )
+#: Blocks that only make sense in the list, table or section that holds them.
+_PARTS = frozenset(
+    "li dt dd tr td th tbody thead tfoot caption figcaption summary legend option optgroup hr body html"
+    " h1 h2 h3 h4 h5 h6 hgroup".split()
+)
+#: Blocks an author writes; with fewer words than this they may be alike by chance.
+_PROSE, _PROSE_WORDS = frozenset("p pre blockquote address center".split()), 8
+#: An article of which less than this share of its text is its own may be a near copy of others.
+OWN_SHARE = 0.25
 #: Words in class, id or role that say the same of any element.
 _SAYS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|advertisement|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|"
@@ -162,38 +172,71 @@ def is_boilerplate(node: Node) -> bool:
 
 
 
+def _digests(tops: list[Node], kind: bytes, walls: tuple, judged) -> dict[int, bytes]:
+    """A digest of every element below ``tops`` that has text and is ``judged``, by its identity.
 
-def subtree_hashes(root: Node) -> dict[int, bytes]:
-    """A digest of every element outside articles that holds none, by the element's identity.
-
-    White space in texts does not count.  Deep trees are walked without recursion.
+    Elements named in ``walls`` are not entered, and what holds one has no digest.  White space in
+    texts does not count.  Deep trees are walked without recursion.
     """
-    order, pending = [], [root]
+    order, pending = [], list(tops)
     while pending:
         node = pending.pop()
         order.append(node)
-        pending += [c for c in node.children if isinstance(c, Node) and c.name not in ("article", "main")]
-    digests: dict[int, bytes] = {}
+        pending += [c for c in node.children if isinstance(c, Node) and c.name not in walls]
+    heads = {id(top) for top in tops}
+    # digest and number of words of all elements, below those that are judged as well
+    known: dict[int, tuple[bytes, int]] = {}
+    found: dict[int, bytes] = {}
     for node in reversed(order):
-        parts = [node.name.encode(), repr(sorted(node.attributes.items())).encode()]
-        whole = True
+        parts = [kind, node.name.encode(), repr(sorted(node.attributes.items())).encode()]
+        words = 0
         for child in node.children:
             if isinstance(child, str):
-                parts.append(" ".join(child.split()).encode("utf-8", "surrogatepass"))
-            elif id(child) in digests:
-                parts.append(b"\x01" + digests[id(child)])
+                split = child.split()
+                words += len(split)
+                parts.append(" ".join(split).encode("utf-8", "surrogatepass"))
+            elif id(child) in known:
+                digest, n = known[id(child)]
+                words += n
+                parts.append(b"\x01" + digest)
             else:
-                whole = False
                 break
-        if whole and node is not root and node.name != "body":
-            digests[id(node)] = hashlib.blake2b(b"\x00".join(parts), digest_size=12).digest()
-    return digests
+        else:
+            digest = hashlib.blake2b(b"\x00".join(parts), digest_size=12).digest()
+            known[id(node)] = digest, words
+            if words and id(node) not in heads and judged(node, words):
+                found[id(node)] = digest
+    return found
+
+
+def subtree_hashes(root: Node) -> dict[int, bytes]:
+    """A digest of every element with text outside articles that holds none."""
+    return _digests([root], b"outside", ("article", "main"), lambda node, words: node.name != "body")
+
+
+def _is_block(node: Node, words: int) -> bool:
+    if node.name not in BLOCK or node.name in _PARTS:
+        return False
+    return node.name not in _PROSE or words >= _PROSE_WORDS
+
+
+def article_hashes(articles: list[Node]) -> dict[int, bytes]:
+    """A digest of every whole block with text inside the articles, themselves left out."""
+    return _digests(articles, b"inside", (), _is_block)
+
+
+def _key(texts: list[str]) -> int:
+    joined = "\n".join(texts).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(joined, digest_size=8).digest(), "big", signed=True)
 
 
 def blocks_of(root: Node, template: frozenset | set = frozenset()) -> list[str]:
     """Texts of the blocks that remain, in page order."""
-    digests = subtree_hashes(root) if template else {}
-    tops = _articles(root) or [root]
+    articles = _articles(root)
+    tops = articles or [root]
+    digests: dict[int, bytes] = {}
+    if template:
+        digests = article_hashes(articles) if articles else subtree_hashes(root)
     blocks: list[str] = []
     line: list[str] = []
 
@@ -246,48 +289,117 @@ def host_of(url_col: str):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[a-zA-Z][\w+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1))
 
 
+def _counted(pages: DataFrame, compute) -> DataFrame:
+    """(host, digest, n): on how many different keys a digest occurs; ``compute`` yields the
+    (host, digest, key) of a slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in sliced(batch, "html"):
+                rows = list(compute(part))
+                hosts, digests, keys = zip(*rows, strict=True) if rows else ((), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hosts, pa.string()), pa.array(digests, pa.binary()), pa.array(keys, pa.int64())],
+                    names=["host", "digest", "key"],
+                )
+
+    return (
+        pages.mapInArrow(run, "host string, digest binary, key long")
+        .distinct()
+        .groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def _template_sets(part: pa.RecordBatch, host_col: str, template_col: str) -> list[frozenset]:
+    """The template of each row; rows of a host share one set."""
+    column, known = part.column(template_col), {}
+    hosts = part.column(host_col).to_pylist()
+    for i, host in enumerate(hosts):
+        if host not in known:
+            known[host] = frozenset(column[i].as_py() or ())
+    return [known[host] for host in hosts]
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written and read again, so that Spark plans joins by its real size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: In the place of a digest: counts the pages, and the articles, of a host.
+_PAGES, _ARTICLES = b"pages", b"articles"
+
+
 def site_templates(
     pages: DataFrame, url_col: str, html_col: str, share: float, least_pages: int
 ) -> DataFrame:
     """(__host, __template): per host the digests of subtrees on at least ``share`` of its
     different pages, and on ``least_pages`` of them.
 
-    Pages with the same html count once.  An array has at most (subtrees of a page / share)
-    digests, so it is bounded by the pages' form, not by their number.
+    Outside articles, pages with the same html count once.  Inside, first articles with the same
+    text count once; of the blocks that recur on enough of these, only those are template that
+    recur on as many articles which begin differently without such blocks and keep
+    ``OWN_SHARE`` of their text, so a group of near copies counts little or not at all.  An array
+    has at most (subtrees of a page / share) digests, so it is bounded by the pages' form, not by
+    their number.
     """
     different = pages.select(host_of(url_col).alias("host"), F.col(html_col).alias("html")).filter(
         F.col("html").isNotNull()
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in sliced(batch, "html"):
-                hosts, digests, pages_ = [], [], []
-                for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
-                    found = set(subtree_hashes(parse(page)).values())
-                    whole = int.from_bytes(hashlib.blake2b(page.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
-                    for digest in found:
-                        hosts.append(host)
-                        digests.append(digest)
-                        pages_.append(whole)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hosts, pa.string()), pa.array(digests, pa.binary()), pa.array(pages_, pa.int64())],
-                    names=["host", "digest", "page"],
-                )
+    def first(part: pa.RecordBatch):
+        for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
+            root = parse(page)
+            whole = _key([page])
+            yield host, _PAGES, whole
+            for digest in set(subtree_hashes(root).values()):
+                yield host, b"o" + digest, whole
+            articles = _articles(root)
+            if articles:
+                article = _key(blocks_of(root))
+                yield host, _ARTICLES, article
+                for digest in set(article_hashes(articles).values()):
+                    yield host, b"i" + digest, article
+
+    counts = _stored(_counted(different, first).filter((F.col("n") >= least_pages) | F.col("digest").isin(_PAGES, _ARTICLES)), "site-counts")
+    inside = F.substring("digest", 1, 1) == F.lit(b"i")
+    is_total = F.col("digest").isin(_PAGES, _ARTICLES)
+    totals = counts.filter(is_total).select(
+        F.col("host").alias("__host"), (F.col("digest") == F.lit(_ARTICLES)).alias("__inside"), F.col("n").alias("total")
+    )
 
-    hosts = (
-        different.select("host", F.xxhash64("html").alias("page")).distinct()
-        .groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-        .select(F.col("host").alias("__host"), "pages")
+    def enough(counted: DataFrame) -> DataFrame:
+        return (
+            counted.filter(~is_total & (F.col("n") >= least_pages))
+            .join(totals, (F.col("host") == F.col("__host")) & (inside == F.col("__inside")))
+            .filter(F.col("n") >= share * F.col("total"))
+            .select("host", "digest", F.substring("digest", 2, 12).alias("subtree"), inside.alias("inside"))
+        )
+
+    recurring = enough(counts)
+    candidates = _stored(
+        recurring.filter("inside").groupBy(F.col("host").alias("__host"))
+        .agg(F.collect_list("subtree").alias("__template")),
+        "site-candidates",
     )
+
+    def again(part: pa.RecordBatch):
+        sets = _template_sets(part, "host", "__template")
+        for host, page, template in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), sets, strict=True):
+            root = parse(page)
+            found = set(article_hashes(_articles(root)).values()) & template
+            if found:
+                own = blocks_of(root, template)
+                if own and sum(map(len, own)) >= OWN_SHARE * sum(map(len, blocks_of(root))):
+                    begins = _key(own[:1])
+                    for digest in found:
+                        yield host, b"i" + digest, begins
+
+    of_hosts = different.join(candidates, F.col("host") == F.col("__host")).select("host", "html", "__template")
     return (
-        different.mapInArrow(run, "host string, digest binary, page long")
-        .distinct()
-        .groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= least_pages)
-        .join(hosts, F.col("host") == F.col("__host"))
-        .filter(F.col("n") >= share * F.col("pages"))
-        .groupBy("__host").agg(F.collect_list("digest").alias("__template"))
+        enough(_counted(of_hosts, again)).unionByName(recurring.filter(~F.col("inside")))
+        .groupBy(F.col("host").alias("__host")).agg(F.collect_list("subtree").alias("__template"))
     )
 
 
@@ -306,20 +418,15 @@ def extract_text(
     page has the empty text.  A page whose url is null or has no host belongs to the host ''.
     Repeated rows get the same text; columns of ``pages`` named like results are replaced.
     """
-    spark = pages.sparkSession
-    found = site_templates(pages, url_col, html_col, share, least_pages)
-    # written first, so that Spark plans the join by their real size
-    path = scratch_path(spark, "site-templates")
-    found.write.parquet(path)
-    templates = spark.read.schema(found.schema).parquet(path)
+    templates = _stored(site_templates(pages, url_col, html_col, share, least_pages), "site-templates")
     marked = pages.withColumn("__at", host_of(url_col)).join(
         templates, F.col("__at") == F.col("__host"), "left"
     )
 
     def compute(part: pa.RecordBatch) -> dict:
         texts = []
-        for page, template in zip(part.column(html_col).to_pylist(), part.column("__template").to_pylist(), strict=True):
-            texts.append("\n".join(blocks_of(parse(page), set(template or ()))) if page else "")
+        for page, template in zip(part.column(html_col).to_pylist(), _template_sets(part, "__at", "__template"), strict=True):
+            texts.append("\n".join(blocks_of(parse(page), template)) if page else "")
         return {"text": texts, "n_chars": [len(t) for t in texts]}
 
     fields = [StructField("text", StringType(), False), StructField("n_chars", LongType(), False)]
