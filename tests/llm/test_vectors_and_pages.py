@@ -146,6 +146,33 @@ def test_near_copies_of_an_article_keep_what_they_share(spark):
     assert all(t.count("x11") == 3 for t in got.values()) and len(got) == 18
 
 
+WRAPPERS = [
+    "<form>{}</form>", '<div class="site has-sidebar">{}</div>', '<div class="header-fixed">{}</div>',
+    '<div id="nav-wrapper"><form>{}</form></div>', '<main><h1>Site</h1><div class="has-sidebar">{}</div></main>',
+]
+
+
+@pytest.mark.parametrize("article", ["<article><p>The text of the page</p></article>", "<main><p>The text of the page</p></main>"])
+def test_an_article_in_a_wrapper_stays(spark, article):
+    rows = [(i, f"http://h{i}.example/", f"<body><nav>n</nav>{w.format(article)}</body>") for i, w in enumerate(WRAPPERS)]
+    if article.startswith("<main"):
+        rows.pop()
+    assert set(extracted(spark, rows).values()) == {"The text of the page"}
+
+
+def test_named_boxes_of_other_articles_still_go(spark):
+    other = "<article><p>Another article, and longer than the one of the page is</p></article>"
+    rows = [
+        (i, f"http://h{i}.example/", f"<body><{tag}><p>Own text</p>{inner}</{tag}>{outer}</body>")
+        for i, (tag, inner, outer) in enumerate([
+            ("article", "", f'<div id="comments">{other}</div>'), ("article", f'<div class="related">{other}</div>', ""),
+            ("main", "", f'<div class="related-posts">{other}</div>'), ("article", "", f"<aside>{other}</aside>"),
+            ("article", "", f"<div hidden>{other}</div>"),
+        ])
+    ]
+    assert set(extracted(spark, rows).values()) == {"Own text"}
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
     rows = [

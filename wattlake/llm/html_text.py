@@ -62,6 +62,11 @@ _SAYS = re.compile(
     r"contentinfo|complementary|navigation|alert|alertdialog|form)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+#: Of these, words for boxes that hold other articles or comments, never the page's own.
+_OTHERS = re.compile(
+    r"(?:^|[\s_-])(?:related|recommend\w*|comments?|commentlist|disqus|replies|respond|widgets?)(?=$|[\s_-])",
+    re.IGNORECASE,
+)
 #: What ends an open element of the first kind when it begins.
 _ENDS = {
     "p": BLOCK - {"html", "body", "td", "th"},
@@ -168,7 +173,12 @@ def is_boilerplate(node: Node) -> bool:
         return False
     if "hidden" in a or a.get("aria-hidden", "").lower() == "true":
         return True
-    return any(_SAYS.search(a[k]) for k in ("class", "id", "role") if k in a)
+    return _says(node, _SAYS)
+
+
+def _says(node: Node, words: re.Pattern) -> bool:
+    a = node.attributes
+    return any(words.search(a[k]) for k in ("class", "id", "role") if k in a)
 
 
 
@@ -268,8 +278,37 @@ def blocks_of(root: Node, template: frozenset | set = frozenset()) -> list[str]:
     return blocks
 
 
+def _named_only(node: Node) -> bool:
+    """Boilerplate by class, id or role, or a form: what may also be a wrapper around a page."""
+    if node.name not in BOILERPLATE:
+        a = node.attributes
+        return "hidden" not in a and a.get("aria-hidden", "").lower() != "true"
+    return node.name == "form"
+
+
 def _articles(root: Node) -> list[Node]:
-    """The outermost articles outside boilerplate, or else the main elements."""
+    """The outermost articles, or else the main elements.
+
+    Those outside boilerplate count, and those in wrappers: elements boilerplate by name alone
+    (or forms) that hold most of the page's text, and are not made of others' posts.  If these
+    have no text, all that lie in no boilerplate but named elements and forms count.
+    """
+    sizes: dict[int, int] = {}
+
+    def wraps(node: Node) -> bool:
+        if not sizes:
+            sizes.update(_text_sizes(root))
+        return 2 * sizes[id(node)] > sizes[id(root)] and not _says(node, _OTHERS)
+
+    found = _outermost(root, wraps)
+    if any(_has_text(one) for one in found):
+        return found
+    return _outermost(root, lambda node: True) or found
+
+
+def _outermost(root: Node, enter) -> list[Node]:
+    """The outermost articles, or else main elements, not below boilerplate but for named elements
+    to ``enter``."""
     found: dict[str, list[Node]] = {"article": [], "main": []}
     pending = [(root, False)]
     while pending:
@@ -280,11 +319,38 @@ def _articles(root: Node) -> list[Node]:
         if node.name == "main" and not inside:
             found["main"].append(node)
             inside = True
-        if not is_boilerplate(node):
+        if not is_boilerplate(node) or (_named_only(node) and enter(node)):
             pending += [(c, inside) for c in reversed(node.children) if isinstance(c, Node)]
     return found["article"] or found["main"]
 
 
+def _text_sizes(root: Node) -> dict[int, int]:
+    """Characters of text in every element, by its identity, without elements never main text."""
+    order, pending = [], [root]
+    while pending:
+        node = pending.pop()
+        order.append(node)
+        pending += [c for c in node.children if isinstance(c, Node)]
+    sizes: dict[int, int] = {}
+    for node in reversed(order):
+        size = sum(len("".join(c.split())) if isinstance(c, str) else sizes[id(c)] for c in node.children)
+        sizes[id(node)] = size if node.name not in BOILERPLATE or node.name == "form" else 0
+    return sizes
+
+
+def _has_text(top: Node) -> bool:
+    """Whether anything of an article is left without boilerplate."""
+    pending: list = [top]
+    while pending:
+        one = pending.pop()
+        if isinstance(one, str):
+            if html.unescape(one).strip():
+                return True
+        elif not is_boilerplate(one):
+            pending += reversed(one.children)
+    return False
+
+
 def host_of(url_col: str):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[a-zA-Z][\w+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1))
 
