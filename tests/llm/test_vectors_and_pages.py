@@ -173,6 +173,20 @@ def test_named_boxes_of_other_articles_still_go(spark):
     assert set(extracted(spark, rows).values()) == {"Own text"}
 
 
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_a_box_on_many_pages_of_a_large_host_goes(spark, tag):
+    long = f"<p>{' '.join(f'w{n}' for n in range(30))}</p>"
+
+    def page(i):
+        # a box on 6 % of the pages, a story with near copies on 6 %, and words alike by chance
+        inner = BOX if i < 120 else f"{long}<p>Changed {i}</p>" if i < 240 else ""
+        return f"<body><{tag}><h2>{'Story' if 120 <= i < 240 else f'Title {i}'}</h2><p>Own <b>{i % 17}</b> text {i}</p>{inner}</{tag}></body>"
+
+    got = extracted(spark, [(i, f"http://a.example/{i}", page(i)) for i in range(2000)])
+    assert all(got[i] == f"Title {i}\nOwn {i % 17} text {i}" for i in [*range(120), *range(240, 2000)])
+    assert all("w0 w1" in got[i] and got[i].endswith(f"Changed {i}") for i in range(120, 240))
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000
     rows = [

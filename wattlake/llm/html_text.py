@@ -182,8 +182,9 @@ def _says(node: Node, words: re.Pattern) -> bool:
 
 
 
-def _digests(tops: list[Node], kind: bytes, walls: tuple, judged) -> dict[int, bytes]:
-    """A digest of every element below ``tops`` that has text and is ``judged``, by its identity.
+def _digests(tops: list[Node], walls: tuple, mark) -> dict[int, bytes]:
+    """A digest, beginning with its ``mark``, of every element below ``tops`` that has text and a
+    mark, by the element's identity.
 
     Elements named in ``walls`` are not entered, and what holds one has no digest.  White space in
     texts does not count.  Deep trees are walked without recursion.
@@ -194,11 +195,11 @@ def _digests(tops: list[Node], kind: bytes, walls: tuple, judged) -> dict[int, b
         order.append(node)
         pending += [c for c in node.children if isinstance(c, Node) and c.name not in walls]
     heads = {id(top) for top in tops}
-    # digest and number of words of all elements, below those that are judged as well
+    # digest and number of words of all elements, of those without a mark as well
     known: dict[int, tuple[bytes, int]] = {}
     found: dict[int, bytes] = {}
     for node in reversed(order):
-        parts = [kind, node.name.encode(), repr(sorted(node.attributes.items())).encode()]
+        parts = [node.name.encode(), repr(sorted(node.attributes.items())).encode()]
         words = 0
         for child in node.children:
             if isinstance(child, str):
@@ -214,14 +215,14 @@ def _digests(tops: list[Node], kind: bytes, walls: tuple, judged) -> dict[int, b
         else:
             digest = hashlib.blake2b(b"\x00".join(parts), digest_size=12).digest()
             known[id(node)] = digest, words
-            if words and id(node) not in heads and judged(node, words):
-                found[id(node)] = digest
+            kind = mark(node, words) if words and id(node) not in heads else b""
+            if kind:
+                found[id(node)] = kind + digest
     return found
 
 
-def subtree_hashes(root: Node) -> dict[int, bytes]:
-    """A digest of every element with text outside articles that holds none."""
-    return _digests([root], b"outside", ("article", "main"), lambda node, words: node.name != "body")
+#: The marks of whole blocks inside articles, of whole blocks outside, and of all else outside.
+_INSIDE, _OUTSIDE, _PIECE = b"i", b"o", b"p"
 
 
 def _is_block(node: Node, words: int) -> bool:
@@ -230,9 +231,20 @@ def _is_block(node: Node, words: int) -> bool:
     return node.name not in _PROSE or words >= _PROSE_WORDS
 
 
+def subtree_hashes(root: Node) -> dict[int, bytes]:
+    """A digest of every element with text outside articles that holds none."""
+
+    def mark(node: Node, words: int) -> bytes:
+        if node.name == "body":
+            return b""
+        return _OUTSIDE if _is_block(node, words) else _PIECE
+
+    return _digests([root], ("article", "main"), mark)
+
+
 def article_hashes(articles: list[Node]) -> dict[int, bytes]:
     """A digest of every whole block with text inside the articles, themselves left out."""
-    return _digests(articles, b"inside", (), _is_block)
+    return _digests(articles, (), lambda node, words: _INSIDE if _is_block(node, words) else b"")
 
 
 def _key(texts: list[str]) -> int:
@@ -398,17 +410,19 @@ _PAGES, _ARTICLES = b"pages", b"articles"
 
 
 def site_templates(
-    pages: DataFrame, url_col: str, html_col: str, share: float, least_pages: int
+    pages: DataFrame, url_col: str, html_col: str, share: float, least_pages: int,
+    many_pages: int, least_share: float,
 ) -> DataFrame:
-    """(__host, __template): per host the digests of subtrees on at least ``share`` of its
-    different pages, and on ``least_pages`` of them.
-
-    Outside articles, pages with the same html count once.  Inside, first articles with the same
-    text count once; of the blocks that recur on enough of these, only those are template that
-    recur on as many articles which begin differently without such blocks and keep
-    ``OWN_SHARE`` of their text, so a group of near copies counts little or not at all.  An array
-    has at most (subtrees of a page / share) digests, so it is bounded by the pages' form, not by
-    their number.
+    """(__host, __template): per host the digests of subtrees on ``least_pages`` of its different
+    pages, and on ``share`` of them; of whole blocks, ``many_pages`` are enough whatever the share,
+    if they are ``least_share`` of the pages.
+
+    Outside articles, pages with the same html count once; inside, articles with the same text.
+    Blocks inside articles, and those outside that only ``many_pages`` speak for, are counted a
+    second time, over the articles (or pages without one) which begin differently without such
+    blocks and keep ``OWN_SHARE`` of their text: a group of near copies counts little or not at
+    all.  An array has at most (subtrees of a page / least_share) digests, so it is bounded by the
+    pages' form, not by their number.
     """
     different = pages.select(host_of(url_col).alias("host"), F.col(html_col).alias("html")).filter(
         F.col("html").isNotNull()
@@ -420,52 +434,67 @@ def site_templates(
             whole = _key([page])
             yield host, _PAGES, whole
             for digest in set(subtree_hashes(root).values()):
-                yield host, b"o" + digest, whole
+                yield host, digest, whole
             articles = _articles(root)
             if articles:
                 article = _key(blocks_of(root))
                 yield host, _ARTICLES, article
                 for digest in set(article_hashes(articles).values()):
-                    yield host, b"i" + digest, article
+                    yield host, digest, article
 
-    counts = _stored(_counted(different, first).filter((F.col("n") >= least_pages) | F.col("digest").isin(_PAGES, _ARTICLES)), "site-counts")
-    inside = F.substring("digest", 1, 1) == F.lit(b"i")
     is_total = F.col("digest").isin(_PAGES, _ARTICLES)
+    counts = _stored(
+        _counted(different, first).filter((F.col("n") >= least_pages) | is_total), "site-counts"
+    )
+    kind = F.substring("digest", 1, 1)
     totals = counts.filter(is_total).select(
         F.col("host").alias("__host"), (F.col("digest") == F.lit(_ARTICLES)).alias("__inside"), F.col("n").alias("total")
     )
+    often = F.col("n") >= share * F.col("total")
+    many = (kind != F.lit(_PIECE)) & (F.col("n") >= F.greatest(F.lit(many_pages), least_share * F.col("total")))
 
     def enough(counted: DataFrame) -> DataFrame:
         return (
             counted.filter(~is_total & (F.col("n") >= least_pages))
-            .join(totals, (F.col("host") == F.col("__host")) & (inside == F.col("__inside")))
-            .filter(F.col("n") >= share * F.col("total"))
-            .select("host", "digest", F.substring("digest", 2, 12).alias("subtree"), inside.alias("inside"))
+            .join(totals, (F.col("host") == F.col("__host")) & ((kind == F.lit(_INSIDE)) == F.col("__inside")))
+            .filter(often | many)
+            .select("host", "digest", (often & (kind != F.lit(_INSIDE))).alias("sure"))
         )
 
     recurring = enough(counts)
     candidates = _stored(
-        recurring.filter("inside").groupBy(F.col("host").alias("__host"))
-        .agg(F.collect_list("subtree").alias("__template")),
+        recurring.groupBy(F.col("host").alias("__host"))
+        .agg(
+            F.collect_list(F.when(~F.col("sure"), F.col("digest"))).alias("__unsure"),
+            F.collect_list(F.when(F.col("sure"), F.col("digest"))).alias("__sure"),
+        )
+        .filter(F.size("__unsure") > 0),
         "site-candidates",
     )
 
     def again(part: pa.RecordBatch):
-        sets = _template_sets(part, "host", "__template")
-        for host, page, template in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), sets, strict=True):
+        hosts, texts = part.column("host").to_pylist(), part.column("html").to_pylist()
+        sets = zip(_template_sets(part, "host", "__unsure"), _template_sets(part, "host", "__sure"), strict=True)
+        for host, page, (unsure, sure) in zip(hosts, texts, sets, strict=True):
             root = parse(page)
-            found = set(article_hashes(_articles(root)).values()) & template
+            articles = _articles(root)
+            around = set(subtree_hashes(root).values()) & unsure
+            found = set(article_hashes(articles).values()) & unsure if articles else around
+            if articles:
+                whole = _key([page])
+                for digest in around:
+                    yield host, digest, whole
             if found:
-                own = blocks_of(root, template)
-                if own and sum(map(len, own)) >= OWN_SHARE * sum(map(len, blocks_of(root))):
+                own = blocks_of(root, unsure | sure)
+                if own and sum(map(len, own)) >= OWN_SHARE * sum(map(len, blocks_of(root, sure))):
                     begins = _key(own[:1])
                     for digest in found:
-                        yield host, b"i" + digest, begins
+                        yield host, digest, begins
 
-    of_hosts = different.join(candidates, F.col("host") == F.col("__host")).select("host", "html", "__template")
+    of_hosts = different.join(candidates, F.col("host") == F.col("__host")).select("host", "html", "__unsure", "__sure")
     return (
-        enough(_counted(of_hosts, again)).unionByName(recurring.filter(~F.col("inside")))
-        .groupBy(F.col("host").alias("__host")).agg(F.collect_list("subtree").alias("__template"))
+        enough(_counted(of_hosts, again)).unionByName(recurring.filter("sure"))
+        .groupBy(F.col("host").alias("__host")).agg(F.collect_list("digest").alias("__template"))
     )
 
 
@@ -475,16 +504,20 @@ def extract_text(
     html_col: str = "html",
     share: float = 0.2,
     least_pages: int = 5,
+    many_pages: int = 100,
+    least_share: float = 0.001,
 ) -> DataFrame:
     """All columns of ``pages``, ``text`` and ``n_chars`` (its code points).
 
     The text is that of the page's articles (else of its main element, else of its body) without
-    boilerplate and without subtrees of the host's template.  Character references are decoded,
+    boilerplate and without subtrees of the host's template (``site_templates``).  Character references are decoded,
     white space within a block is one space, blocks are joined by a line feed.  A null or empty
     page has the empty text.  A page whose url is null or has no host belongs to the host ''.
     Repeated rows get the same text; columns of ``pages`` named like results are replaced.
     """
-    templates = _stored(site_templates(pages, url_col, html_col, share, least_pages), "site-templates")
+    templates = _stored(
+        site_templates(pages, url_col, html_col, share, least_pages, many_pages, least_share), "site-templates"
+    )
     marked = pages.withColumn("__at", host_of(url_col)).join(
         templates, F.col("__at") == F.col("__host"), "left"
     )
