@@ -393,6 +393,20 @@ def test_quality_of_odd_rows(spark):
     assert quality_model.score_quality(docs, empty).count() == len(ODD)
 
 
+def test_metadata_is_a_feature_of_quality(spark):
+    # the texts say nothing of the label, the size told of them does
+    rows = [(i, "the same text", (5 if i % 2 else 50_000) if i % 50 else None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    model = quality_model.fit_quality_model(docs, labels)
+    got = quality_model.score_quality(docs, model).filter("n_chars IS NOT NULL").collect()
+    assert model.metadata == ("n_chars",) and all(r["predicted"] == r["doc_id"] % 2 for r in got)
+    plain = quality_model.fit_quality_model(docs, labels, metadata=())
+    assert len({r["score"] for r in quality_model.score_quality(docs, plain).collect()}) == 1
+    with pytest.raises(ValueError, match="text"):
+        quality_model.fit_quality_model(docs, labels, metadata=["text"])
+
+
 # --- quality rules -----------------------------------------------------------------------------
 
 

@@ -1,8 +1,8 @@
 """Quality classifier: a factorisation machine over hashed words and the shape of the text.
 
 A document is a vector of hashed words (presence, unit length), indicators of its structure
-(symbols, capitals, repeated lines and phrases, word length, ...) and its size.  The machine adds
-to a linear score the interactions of all pairs of features, with weights of low rank::
+(symbols, capitals, repeated lines and phrases, word length, ...), its size, and indicators of
+its metadata (numeric columns, ``n_chars`` unless told otherwise).  The machine adds to a linear score the interactions of all pairs of features, with weights of low rank::
 
     sum_{i<j} <v_i, v_j> x_i x_j = 1/2 sum_f [ (sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2 ]
 
@@ -11,13 +11,14 @@ so a batch of documents is scored by two matrix products, in time linear in its
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructField
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, NumericType, StructField
 
 from wattlake.llm.frames import with_computed
 from wattlake.llm.text_stats import text_stats
@@ -39,9 +40,28 @@ EDGES = {
 }
 STAT_DIMS = sum(len(edges) + 1 for edges in EDGES.values())
 DIMS = WORD_DIMS + STAT_DIMS
+#: Borders of the cells of a metadata column; unknown (null or NaN) is a cell of its own, the last.
+METADATA_EDGES = (0, 1, 10, 30, 100, 300, 1000, 3000, 10_000, 30_000, 100_000, 1_000_000)
+METADATA_DIMS = len(METADATA_EDGES) + 2
 
 
-def feature_rows(column: pa.Array):
+def metadata_columns(docs: DataFrame, names: Sequence[str] | None) -> tuple[str, ...]:
+    """``names``, which must be numeric columns; if None, ``n_chars`` where it is one."""
+    numeric = {f.name for f in docs.schema.fields if isinstance(f.dataType, NumericType)}
+    if names is None:
+        return tuple(c for c in ("n_chars",) if c in numeric)
+    if missing := [c for c in names if c not in numeric]:
+        raise ValueError(f"not numeric columns: {missing}")
+    return tuple(names)
+
+
+def _metadata_cells(column: pa.Array) -> np.ndarray:
+    values = column.cast(pa.float64(), safe=False).to_numpy(zero_copy_only=False)
+    cells = np.searchsorted(METADATA_EDGES, values, "right")
+    return np.where(np.isnan(values), METADATA_DIMS - 1, cells)
+
+
+def feature_rows(column: pa.Array, metadata: Sequence[pa.Array] = ()):
     """Yields, for up to ``ROWS_AT_ONCE`` texts at a time, a dense matrix of features."""
     stats = text_stats(column, hashed=True)
     words, hashes = stats["words"], stats["hashes"]
@@ -59,11 +79,12 @@ def feature_rows(column: pa.Array):
         "digits": stats["n_digits"] / np.maximum(stats["word_chars"], 1),
         "words": stats["n_words"],
     }
+    cells = [_metadata_cells(one) for one in metadata]
     for a in range(0, texts, ROWS_AT_ONCE):
         b = min(a + ROWS_AT_ONCE, texts)
         mine = slice(words.bounds[a], words.bounds[b])
         row = np.repeat(np.arange(b - a), np.diff(words.bounds[a : b + 1]))
-        x = np.zeros((b - a, DIMS), np.float32)
+        x = np.zeros((b - a, DIMS + METADATA_DIMS * len(cells)), np.float32)
         x[row, bucket[mine]] = 1
         present = x[:, :WORD_DIMS].sum(1)
         x[:, :WORD_DIMS] /= np.sqrt(np.maximum(present, 1))[:, None]
@@ -72,6 +93,9 @@ def feature_rows(column: pa.Array):
         for name, edges in EDGES.items():
             x[np.arange(b - a), at + np.searchsorted(edges, shape[name], "right")] = 1
             at += len(edges) + 1
+        for cell in cells:
+            x[np.arange(b - a), at + cell[a:b]] = 1
+            at += METADATA_DIMS
         yield x
 
 
@@ -80,6 +104,7 @@ class FactorisationMachine:
     bias: float
     weights: np.ndarray
     factors: np.ndarray
+    metadata: tuple[str, ...] = ()
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """The probability of label 1 for each row."""
@@ -97,18 +122,19 @@ def fit_machine(
     rate: float = 0.02,
     decay: float = 1e-4,
     seed: int = 7,
+    dims: int = DIMS,
 ) -> FactorisationMachine:
     """Logistic loss by Adam over mini-batches of sparse rows (feature numbers and values)."""
     random = np.random.default_rng(seed)
     share = np.clip(labels.mean(), 0.01, 0.99) if len(labels) else 0.5
     b = np.array([np.log(share / (1 - share))])
-    w, v = np.zeros(DIMS), random.normal(0, 0.01, (DIMS, rank))
+    w, v = np.zeros(dims), random.normal(0, 0.01, (dims, rank))
     params = [b, w, v]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     step = 0
     for _ in range(epochs if len(set(labels.tolist())) > 1 else 0):
         for at in np.array_split(random.permutation(len(labels)), max(1, len(labels) // 128)):
-            x = np.zeros((len(at), DIMS))
+            x = np.zeros((len(at), dims))
             for i, r in enumerate(at):
                 x[i, rows[r][0]] = rows[r][1]
             together = x @ v
@@ -139,9 +165,10 @@ def learnable(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
 
 
 def training_sample(
-    docs: DataFrame, told: DataFrame, id_col: str, text_col: str, sample_per_label: int
+    docs: DataFrame, told: DataFrame, id_col: str, text_col: str, sample_per_label: int,
+    metadata: Sequence[str] = (),
 ) -> DataFrame:
-    """(text, label): up to ``sample_per_label`` documents of each label, first by a hash of the id.
+    """(text, label, one ``__meta`` column each of ``metadata``): up to ``sample_per_label`` documents of each label, first by a hash of the id.
 
     The ids are chosen first; of the texts, only the chosen ones are moved.
     """
@@ -149,26 +176,32 @@ def training_sample(
     for label in (0, 1):
         one = told.filter(F.col("label") == label).orderBy(F.xxhash64("__id"), "__id").limit(sample_per_label)
         picked = one if picked is None else picked.unionByName(one)
-    few = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    return few.join(F.broadcast(picked), "__id").select("text", "label")
+    more = [F.col(c).alias(f"__meta{i}") for i, c in enumerate(metadata)]
+    few = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"), *more)
+    return few.join(F.broadcast(picked), "__id").drop("__id")
 
 
 def fit_quality_model(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "quality", sample_per_label: int = 3000,
+    label_col: str = "quality", sample_per_label: int = 3000, metadata: Sequence[str] | None = None,
 ) -> FactorisationMachine:
     """The machine, fitted on at most ``2 * sample_per_label`` labelled documents.
 
     Documents whose ``crc32(id as text) mod 3`` is 1 are held out.  Executors turn the texts into
-    features; the driver gets at most ``DIMS`` numbers per document.  The sample has as many of
+    features; the driver gets at most ``DIMS`` numbers, and one a metadata column, per document.  The sample has as many of
     either label; the bias is corrected to the shares of all labels that are not held out.
+    ``metadata`` names numeric columns that are features too; None stands for ``n_chars``, if the
+    table has it.
     """
+    used = metadata_columns(docs, metadata)
     told = learnable(labels, id_col, label_col)
     shares = {r["label"]: r["count"] for r in told.groupBy("label").count().collect()}
-    sample = training_sample(docs, told, id_col, text_col, sample_per_label)
+    sample = training_sample(docs, told, id_col, text_col, sample_per_label, used)
+    dims = DIMS + METADATA_DIMS * len(used)
 
     def compute(part: pa.RecordBatch) -> dict:
-        out = [row for x in feature_rows(part.column("text")) for row in x]
+        more = [part.column(f"__meta{i}") for i in range(len(used))]
+        out = [row for x in feature_rows(part.column("text"), more) for row in x]
         return {"features": [np.flatnonzero(r).astype(np.uint16).tobytes() for r in out],
                 "values": [r[r != 0].astype(np.float16).tobytes() for r in out]}
 
@@ -178,7 +211,7 @@ def fit_quality_model(
     found = sorted((r["label"], bytes(r["features"]), bytes(r["values"])) for r in found)
     rows = [(np.frombuffer(f, np.uint16), np.frombuffer(v, np.float16)) for _, f, v in found]
     labels_found = np.array([r[0] for r in found], float)
-    model = fit_machine(rows, labels_found)
+    model = replace(fit_machine(rows, labels_found, dims=dims), metadata=used)
     ones, zeros = labels_found.sum(), (1 - labels_found).sum()
     if not (ones and zeros):
         return model
@@ -191,13 +224,16 @@ def score_quality(
 ) -> DataFrame:
     """All columns of ``docs``, ``score`` (0 to 1, higher: label 1 likelier) and ``predicted``.
 
-    Only the text is looked at.  A null or empty text is scored by its (lack of) structure.
+    Only the text and the metadata columns the machine was fitted with are looked at; these must be
+    there.  A null or empty text is scored by its (lack of) structure.
     Repeated rows get the same score; columns of ``docs`` named like results are replaced.  An
     empty table gives an empty table; a machine fitted without both labels scores by their share.
     """
+    used = metadata_columns(docs, model.metadata)
 
     def compute(part: pa.RecordBatch) -> dict:
-        blocks = [model.scores(x) for x in feature_rows(part.column(text_col))]
+        more = [part.column(c) for c in used]
+        blocks = [model.scores(x) for x in feature_rows(part.column(text_col), more)]
         scores = np.concatenate(blocks) if blocks else np.zeros(0)
         return {"score": scores, "predicted": (scores >= 0.5).astype(np.int32)}
 

@@ -62,7 +62,7 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     model = quality_model.fit_quality_model(docs, table(spark, sf_dir, "labels"))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     return quality_model.score_quality(docs, model).select(
