@@ -6,7 +6,7 @@ stage's result is written to the shared folder and read again by the next one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm import ngram_join, packing, passages, quality_model, quality_rules
@@ -34,16 +34,25 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id; of rows with the same
-    id the first by text.  Rows without an id stay."""
-    groups = ngram_join.jaccard_components(docs)
-    chosen = groups.filter(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    one = Window.partitionBy("doc_id").orderBy(*(c for c in docs.columns if c != "doc_id"))
-    kept = (
-        docs.join(chosen, "doc_id", "left_semi")
-        .withColumn("__row", F.row_number().over(one)).filter(F.col("__row") == 1)
-    )
-    return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    """Of each group of near duplicates the document with the smallest id, of several the first by
+    text.  Rows that share an id but not a similar text are different documents; rows without an
+    id stay."""
+    known = docs.filter(F.col("doc_id").isNotNull())
+    unknown = docs.filter(F.col("doc_id").isNull())
+    if known.groupBy("doc_id").count().filter(F.col("count") > 1).isEmpty():
+        groups = ngram_join.jaccard_components(known)
+        chosen = groups.filter(F.col("component_id") == F.col("doc_id")).select("doc_id")
+        return known.join(chosen, "doc_id", "left_semi").select(*docs.columns).unionByName(unknown)
+    # a number for each different id and text, in their order, stands for the id
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    different = known.groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("__rest"))
+    path = scratch_path(spark, "repeated-ids")
+    different.sort("doc_id", "text").withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    numbered = spark.read.parquet(path)
+    groups = ngram_join.jaccard_components(numbered, id_col="__row")
+    chosen = groups.filter(F.col("component_id") == F.col("__row")).select("__row")
+    kept = numbered.join(chosen, "__row", "left_semi").select("doc_id", "text", "__rest.*")
+    return kept.select(*docs.columns).unionByName(unknown)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -82,6 +82,18 @@ def test_stages_take_odd_documents(spark, tmp_path):
         assert corpus_pipeline.packed(spark, frame, str(tmp_path)).count() == frame.count()
 
 
+def test_different_texts_with_one_id_stay(spark):
+    near = " ".join(f"w{n}" for n in range(200))
+    rows = [
+        (1, near, "en", "s", 1), (1, "another text of the same id", "en", "s", 2), (1, "Another  text of the same id", "en", "s", 3),
+        (1, "", "en", "s", 4), (1, None, "en", "s", 5), (2, near + " more", "en", "s", 6), (2, "a third text", "en", "s", 7),
+        (2, "a third text", "en", "r", 7), (-3, "another text of the same id", "en", "s", 8), (None, near, "en", "s", 9),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sorted(got, key=repr) == sorted([rows[0], rows[3], rows[4], rows[7], rows[8], rows[9]], key=repr)
+
+
 def test_every_operator_has_a_query():
     names = entry.queries()
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
