@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import timedelta
 
 from conftest import moment
@@ -57,6 +58,14 @@ def test_gaps_are_found_in_one_pass(spark, tmp_path):
     assert missing_hours(stored).count() == 78
 
 
+def test_times_off_the_grid_are_left_out_before_one_task_gets_the_rest(spark):
+    df = hours(spark, 0, 30).unionByName(hours(spark, *(n / 97 for n in range(1, 500))))
+    missing = missing_hours(df)
+    assert missing.count() == 24
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Filter .*__in_hour", plan[plan.index("SinglePartition"):])
+
+
 def test_the_grid_starts_at_the_first_time_and_ends_before_the_last(spark):
     found = missing_hours(hours(spark, 0.25, 1, 3.25, 5).withColumn("x", F.lit(None).cast("string")), by=["x"])
     assert sorted(r["datetime_utc"].strftime("%H:%M") for r in found.collect()) == ["01:15", "02:15", "04:15"]

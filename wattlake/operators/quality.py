@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions.values import total
+from wattlake.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -52,8 +53,10 @@ def missing_hours(
     Times are first combined to one row per series, day and position in the hour, the hours of
     the day being bits.  A series counts from its own first time on, so only the rows with that
     position matter; its missing hours are the bits not set, and the days between two rows.
-    One pass over the table; what is brought together per series (or overall) are its days, and
-    hours are written out day by day.
+    One pass over the table; what is brought together per series are its days, and hours are
+    written out day by day.  Overall, the combined rows are written to the shared folder and their
+    bounds taken when this is called, so that only calendar days with the first time's position
+    are brought together, however many times lie at other positions.
     """
     kind = df.schema[time_col].dataType
     df = df.withColumn(time_col, F.col(time_col).cast("timestamp"))
@@ -71,11 +74,20 @@ def missing_hours(
     series = Window.partitionBy(*by)
     following = F.lead("__day").over(series.orderBy("__day"))
     day_step = F.expr("INTERVAL 1 DAY")
-    on_grid = (
-        days.withColumns({
+    if by:
+        bounded = days.withColumns({
             "__from": F.min("__first").over(series), "__upto": F.max("__last").over(series),
         })
-        .filter(F.col("__in_hour") == F.unix_micros("__from") - F.unix_micros(F.date_trunc("hour", "__from")))
+    else:
+        path = scratch_path(df.sparkSession, "hours-of-days")
+        days.write.parquet(path)
+        days = df.sparkSession.read.schema(days.schema).parquet(path)
+        # as numbers, which no time zone of the driver changes
+        bounds = days.agg(F.unix_micros(F.min("__first")), F.unix_micros(F.max("__last"))).first()
+        first, last = (F.timestamp_micros(F.lit(b).cast("long")) for b in bounds)
+        bounded = days.withColumns({"__from": first, "__upto": last})
+    on_grid = (
+        bounded.filter(F.col("__in_hour") == F.unix_micros("__from") - F.unix_micros(F.date_trunc("hour", "__from")))
     )
     # every day up to the next row's, or up to the last time of the series
     until = F.coalesce(following - day_step, F.date_trunc("day", "__upto"))
