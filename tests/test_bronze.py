@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import documents, flows_document, mix_document, moment, write_bronze
+from samples import documents, flows_document, mix_document, moment, write_bronze
 from pyspark.sql import functions as F
 
 from wattlake.functions.times import utc

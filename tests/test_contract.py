@@ -1,5 +1,5 @@
 import pytest
-from conftest import documents, mix_document
+from samples import documents, mix_document
 from pyspark.sql import functions as F
 
 from wattlake.operators.contract import SchemaMismatch, conform, guard, violations
@@ -70,7 +70,7 @@ def test_rules_hold_only_when_true(spark, contract, test, holds):
 
 
 def test_flow_rows_fit_their_contract(spark):
-    from conftest import flows_document
+    from samples import flows_document
 
     df = add_partition_columns(flatten_flows(documents(spark, flows_document())))
     assert guard(conform(df, FLOWS), FLOWS).count() == 6

@@ -1,7 +1,7 @@
 import random
 from datetime import timedelta
 
-from conftest import moment
+from samples import moment
 from pyspark.sql import functions as F
 
 from wattlake.operators.dedupe import deduplicate

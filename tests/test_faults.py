@@ -1,7 +1,7 @@
 """States and inputs that once lost or kept rows without an error."""
 
 import pytest
-from conftest import mix_document, moment, write_bronze
+from samples import mix_document, moment, write_bronze
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

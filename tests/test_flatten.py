@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import document, documents, flows_document, mix_document, mix_entry
+from samples import document, documents, flows_document, mix_document, mix_entry
 
 from wattlake.operators.flatten import (
     add_partition_columns,

@@ -3,7 +3,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
-from conftest import (
+from samples import (
     flows_document,
     mix_document,
     moment,

@@ -2,7 +2,7 @@ import random
 import re
 from datetime import timedelta
 
-from conftest import moment
+from samples import moment
 from pyspark.sql import functions as F
 
 from wattlake.operators.quality import (

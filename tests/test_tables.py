@@ -2,7 +2,7 @@ from datetime import timedelta
 from pathlib import Path
 
 import pytest
-from conftest import documents, mix_document, moment
+from samples import documents, mix_document, moment
 from pyspark.sql import functions as F
 
 from wattlake.operators.flatten import add_partition_columns, flatten_mix
