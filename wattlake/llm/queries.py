@@ -17,7 +17,10 @@ from wattlake.llm import (
     pieces,
     quality_model,
     quality_rules,
+    resampling,
     topk,
+    vectors,
+    whitening,
 )
 
 
@@ -95,6 +98,25 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance_resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def fixed_point(x):
+    """floor(64 * x) + 1000000 as a long; what no long can hold exactly is an error."""
+    y = 64 * x.cast("double")
+    whole = F.floor(y) + F.lit(1_000_000).cast("long")
+    return F.when(F.abs(y) < 2.0**52, whole).otherwise(F.raise_error(F.lit("component too large for fixed point")))
+
+
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").filter(vectors.usable(F.col("embedding")))
+    fixed = rows.select("vec_id", F.transform("embedding", fixed_point).alias("vector"))
+    return whitening.whitened_components(fixed, components=32).withColumn("component", F.col("component").cast("int"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": pack,
@@ -107,6 +129,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": risk_controlled_rules,
         "op9_exact_top_k": exact_top_k,
         "op10_html_extraction": html_extraction,
+        "op12_importance_resampling": importance_resampling,
+        "op13_embedding_whitening": embedding_whitening,
     }
 
 
