@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm import (
+    forest,
     html_text,
     language,
     licenses,
@@ -98,6 +99,10 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.importance_resample(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -129,6 +134,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": risk_controlled_rules,
         "op9_exact_top_k": exact_top_k,
         "op10_html_extraction": html_extraction,
+        "op11_nearest_neighbours": nearest_neighbours,
         "op12_importance_resampling": importance_resampling,
         "op13_embedding_whitening": embedding_whitening,
     }
