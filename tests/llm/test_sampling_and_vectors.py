@@ -1,0 +1,334 @@
+"""Nearest neighbours, importance resampling and whitening against plain versions."""
+
+import hashlib
+import math
+import os
+import re
+import zlib
+from collections import Counter
+
+import __spark_entry__ as entry
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from wattlake.llm import forest, queries, resampling, vectors, whitening
+
+SF = "/root/testdata/sf0.01"
+needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+
+# --- nearest neighbours -------------------------------------------------------------------
+
+
+def usable(v):
+    return v is not None and any(v) and all(x is not None and math.isfinite(x) for x in v)
+
+
+def inner(a, b):
+    return sum(x * y for x, y in zip(a, b, strict=False))
+
+
+def neighbours(rows, k):
+    """Per query row its k best other rows, as a bag, for integer vectors."""
+    good = [(i, v) for i, v in rows if i is not None and usable(v)]
+    result = Counter()
+    for at, (q, v) in enumerate(good):
+        if q % 20 == 0:
+            scored = sorted((-inner(v, w), i) for n, (i, w) in enumerate(good) if n != at)
+            result.update((q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1))
+    return result
+
+
+def found(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+SCHEMA = "vec_id long, embedding array<double>, score string, tree int"
+
+
+def table(spark, rows):
+    """Rows with extra columns named like those the operator uses."""
+    return spark.createDataFrame([(i, v, "x", 7) for i, v in rows], SCHEMA)
+
+
+@pytest.mark.parametrize("settings", [{}, {"block_rows": 1024, "leaf_rows": 4, "block_queries": 2}])
+def test_every_leaf_opened_is_an_exact_search(spark, settings):
+    pick = np.random.default_rng(3)
+    rows = [(i, np.round(pick.normal(0, 20, 6)).tolist()) for i in range(160)]
+    rows += [(200 + i, rows[i][1]) for i in range(30)]  # the same vectors under other ids
+    rows += [(20, rows[3][1]), (20, rows[20][1]), (7, rows[7][1])]  # repeated ids, repeated rows
+    rows += [
+        (400, None), (420, [1.0, None]), (440, [math.nan] * 6), (460, [math.inf] * 6), (None, [1.0] * 6),
+        (480, []), (500, [5.0]), (520, [0.0] * 6), (540, [2.0**40] * 6),
+    ]
+    got = forest.nearest(table(spark, rows), F.col("vec_id") % 20 == 0, k=7, recall=1.0, probe_rows=99, **settings)
+    assert found(got) == neighbours(rows, 7)
+
+
+def test_a_vector_that_fills_a_third_of_the_table(spark):
+    pick = np.random.default_rng(6)
+    rows = [(i, np.round(pick.normal(0, 9, 8)).tolist()) for i in range(2400)]
+    rows += [(3000 + i, rows[5][1]) for i in range(1200)]
+    got = forest.nearest(
+        table(spark, rows).repartition(6), (F.col("vec_id") % 400 == 0), k=5, recall=1.0, leaf_rows=64, block_rows=1024
+    )
+    good = neighbours(rows, 5)
+    assert found(got) == Counter({r: n for r, n in good.items() if r[0] % 400 == 0})
+
+
+def test_few_rows_and_none(spark):
+    asks = F.col("vec_id") % 20 == 0
+    assert forest.nearest(table(spark, []), asks).count() == 0
+    assert forest.nearest(table(spark, [(1, [1.0]), (2, [2.0])]), asks).count() == 0
+    assert forest.nearest(table(spark, [(0, [1.0])]), asks).count() == 0
+    three = [(0, [1.0, 0.0]), (20, [2.0, 0.0]), (21, [2.0, 0.0])]
+    assert found(forest.nearest(table(spark, three), asks)) == neighbours(three, 20)
+
+
+def test_huge_components_lose_nothing(spark):
+    rows = [(i, [float(i + 1) * 1e200, 1e200]) for i in range(30)]
+    got = forest.nearest(table(spark, rows), F.col("vec_id") % 20 == 0, k=3)
+    assert Counter(r["query_id"] for r in got.collect()) == {0: 3, 20: 3}
+    assert {r["score"] for r in got.collect()} == {math.inf}
+
+
+def test_one_queue_opens_leaves_by_distance():
+    pick = np.random.default_rng(1)
+    sample = pick.normal(size=(500, 10))
+    trees = forest.fit_forest(sample, float(np.linalg.norm(sample, axis=1).max()), 3, 5)
+    sizes = np.ones((3, 32), np.int64)
+    query = sample[:1]
+    p = trees._projected(trees.asked(query))[:, 0]
+
+    def distance(tree, leaf):
+        far, node = 0.0, 0
+        for level in range(5):
+            side = (leaf >> (4 - level)) & 1
+            margin = p[tree, level] - trees.splits[tree][(1 << level) - 1 + node]
+            far += 0.0 if (margin > 0) == side else margin * margin
+            node = 2 * node + side
+        return far
+
+    opened = next(trees.opened(query, sizes, 96, 0))
+    assert sorted(opened) == [(t, leaf) for t in range(3) for leaf in range(32)]
+    far = [distance(*leaf) for leaf in opened]
+    assert far == sorted(far)
+    # a small budget goes on until one tree has given enough rows
+    few = next(trees.opened(query, sizes, 1, 4))
+    assert max(Counter(t for t, _ in few).values()) == 4 and few == opened[: len(few)]
+
+
+def test_blocks_hold_whole_leaves_or_one_large_one():
+    sizes = np.array([[10, 0, 95, 350, 5], [1, 1, 1, 1, 1]])
+    blocks = forest.leaf_blocks(sizes, 100)
+    assert blocks[0].tolist() == [[0, 1], [0, 1], [1, 1], [2, 4], [6, 1]]
+    assert len(set(blocks[1, :, 0].tolist())) == 1 and blocks[1, 0, 0] > 6
+
+
+@needs_tables
+def test_recall_of_the_query(spark):
+    got = queries.queries()["op11_nearest_neighbours"](spark, SF).toPandas()
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids = np.array([r["vec_id"] for r in rows])
+    x = np.array([r["embedding"] for r in rows])
+    hits = []
+    for q in ids[ids % 20 == 0]:
+        score = x @ x[ids == q][0]
+        score[ids == q] = -np.inf
+        mine = got[got["query_id"] == q].sort_values("rank")
+        assert mine["rank"].tolist() == list(range(1, 21)) and q not in set(mine["vec_id"])
+        assert np.allclose(mine["score"], [score[ids == v][0] for v in mine["vec_id"]], rtol=0, atol=1e-13)
+        hits.append(len(set(mine["vec_id"]) & set(ids[np.argsort(-score)[:20]].tolist())))
+    assert np.mean(hits) / 20 >= 0.9
+
+
+# --- importance resampling ----------------------------------------------------------------
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def features(text, longest=1):
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    grams = [" ".join(words[i : i + n]) for n in range(1, longest + 1) for i in range(len(words) - n + 1)]
+    return words, [zlib.crc32(g.encode()) for g in grams]
+
+
+def resampled(docs, target, buckets=10_000, longest=1, least=20, percent=10, seed=2024):
+    """Bag of (id, features, weight, score, rank, words)."""
+    split = [(i, *features(t, longest)) for i, t in docs]
+    s = Counter(f % buckets for _, _, grams in split for f in grams)
+    t = Counter(f % buckets for text in target for f in features(text, longest)[1])
+    s_all, t_all = sum(s.values()), sum(t.values())
+    scored = []
+    for i, words, grams in split:
+        gains = [
+            math.floor(1000 * math.log((t[b] + 1) * (s_all + buckets) / ((s[b] + 1) * (t_all + buckets))))
+            for b in (g % buckets for g in grams)
+        ]
+        weight = sum(gains) // len(gains) if gains else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        scored.append((i, len(grams), weight, score, len(words)))
+    able = sorted(
+        (r for r in scored if r[4] >= least), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1], r[2])
+    )
+    result = Counter()
+    for rank, row in enumerate(able, 1):
+        result[(*row[:4], rank if rank <= percent * len(able) // 100 else None, row[4])] += 1
+    result.update((*r[:4], None, r[4]) for r in scored if r[4] < least)
+    return result
+
+
+def made_documents():
+    pick = np.random.default_rng(9)
+    stock = ["alpha", "Beta", "gamma7", "größe", "日本語", "x" * 90, "Ünder"]
+    docs = [(i, " ".join(pick.choice(stock, pick.integers(1, 60)))) for i in range(300)]
+    docs += [(i, t) for i, t in docs[:20]] + [(500 + i, docs[40][1]) for i in range(100)]
+    docs += [(7, "other text " * 30), (None, "nobody's text " * 20), (None, "nobody's text " * 20)]
+    return docs + [(800, None), (801, ""), (802, " .,; \n\t"), (803, "alpha," * 30_000), (804, "y" * 200_000)]
+
+
+@pytest.mark.parametrize("longest", [1, 2])
+@pytest.mark.parametrize(("percent", "buckets"), [(10, 10_000), (37, 70_000), (100, 11), (0, 5)])
+def test_resampling_equals_the_plain_version(spark, percent, buckets, longest):
+    docs, target = made_documents(), ["alpha beta, ALPHA", None, "größe größe"]
+    df = spark.createDataFrame([(i, t, 1, "r") for i, t in docs], "doc_id long, text string, rank int, features string")
+    goal = spark.createDataFrame([(1, t) for t in target], "item_id long, text string")
+    got = resampling.importance_resample(
+        df.repartition(5), goal, buckets=buckets, longest=longest, percent=percent
+    )
+    assert found(got) == resampled(docs, target, buckets, longest, percent=percent)
+
+
+def test_resampling_of_nothing(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "a " * 30)], "doc_id long, text string")
+    assert resampling.importance_resample(docs.limit(0), docs).count() == 0
+    rows = found(resampling.importance_resample(docs, docs.limit(0), percent=100))
+    assert rows == resampled([(1, "a b"), (2, "a " * 30)], [], percent=100)
+
+
+def test_drawn_documents_keep_their_columns(spark):
+    docs = spark.createDataFrame(
+        [(i, f"w{i} " * 25, f"s{i}", i) for i in range(50)], "doc_id long, text string, source string, rank long"
+    )
+    drawn = resampling.importance_resample(docs, docs.filter("doc_id < 3"), percent=20)
+    kept = resampling.drawn_documents(docs, drawn)
+    ids = {r["doc_id"] for r in drawn.filter("rank IS NOT NULL").collect()}
+    assert len(ids) == 10 and {r["doc_id"] for r in kept.collect()} == ids
+    assert kept.columns == docs.columns and all(r["rank"] == r["doc_id"] for r in kept.collect())
+
+
+def test_the_bracket_is_widened_until_counts_agree(spark):
+    pick = np.random.default_rng(11)
+    scores = sorted(pick.integers(0, 400, 3000).tolist() + [250] * 1500, reverse=True)
+    df = spark.createDataFrame([(s,) for s in scores], "score long").repartition(4)
+    for rank in (1, 2, 700, 1300, 2999, 4499, 4500):
+        for accuracy in (10_000, 3):  # a sketch as coarse as 3 misses, and must be corrected
+            low, high, above = resampling.bracket(df, rank, len(scores), accuracy=accuracy)
+            assert above == sum(high is not None and s > high for s in scores) < rank
+            assert low is None or low <= scores[rank - 1]
+            assert high is None or high >= scores[rank - 1]
+
+
+def test_numbers_follow_the_order(spark):
+    df = spark.range(0, 5000, 1, 7).withColumn("key", F.col("id") % 900)
+    got = resampling.numbered(df, [F.col("key"), -F.col("id")], "n").collect()
+    assert [r["id"] for r in sorted(got, key=lambda r: r["n"])] == sorted(range(5000), key=lambda i: (i % 900, -i))
+    assert sorted(r["n"] for r in got) == list(range(1, 5001))
+
+
+def test_crc_of_spans():
+    data = np.random.default_rng(2).integers(0, 256, 4000).astype(np.uint8)
+    starts = np.arange(0, 3000, 7)
+    ends = starts + np.arange(len(starts)) % 131
+    got = resampling.crc32_spans(data, starts, ends)
+    assert got.tolist() == [zlib.crc32(data[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
+
+
+# --- whitening ----------------------------------------------------------------------------
+
+
+def plain_whitening(x, components):
+    """Eigenvalues and vectors of the covariance by a dense solver, and the trace."""
+    middle = x - x.mean(0)
+    values, directions = np.linalg.eigh(middle.T @ middle / len(x))
+    order = np.argsort(-values)[:components]
+    return values[order], directions[:, order], values.sum()
+
+
+def check_whitening(rows, x, components):
+    """Rows of the operator for vectors numbered by their place in ``x``."""
+    values, directions, trace = plain_whitening(x.astype(float), components)
+    n, sums = len(x), [int(s) for s in x.astype(object).sum(0)]
+    table = np.zeros((len(x), len(values)))
+    for r in rows:
+        table[r["vec_id"], r["component"] - 1] = r["whitened"]
+        assert r["n"] == n
+        assert r["deviation"] == sum((n * int(v) - s) ** 2 for v, s in zip(x[r["vec_id"]], sums, strict=True))
+        assert r["explained"] == pytest.approx(values[r["component"] - 1] / trace, rel=1e-9)
+        assert 0 <= r["identity_error"] < 1e-9
+    assert len(rows) == len(x) * len(values)
+    expected = (x - x.mean(0)) @ (directions / np.sqrt(values))
+    signs = np.sign((table * expected).sum(0))
+    assert np.abs(table * signs - expected).max() < 1e-7
+    assert np.abs(np.cov(table.T, bias=True) - np.eye(len(values))).max() < 1e-9
+
+
+@pytest.mark.parametrize("parts", [1, 7, 60])
+def test_whitening_equals_a_dense_solver(spark, parts):
+    pick = np.random.default_rng(8)
+    x = np.floor(pick.normal(size=(700, 12)) * np.linspace(300, 20, 12)).astype(np.int64) + 1_000_000
+    rows = [(i, v.tolist(), 1.0, "z") for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>, whitened double, n string").repartition(parts)
+    check_whitening(whitening.whitened_components(df, components=9).collect(), x, 9)
+
+
+def test_whitening_of_odd_rows(spark):
+    schema = "vec_id long, vector array<long>"
+    rows = [(0, [1, 2, 3]), (1, None), (2, [1, None, 2]), (3, [4, 4]), (3, [4, 4]), (None, [9, 0, 1]), (5, [])]
+    got = whitening.whitened_components(spark.createDataFrame(rows, schema)).collect()
+    x = np.array([[1, 2, 3], [4, 4, 0], [4, 4, 0], [9, 0, 1], [0, 0, 0]])
+    assert Counter(r["vec_id"] for r in got) == {0: 3, 3: 6, None: 3, 5: 3}
+    assert {r["n"] for r in got} == {5}
+    values, _, trace = plain_whitening(x.astype(float), 3)
+    assert sorted({round(r["explained"], 9) for r in got}) == sorted(np.round(values / trace, 9))
+
+
+def test_whitening_without_variance(spark):
+    schema = "vec_id long, vector array<long>"
+    for rows in ([], [(1, [5, 6])], [(1, [5, 6]), (2, [5, 6])], [(1, [])], [(1, None)]):
+        got = whitening.whitened_components(spark.createDataFrame(rows, schema))
+        assert got.count() == 0 and "identity_error" in got.columns
+    flat = [(i, [i, 7, 2 * i]) for i in range(9)]
+    assert {r["component"] for r in whitening.whitened_components(spark.createDataFrame(flat, schema)).collect()} == {1}
+
+
+def test_sums_beyond_64_bits(spark):
+    x = np.array([[2**61 + 7 * i, 3] for i in range(9)], object)
+    model = whitening.fit_whitening(
+        spark.createDataFrame([(v.tolist(),) for v in x], "vector array<long>").repartition(3)
+    )
+    assert model.sums == (sum(x[:, 0]), 27) and model.eigenvalues == pytest.approx([np.var(7 * np.arange(9))])
+
+
+def test_fixed_point_refuses_what_no_long_holds(spark):
+    df = spark.createDataFrame([(1, [1.5, -0.01]), (2, [1e30, 0.0])], "vec_id long, embedding array<double>")
+    fixed = df.select("vec_id", F.transform("embedding", queries.fixed_point).alias("vector"))
+    assert fixed.filter("vec_id = 1").first()["vector"] == [1_000_096, 999_999]
+    with pytest.raises(Exception, match="too large for fixed point"):
+        fixed.collect()
+
+
+@needs_tables
+def test_the_whitening_query(spark):
+    source = spark.read.parquet(f"{SF}/embeddings.parquet").filter(vectors.usable(F.col("embedding"))).collect()
+    place = {r["vec_id"]: i for i, r in enumerate(source)}
+    x = np.floor(64 * np.array([r["embedding"] for r in source])).astype(np.int64) + 1_000_000
+    rows = [r.asDict() for r in queries.queries()["op13_embedding_whitening"](spark, SF).collect()]
+    check_whitening([r | {"vec_id": place[r["vec_id"]]} for r in rows], x, 32)
+
+
+def test_every_numbered_query_is_registered():
+    names = {name.split("_")[0] for name in entry.queries()}
+    assert {f"op{n}" for n in range(1, 14)} <= names

@@ -216,10 +216,73 @@ QUALIFY rank <= 20
 """
 
 
+#: CRC-32 of a word, whose bytes come from its hexadecimal digits: the remainder after each byte is
+#: looked up in the table of the 256 remainders.
+IMPORTANCE_RESAMPLING = r"""
+WITH crc AS (
+    SELECT list(c ORDER BY b) AS t FROM (
+        SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1
+                   THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) AS c
+        FROM (SELECT unnest(range(256)) AS b))
+),
+texts AS (
+    SELECT 'd' AS kind, doc_id, text FROM documents
+    UNION ALL SELECT 'b', NULL, text FROM benchmark
+),
+words AS (
+    SELECT kind, doc_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+    FROM texts
+),
+counted AS (SELECT kind, doc_id, w, count(*) AS n FROM words GROUP BY ALL),
+hashed AS (
+    SELECT w, xor(4294967295, list_reduce(
+        list_transform(range(len(h) // 2),
+            lambda i: (instr(digits, h[2 * i + 1]) - 1) * 16 + instr(digits, h[2 * i + 2]) - 1),
+        lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]), 4294967295)) % 10000 AS bucket
+    FROM (SELECT w, hex(encode(w)) AS h, '0123456789ABCDEF' AS digits
+          FROM (SELECT DISTINCT w FROM counted)), crc
+),
+buckets AS (
+    SELECT bucket, coalesce(sum(n) FILTER (kind = 'd'), 0)::DOUBLE AS s,
+           coalesce(sum(n) FILTER (kind = 'b'), 0)::DOUBLE AS t
+    FROM counted JOIN hashed USING (w) GROUP BY bucket
+),
+gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM buckets) + 10000)
+                         / ((s + 1) * ((SELECT sum(t) FROM buckets) + 10000))))::BIGINT AS gain
+    FROM buckets
+),
+weights AS (
+    SELECT doc_id, sum(n)::BIGINT AS n_features, floor(sum(n * gain) / sum(n))::BIGINT AS weight
+    FROM counted JOIN hashed USING (w) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY doc_id
+),
+noise AS (
+    SELECT doc_id, list_reduce(list_transform(range(8),
+        lambda i: instr('0123456789abcdef', sha256('2024:' || doc_id)[i + 1]) - 1),
+        lambda a, x: a * 16 + x, 0::BIGINT) AS h
+    FROM documents
+),
+scored AS (
+    SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM noise LEFT JOIN weights USING (doc_id)
+),
+able AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+    FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN able USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The others have no SQL; their tests compare them with brute force."""
     return {
         "op3_ngram_jaccard": NGRAM_JACCARD,
         "op5_substring_dedup": SUBSTRING_DEDUP,
         "op9_exact_top_k": EXACT_TOP_K,
+        "op12_importance_resampling": IMPORTANCE_RESAMPLING,
     }
