@@ -1,8 +1,9 @@
 import pytest
 from samples import documents, mix_document
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wattlake.operators.contract import SchemaMismatch, conform, guard, violations
+from wattlake.operators.contract import SchemaMismatch, conform, drift, guard, violations
 from wattlake.operators.flatten import add_partition_columns, flatten_flows, flatten_mix
 from wattlake.schemas import DAILY_IMPORTS, DAILY_MIX, FLOWS, MIX
 
@@ -74,3 +75,27 @@ def test_flow_rows_fit_their_contract(spark):
 
     df = add_partition_columns(flatten_flows(documents(spark, flows_document())))
     assert guard(conform(df, FLOWS), FLOWS).count() == 6
+
+
+def test_drift_names_every_difference(spark):
+    df = spark.sql(
+        "SELECT 1 AS b, named_struct('y', 1L, 'x', array(named_struct('k', 'a'))) AS s, map('k', 1) AS m,"
+        " CAST(NULL AS INT) AS `e.f`, 'a' AS a FROM range(3)"
+    )
+    wanted = T.StructType.fromDDL(
+        "a string, b int, s struct<x: array<struct<k: int, l: date>>, y: bigint>, m map<string, bigint>, gone date"
+    )
+    found = {tuple(r) for r in drift(df, wanted).collect()}
+    assert found == {
+        ("a", "order", "1", "4", 3), ("b", "order", "2", "1", 3), ("m", "order", "4", "3", 3),
+        ("s", "order", "3", "2", 3),
+        ("s.x.element.k", "type", "int", "string", 3), ("s.x.element.l", "missing", "date", None, 3),
+        ("s.x", "order", "1", "2", 3), ("s.y", "order", "2", "1", 3), ("m.value", "type", "bigint", "int", 3),
+        ("e.f", "extra", None, "int", 0), ("gone", "missing", "date", None, None),
+    }
+
+
+def test_a_frame_that_conforms_has_no_drift(spark):
+    assert drift(spark.createDataFrame([], MIX.schema), MIX.schema).count() == 0
+    with pytest.raises(SchemaMismatch, match="two columns"):
+        drift(spark.sql("SELECT 1 AS a, 2 AS a"), MIX.schema)

@@ -1,9 +1,11 @@
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from wattlake.operators.report import (
     browse,
+    column_profile,
     full_months,
     last_month_labels,
     latest_rows,
@@ -117,3 +119,23 @@ def test_browsing_a_table(spark):
     assert browse(df.select("source")).first_time is None
     newest = latest_rows(df, 2, tie_break=["source"])._jdf.queryExecution().executedPlan()
     assert "TakeOrderedAndProject" in newest.toString()
+
+
+def test_columns_of_any_type_have_a_profile(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, double('NaN'), array(1, 2), map('a', 1), 'x', date'2026-01-01'),"
+        " (2, 1.5D, array(1), map('b', 2), NULL, NULL), (2, NULL, NULL, NULL, 'a', date'2025-01-01')"
+        " AS t(i, d, l, m, s, day)"
+    ).withColumn("v", F.parse_json(F.lit('{"a": 1}'))).toDF("i", "d", "l", "m", "s", "s", "v")
+    got = [tuple(r) for r in column_profile(df).collect()]
+    assert got == [
+        (1, "i", "int", 3, 0, None, 2, "1", "2"),
+        (2, "d", "double", 3, 1, 1, 2, "1.5", "NaN"),
+        (3, "l", "array<int>", 3, 1, None, 2, "[1]", "[1, 2]"),
+        (4, "m", "map<string,int>", 3, 1, None, None, None, None),
+        (5, "s", "string", 3, 1, None, 2, "a", "x"),
+        (6, "s", "date", 3, 1, None, 2, "2025-01-01", "2026-01-01"),
+        (7, "v", "variant", 3, 0, None, None, None, None),
+    ]
+    empty = column_profile(df.limit(0)).collect()
+    assert [(r["row_count"], r["nulls"], r["least"]) for r in empty] == [(0, 0, None)] * 7

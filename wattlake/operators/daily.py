@@ -91,13 +91,14 @@ def daily_relative_mix(
     zones: DataFrame,
     time_zone: str | None = None,
     ordered: bool = True,
-    hourly: bool = True,
+    hourly: bool = False,
 ) -> DataFrame:
     """Share of each source in a zone's daily production; charging storage is not production.
 
     The window runs on daily rows, so a partition holds one zone-day's sources.  ``hourly``
-    only chooses the plan: False costs a shuffle of daily rows more, and keeps a zone-day with
-    very many timestamps off the hour from meeting in one task.
+    only chooses the plan: the default combines timestamps off the hour in map tasks before a
+    zone-day meets in one task, whatever their number; True saves that shuffle of daily rows for
+    tables known to be hourly.
     """
     zone_day = ["zone", "date_utc"]
     daily = daily_totals(

@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake.functions.values import total
 from wattlake.session import scratch_path
@@ -40,7 +41,11 @@ def duplicate_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def unique_key(df: DataFrame, key: Sequence[str]) -> CheckResult:
-    duplicates = duplicate_rows(df, key).first()["duplicates"]
+    return _unique(duplicate_rows(df, key), key)
+
+
+def _unique(counted: DataFrame, key: Sequence[str]) -> CheckResult:
+    duplicates = counted.first()["duplicates"]
     description = f"{duplicates} duplicate rows on key {list(key)}"
     return CheckResult(duplicates == 0, description, duplicates)
 
@@ -61,16 +66,28 @@ def missing_hours(
     kind = df.schema[time_col].dataType
     df = df.withColumn(time_col, F.col(time_col).cast("timestamp"))
     time, day = F.col(time_col), F.date_trunc("day", time_col)
-    hour_of = F.date_trunc("hour", time_col)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.hour(time_col))
     days = (
         df.filter(time.isNotNull())
-        .groupBy(
-            *by, day.alias("__day"),
-            (F.unix_micros(time) - F.unix_micros(hour_of)).alias("__in_hour"),
-        )
-        .agg(F.bit_or(bit).alias("__hours"), F.min(time).alias("__first"), F.max(time).alias("__last"))
+        .groupBy(*by, day.alias("__day"), in_hour(time).alias("__in_hour"))
+        .agg(hour_bits(time).alias("__hours"), F.min(time).alias("__first"), F.max(time).alias("__last"))
     )
+    return _hours_between(days, time_col, kind, by)
+
+
+def in_hour(time: Column) -> Column:
+    """Microseconds since the full hour."""
+    return F.unix_micros(time) - F.unix_micros(F.date_trunc("hour", time))
+
+
+def hour_bits(time: Column) -> Column:
+    """Aggregate: the hours of a day that occur, as bits."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.hour(time)))
+
+
+def _hours_between(
+    days: DataFrame, time_col: str, kind: T.DataType, by: Sequence[str] = ()
+) -> DataFrame:
+    """Missing hours of a table combined to (by, __day, __in_hour, __hours, __first, __last)."""
     series = Window.partitionBy(*by)
     following = F.lead("__day").over(series.orderBy("__day"))
     day_step = F.expr("INTERVAL 1 DAY")
@@ -79,9 +96,9 @@ def missing_hours(
             "__from": F.min("__first").over(series), "__upto": F.max("__last").over(series),
         })
     else:
-        path = scratch_path(df.sparkSession, "hours-of-days")
+        path = scratch_path(days.sparkSession, "hours-of-days")
         days.write.parquet(path)
-        days = df.sparkSession.read.schema(days.schema).parquet(path)
+        days = days.sparkSession.read.schema(days.schema).parquet(path)
         # as numbers, which no time zone of the driver changes
         bounds = days.agg(F.unix_micros(F.min("__first")), F.unix_micros(F.max("__last"))).first()
         first, last = (F.timestamp_micros(F.lit(b).cast("long")) for b in bounds)
@@ -119,12 +136,53 @@ def first_missing(
 
 def no_missing_hours(df: DataFrame, time_col: str = "datetime_utc") -> CheckResult:
     """Every hour between the table's first and last hour is in it, whatever the series."""
-    missing = missing_hours(df, time_col)
+    return _no_missing(missing_hours(df, time_col), time_col)
+
+
+def _no_missing(missing: DataFrame, time_col: str) -> CheckResult:
     count = missing.count()
     sample = [str(row[time_col]) for row in first_missing(missing, time_col).collect()] if count else []
     return CheckResult(count == 0, f"{count} missing hours: {sample}", count)
 
 
+def day_summary(df: DataFrame, key: Sequence[str], by: Sequence[str], time_col: str = "datetime_utc") -> DataFrame:
+    """What the checks of a table need to know of each group of its rows, in one pass.
+
+    Per group ``by`` and position in the hour: rows, rows beyond the first of their key, the hours
+    as bits, first and last time.  Where a key lies within one group, as one with the time in it does
+    in a table partitioned by day, summaries of different groups add up to that of the table.
+    """
+    time = F.col(time_col)
+    keys = df.groupBy(*by, *(c for c in dict.fromkeys([*key, time_col]) if c not in by)).agg(
+        F.count(F.lit(1)).alias("__n")
+    )
+    return keys.groupBy(*by, in_hour(time).alias("in_hour")).agg(
+        F.sum("__n").alias("rows"), F.sum(F.col("__n") - 1).alias("duplicates"),
+        hour_bits(time).alias("hours"), F.min(time).alias("first_time"), F.max(time).alias("last_time"),
+    )
+
+
+def unique_key_of(summary: DataFrame, key: Sequence[str]) -> CheckResult:
+    """:func:`unique_key` from day summaries alone."""
+    return _unique(summary.agg(F.coalesce(F.sum("duplicates"), F.lit(0)).alias("duplicates")), key)
+
+
+def missing_hours_of(summary: DataFrame, time_col: str = "datetime_utc") -> DataFrame:
+    """:func:`missing_hours` of the whole table from day summaries alone."""
+    days = (
+        summary.filter(F.col("first_time").isNotNull())
+        .groupBy(F.date_trunc("day", "first_time").alias("__day"), F.col("in_hour").alias("__in_hour"))
+        .agg(
+            F.bit_or("hours").alias("__hours"), F.min("first_time").alias("__first"), F.max("last_time").alias("__last")
+        )
+    )
+    return _hours_between(days, time_col, summary.schema["first_time"].dataType)
+
+
+def no_missing_hours_of(summary: DataFrame, time_col: str = "datetime_utc") -> CheckResult:
+    return _no_missing(missing_hours_of(summary, time_col), time_col)
+
+
 def percentage_totals(daily_mix: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Zone-days whose percentages do not add up to 100; a day without any adds up to 0."""
     return (

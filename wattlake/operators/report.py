@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake.functions.times import days_in_month, month_of
 from wattlake.functions.values import strict_group, total
@@ -176,6 +177,51 @@ def profile(df: DataFrame, time_col: str | None = None) -> DataFrame:
     )
 
 
+def column_profile(df: DataFrame, error: float = 0.02) -> DataFrame:
+    """A row per column, whatever its type: (position, column, type, row_count, nulls, not_numbers,
+    distinct_about, least, greatest), from one aggregate over the table.
+
+    ``distinct_about`` counts different values but null, within ``error`` (relative standard
+    deviation of the sketch); ``not_numbers`` counts NaN, null for a type that has none.  The least
+    and the greatest value are given as text, NaN being greater than all numbers; types without an
+    order or a hash (maps, variants) have nulls there.  Of an empty table all counts are 0.
+    """
+    facts, rows = [], F.count(F.lit(1))
+    for at, field in enumerate(df.schema):
+        # by position, as two columns may share a name
+        value, kind = F.col(f"_{at}"), field.dataType
+        plain = not _holds(kind, (T.MapType, T.VariantType))
+        fractional = isinstance(kind, (T.DoubleType, T.FloatType))
+        none = F.lit(None)
+        facts.append(
+            F.struct(
+                F.lit(at + 1).alias("position"),
+                F.lit(field.name).alias("column"),
+                F.lit(kind.simpleString()).alias("type"),
+                rows.alias("row_count"),
+                (rows - F.count(value)).alias("nulls"),
+                (F.count_if(F.isnan(value)) if fractional else none).cast("long").alias("not_numbers"),
+                (F.approx_count_distinct(value, error) if plain else none).cast("long").alias("distinct_about"),
+                (F.min(value) if plain else none).cast("string").alias("least"),
+                (F.max(value) if plain else none).cast("string").alias("greatest"),
+            )
+        )
+    if not facts:
+        raise ValueError("a table without columns has no profile")
+    return df.toDF(*(f"_{i}" for i in range(len(df.columns)))).agg(
+        F.array(*facts).alias("facts")
+    ).select(F.inline("facts"))
+
+
+def _holds(kind: T.DataType, kinds: tuple) -> bool:
+    """Whether a type is, or has inside it, one of the given kinds."""
+    if isinstance(kind, kinds):
+        return True
+    if isinstance(kind, T.StructType):
+        return any(_holds(field.dataType, kinds) for field in kind)
+    return isinstance(kind, T.ArrayType) and _holds(kind.elementType, kinds)
+
+
 def latest_rows(
     df: DataFrame, n: int = 15, time_col: str | None = None, tie_break: Sequence[str] = ()
 ) -> DataFrame:
@@ -191,17 +237,19 @@ def latest_rows(
 class TableProfile:
     rows: int
     columns: dict[str, str]
+    profile: list
     first_time: object
     last_time: object
     latest: list
 
 
 def browse(df: DataFrame, n: int = 15) -> TableProfile:
-    """What a person looks at first: size, columns, time range and the latest rows."""
+    """What a person looks at first: size, columns and what is in them, time range, latest rows."""
     summary = profile(df).first()
     return TableProfile(
         rows=summary["row_count"],
         columns={field.name: field.dataType.simpleString() for field in df.schema},
+        profile=column_profile(df).collect(),
         first_time=summary["first_time"],
         last_time=summary["last_time"],
         latest=latest_rows(df, n).collect(),

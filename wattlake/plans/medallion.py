@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattlake.operators.quality import (
     CheckResult,
-    no_missing_hours,
+    no_missing_hours_of,
     percentages_sum_to_100,
-    unique_key,
+    unique_key_of,
 )
 from wattlake.plans.gold import build_daily_exchange, build_daily_relative_mix
 from wattlake.plans.silver import STREAMS, load_new_bronze, rebuild
 from wattlake.schemas import DAILY_EXPORTS, DAILY_IMPORTS, DAILY_MIX, FLOWS, MIX
 from wattlake.sources.files import exists
-from wattlake.sources.tables import read_table, table_exists, table_path
+from wattlake.sources.summaries import refresh_summary
+from wattlake.sources.tables import finish_merge, read_table, table_exists, table_path
 
 
 @dataclass
@@ -70,7 +71,8 @@ def build_checked(
 ) -> RunReport:
     """Gold from Silver, with the checks.
 
-    A Silver table with duplicate keys blocks the Gold tables built from it, and only those.
+    The Silver checks work on summaries kept per day, renewed where files have changed.  A Silver
+    table with duplicate keys blocks the Gold tables built from it, and only those.
     Missing hours are a warning; percentages not adding up are an error found after the build.
     """
     products = {
@@ -82,12 +84,13 @@ def build_checked(
         if not table_exists(spark, stream.silver(lake)):
             report.not_built.extend(gold_tables)
             continue
-        silver = read_table(spark, stream.silver(lake), stream.contract)
-        if not report.record(f"{name}_unique_key", unique_key(silver, stream.contract.key)):
+        finish_merge(spark, stream.silver(lake), stream.contract)
+        days, _ = refresh_summary(spark, lake, stream.contract)
+        if not report.record(f"{name}_unique_key", unique_key_of(days, stream.contract.key)):
             report.not_built.extend(gold_tables)
             continue
         if name == MIX.name:
-            report.record(f"{name}_no_missing_hours", no_missing_hours(silver), warning=True)
+            report.record(f"{name}_no_missing_hours", no_missing_hours_of(days), warning=True)
         build(spark, lake, zones)
     if DAILY_MIX.name not in report.not_built:
         daily = read_table(spark, table_path(lake, "gold", DAILY_MIX.name), DAILY_MIX)

@@ -9,11 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattlake.operators.contract import violations
+from wattlake.functions.times import parse_iso
+from wattlake.functions.values import strict_group
+from wattlake.operators.contract import SchemaMismatch, drift, violations
 from wattlake.operators.daily import (
     daily_exports,
     daily_imports,
@@ -22,15 +25,18 @@ from wattlake.operators.daily import (
     exchange_table,
 )
 from wattlake.operators.dedupe import deduplicate
-from wattlake.operators.flatten import add_partition_columns, flatten_flows, flatten_mix
+from wattlake.operators.flatten import POSITION, add_partition_columns, flatten_flows, flatten_mix
 from wattlake.operators.quality import (
     duplicate_rows,
     first_missing,
     key_counts,
     missing_hours,
+    no_missing_hours_of,
     percentage_totals,
+    unique_key_of,
 )
 from wattlake.operators.report import (
+    column_profile,
     full_months,
     last_month_labels,
     latest_rows,
@@ -44,14 +50,16 @@ from wattlake.operators.report import (
 )
 from wattlake.plans.gold import build_daily_exchange, build_daily_relative_mix
 from wattlake.plans.medallion import RunReport, build_checked, run
-from wattlake.plans.silver import load_new_bronze, rebuild
+from wattlake.plans.silver import find_late, load_late, load_new_bronze, rebuild
 from wattlake.plans.warehouse import (
     PRIORITY_GROUPS,
     delivered_rows,
     flow_readings,
     flow_responses,
+    iso_texts,
     mix_readings,
     mix_responses,
+    multi_line,
     priority_energy,
     table,
     zones,
@@ -65,17 +73,22 @@ from wattlake.schemas import (
     TableContract,
 )
 from wattlake.session import configure, scratch_path
-from wattlake.sources.bronze import land, provenance, records_since
+from wattlake.sources import files
+from wattlake.sources.bronze import file_in, land, land_files, provenance, records_since
 from wattlake.sources.state import read_mark, write_mark
+from wattlake.sources.summaries import fingerprints, refresh_summary
 from wattlake.sources.tables import (
     create_table,
+    finish_merge,
     read_table,
     replace_table,
+    stage_merge,
     table_path,
+    touched_folders,
     upsert,
 )
 from wattlake.sources.zones import load_zones
-from wattlake.streaming.silver import load_available
+from wattlake.streaming.silver import checkpoint_path, load_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -558,17 +571,24 @@ def _full_overwrite(spark, sf_dir):
     return read_table(spark, uri, DAILY_MIX)
 
 
-def _loaded_in_two_runs(spark, sf_dir, purpose: str) -> str:
+_NOW = datetime(2024, 12, 31, tzinfo=UTC)
+
+
+def _early():
+    """The first half of the delivered period."""
+    return F.col("ingested_at") <= F.to_timestamp(F.lit("2024-01-16 00:00:00"))
+
+
+def _loaded_in_two_runs(spark, sf_dir, purpose: str, layout: str = "lines") -> str:
     """Bronze arriving in two halves of the delivered period, loaded after each."""
     lake = _fresh_lake(spark, purpose)
     root = table_path(lake, "bronze", MIX.name)
-    responses = mix_responses(spark, sf_dir)
-    early = F.col("ingested_at") <= F.to_timestamp(F.lit("2024-01-16 00:00:00"))
-    now = datetime(2024, 12, 31, tzinfo=UTC)
-    land(responses.filter(early), root)
-    load_new_bronze(spark, lake, MIX.name, now, "lines")
-    land(responses.filter(~early), root)
-    load_new_bronze(spark, lake, MIX.name, now, "lines")
+    responses = multi_line(mix_responses(spark, sf_dir))
+    write = land_files if layout == "files" else land
+    write(responses.filter(_early()), root)
+    load_new_bronze(spark, lake, MIX.name, _NOW, layout)
+    write(responses.filter(~_early()), root)
+    load_new_bronze(spark, lake, MIX.name, _NOW, layout)
     return lake
 
 
@@ -578,6 +598,242 @@ def _incremental_load(spark, sf_dir):
     return read_table(spark, table_path(lake, "silver", MIX.name), MIX)
 
 
+@_query("files_incremental", _SILVER_ROWS)
+def _files_incremental(spark, sf_dir):
+    """The same two runs over documents of several lines, one per stamped file."""
+    lake = _loaded_in_two_runs(spark, sf_dir, "files-incremental", "files")
+    return read_table(spark, table_path(lake, "silver", MIX.name), MIX)
+
+
+@_query(
+    "files_scan",
+    _with("mix delivered", "SELECT * EXCLUDE (year, month, day), ingested_at AS stamp FROM delivered"),
+)
+def _files_scan(spark, sf_dir):
+    """All of Bronze read back from one file per document, each with the stamp of its name."""
+    root = table_path(_fresh_lake(spark, "files-scan"), "bronze", MIX.name)
+    land_files(multi_line(mix_responses(spark, sf_dir)), root)
+    return flatten_mix(records_since(spark, root), carry=["stamp"]).drop(POSITION)
+
+
+def _with_late_files(spark, sf_dir, purpose: str) -> str:
+    """A lake whose load has passed over one zone's files of the first half of the period."""
+    lake = _fresh_lake(spark, purpose)
+    root = table_path(lake, "bronze", MIX.name)
+    responses = multi_line(mix_responses(spark, sf_dir))
+    late = _early() & (F.col("zone") == "NATION_10")
+    land_files(responses.filter(~late), root)
+    load_new_bronze(spark, lake, MIX.name, _NOW)
+    land_files(responses.filter(late), root)
+    load_new_bronze(spark, lake, MIX.name, _NOW)
+    return lake
+
+
+@_query(
+    "late_files",
+    _with(
+        "mix delivered silver",
+        """SELECT zone, ingested_at AS stamp, 0 AS rows_before,
+                  (SELECT count(*) FROM silver s
+                   WHERE s.zone = d.zone AND s.ingested_at = d.ingested_at) AS rows_after
+           FROM (SELECT DISTINCT zone, ingested_at FROM delivered
+                 WHERE zone = 'NATION_10' AND ingested_at <= TIMESTAMP '2024-01-16 00:00:00') d""",
+    ),
+)
+def _late_files(spark, sf_dir):
+    """The audit names the files the mark has passed over; the stream, which remembers files, takes
+    them.  Per file the rows in Silver that come from it, before and after the stream."""
+    lake = _with_late_files(spark, sf_dir, "late-files")
+    silver = table_path(lake, "silver", MIX.name)
+    counts = lambda: read_table(spark, silver, MIX).groupBy("zone", "ingested_at").count()
+    found = scratch_path(spark, "late-found")
+    documents = records_since(spark, table_path(lake, "bronze", MIX.name))
+    named = find_late(spark, lake, MIX.name).withColumnRenamed("stamp", "named_at")
+    (
+        documents.join(named, F.col("file") == file_in(F.col("source_file")))
+        .select(F.get_json_object("value", "$.response.zone").alias("zone"), F.col("named_at").alias("stamp"))
+        .join(counts().withColumnsRenamed({"ingested_at": "stamp", "count": "rows_before"}), ["zone", "stamp"], "left")
+        .write.parquet(found)
+    )
+    load_available(spark, lake, MIX.name)
+    after = counts().withColumnsRenamed({"ingested_at": "stamp", "count": "rows_after"})
+    return spark.read.parquet(found).join(after, ["zone", "stamp"], "left").na.fill(0)
+
+
+@_query("late_files_loaded", _SILVER_ROWS)
+def _late_files_loaded(spark, sf_dir):
+    """The batch load fetches what the audit names; nothing is late after that."""
+    lake = _with_late_files(spark, sf_dir, "late-loaded")
+    load_late(spark, lake, MIX.name)
+    if not find_late(spark, lake, MIX.name).isEmpty():
+        raise AssertionError("files are late after they were loaded")
+    return read_table(spark, table_path(lake, "silver", MIX.name), MIX)
+
+
+@_query("finished_merge", _SILVER_ROWS)
+def _finished_merge(spark, sf_dir):
+    """A merge whose driver was lost while publishing, one folder removed and not yet replaced: the
+    next writer completes it from the staged rows."""
+    uri = _fresh_lake(spark, "finished")
+    rows = delivered_rows(spark, sf_dir)
+    first_delivery = F.hour("ingested_at") == 0
+    create_table(rows.filter(first_delivery), uri, MIX)
+    stage_merge(rows.filter(~first_delivery), uri, MIX)
+    files.delete(spark, files.join_path(uri, touched_folders(read_table(spark, uri, MIX), MIX)[0]))
+    finish_merge(spark, uri, MIX)
+    return read_table(spark, uri, MIX)
+
+
+@_query(
+    "repeated_batch",
+    _with("mix delivered silver", "SELECT *, 0 AS partitions_rewritten FROM silver"),
+)
+def _repeated_batch(spark, sf_dir):
+    """A micro-batch whose end the checkpoint has forgotten runs again and is recognised."""
+    lake = _fresh_lake(spark, "repeated")
+    _landed_mix(spark, sf_dir, lake)
+    load_available(spark, lake, MIX.name, "lines")
+    uri = table_path(lake, "silver", MIX.name)
+    before = scratch_path(spark, "fingerprints")
+    fingerprints(spark, uri, MIX).write.parquet(before)
+    files.delete(spark, files.join_path(checkpoint_path(lake, MIX.name), "commits", "0"))
+    load_available(spark, lake, MIX.name, "lines")
+    changed = fingerprints(spark, uri, MIX).join(
+        spark.read.schema("year string, month string, day string, fingerprint string").parquet(before),
+        ["year", "month", "day", "fingerprint"], "left_anti",
+    )
+    return read_table(spark, uri, MIX).withColumn("partitions_rewritten", F.lit(changed.count()))
+
+
+@_query(
+    "kept_checks",
+    _with(
+        "mix delivered silver",
+        """SELECT 'duplicates' AS fact, 0 AS n
+           UNION ALL
+           SELECT 'missing hours', date_diff('hour', min(datetime_utc), max(datetime_utc)) + 1
+                  - count(DISTINCT datetime_utc) FROM silver
+           UNION ALL
+           SELECT CASE WHEN ingested_at <= TIMESTAMP '2024-01-16 00:00:00' THEN 'days read at first'
+                       ELSE 'days read after the merge' END, count(DISTINCT CAST(datetime_utc AS DATE))
+           FROM delivered GROUP BY 1
+           UNION ALL
+           SELECT 'days read after nothing', 0""",
+    ),
+)
+def _kept_checks(spark, sf_dir):
+    """Checks from day summaries: after a merge only the days it has touched are read."""
+    uri_of, rows = _fresh_lake(spark, "kept"), delivered_rows(spark, sf_dir)
+    uri = table_path(uri_of, "silver", MIX.name)
+
+    def newest(part: DataFrame) -> DataFrame:
+        return deduplicate(part, MIX.key)
+
+    upsert(newest(rows.filter(_early())), uri, MIX)
+    _, first = refresh_summary(spark, uri_of, MIX)
+    upsert(newest(rows.filter(~_early())), uri, MIX)
+    _, second = refresh_summary(spark, uri_of, MIX)
+    summary, third = refresh_summary(spark, uri_of, MIX)
+    facts = [
+        ("duplicates", unique_key_of(summary, MIX.key).failures),
+        ("missing hours", no_missing_hours_of(summary).failures),
+        ("days read at first", first),
+        ("days read after the merge", second),
+        ("days read after nothing", third),
+    ]
+    return spark.createDataFrame(facts, "fact string, n bigint")
+
+
+@_query(
+    "refused_write",
+    _with("mix delivered", "SELECT *, true AS refused FROM delivered WHERE hour(ingested_at) = 0"),
+)
+def _refused_write(spark, sf_dir):
+    """A frame with amounts as text is refused, and the table is what it was."""
+    uri = _fresh_lake(spark, "refused")
+    rows = delivered_rows(spark, sf_dir)
+    first_delivery = F.hour("ingested_at") == 0
+    create_table(rows.filter(first_delivery), uri, MIX)
+    try:
+        upsert(rows.filter(~first_delivery).withColumn("power_mw", F.col("power_mw").cast("string")), uri, MIX)
+        refused = False
+    except SchemaMismatch:
+        refused = True
+    return read_table(spark, uri, MIX).withColumn("refused", F.lit(refused))
+
+
+_READING = (
+    "zone string, datetime_utc timestamp, event_id bigint,"
+    " reading struct<power_mw: double, method: string>, parts array<struct<name: string, share: double>>"
+)
+
+
+@_query(
+    "schema_drift",
+    _with(
+        "mix",
+        """SELECT place, difference, wanted, found,
+                  CASE counted WHEN 'all' THEN (SELECT count(*) FROM mix)
+                       WHEN 'power' THEN (SELECT count(power_mw) FROM mix)
+                       WHEN 'method' THEN (SELECT count(estimation_method) FROM mix) END AS rows_with_value
+           FROM (VALUES
+               ('zone', 'order', '1', '2', 'all'), ('datetime_utc', 'order', '2', '1', 'all'),
+               ('event_id', 'missing', 'bigint', NULL, NULL),
+               ('reading.power_mw', 'type', 'double', 'string', 'all'),
+               ('reading.unit', 'extra', NULL, 'string', 'all'),
+               ('parts.element.share', 'missing', 'double', NULL, 'power'),
+               ('estimation_method', 'extra', NULL, 'string', 'method'))
+               AS t(place, difference, wanted, found, counted)""",
+    ),
+)
+def _schema_drift(spark, sf_dir):
+    """Readings as another producer might send them, against the schema they should have."""
+    power = F.col("power_mw")
+    parts = F.when(power.isNotNull(), F.array(F.struct(F.col("source").alias("name"))))
+    reading = F.struct(
+        power.cast("string").alias("power_mw"), F.col("estimation_method").alias("method"), F.lit("MW").alias("unit")
+    )
+    sent = mix_readings(spark, sf_dir).select(
+        "datetime_utc", "zone", reading.alias("reading"), parts.alias("parts"), "estimation_method"
+    )
+    return drift(sent, T.StructType.fromDDL(_READING))
+
+
+@_query(
+    "iso_times",
+    """SELECT event_id, CASE event_id % 6 WHEN 0 THEN date_trunc('millisecond', ts) WHEN 1 THEN ts
+                             WHEN 2 THEN date_trunc('second', ts) WHEN 3 THEN date_trunc('second', ts)
+                        END AS parsed
+       FROM events""",
+)
+def _iso_times(spark, sf_dir):
+    return iso_texts(spark, sf_dir).select("event_id", parse_iso(F.col("written")).alias("parsed"))
+
+
+@_query(
+    "strict_groups_refused",
+    """SELECT o_orderpriority AS value, count(*) AS orders, true AS refused FROM orders
+       WHERE o_orderpriority = '4-NOT SPECIFIED' GROUP BY 1""",
+)
+def _strict_groups_refused(spark, sf_dir):
+    """A grouping that leaves out one priority fails on the orders that have it, and names it."""
+    known = {**PRIORITY_GROUPS, "Normal": ["3-MEDIUM"]}
+    orders = table(spark, sf_dir, "orders")
+    group = strict_group(F.col("o_orderpriority"), known)
+    try:
+        orders.groupBy(group.alias("group")).count().collect()
+        refused = ""
+    except PySparkException as error:
+        refused = str(error)
+    listed = [m for members in known.values() for m in members]
+    return (
+        orders.filter(~F.col("o_orderpriority").isin(listed))
+        .groupBy(F.col("o_orderpriority").alias("value"))
+        .agg(F.count(F.lit(1)).alias("orders"))
+        .withColumn("refused", F.lit(refused).contains(F.concat(F.lit("no group lists the value: "), "value")))
+    )
+
+
 @_query(
     "watermark",
     _with("mix delivered", "SELECT max(ingested_at) AS ingested_at FROM delivered"),
@@ -881,3 +1137,47 @@ def _table_profile(spark, sf_dir):
 @_query("latest_rows", "SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 15")
 def _latest_rows(spark, sf_dir):
     return latest_rows(table(spark, sf_dir, "events"), 15, "ts", ["event_id"])
+
+
+def _profile_sql(name: str, columns: dict[str, str]) -> str:
+    parts = [
+        f"""SELECT '{name}' AS table_name, {at} AS position, '{column}' AS "column", '{kind}' AS type,
+                   count(*) AS row_count, count(*) - count({column}) AS nulls,
+                   {f"count(*) FILTER (isnan({column}))" if kind == "double" else "NULL"} AS not_numbers,
+                   true AS distinct_close, CAST(min({column}) AS VARCHAR) AS least,
+                   CAST(max({column}) AS VARCHAR) AS greatest
+            FROM {name}"""
+        for at, (column, kind) in enumerate(columns.items(), 1)
+    ]
+    return " UNION ALL ".join(parts)
+
+
+@_query(
+    "browse",
+    _profile_sql(
+        "events",
+        {"event_id": "bigint", "ts": "timestamp", "user_id": "bigint", "event_type": "string",
+         "value": "double", "props": "string"},
+    )
+    + " UNION ALL "
+    + _profile_sql(
+        "supplier",
+        {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
+    ),
+)
+def _browse(spark, sf_dir):
+    """What is in each column; the estimated number of different values is held against the exact one."""
+
+    def one(name: str) -> DataFrame:
+        df = table(spark, sf_dir, name)
+        exact = df.agg(F.array(*(F.count_distinct(F.col(c)) for c in df.columns)).alias("exact"))
+        about, truth = F.col("distinct_about"), F.get("exact", F.col("position") - 1)
+        close = F.abs(about - truth) <= F.lit(0.06) * truth
+        return (
+            column_profile(df).join(F.broadcast(exact), F.lit(True))
+            .withColumn("distinct_close", close).withColumn("table_name", F.lit(name))
+            .select("table_name", "position", "column", "type", "row_count", "nulls", "not_numbers",
+                    "distinct_close", "least", "greatest")
+        )
+
+    return one("events").unionByName(one("supplier"))

@@ -216,6 +216,30 @@ def mix_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def multi_line(responses: DataFrame) -> DataFrame:
+    """The same responses with every history entry on a line of its own."""
+    broken = F.regexp_replace("response", r'\{"datetime"', '\n  {"datetime"')
+    return responses.withColumn("response", broken)
+
+
+def iso_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event's time as ISO text in one of six forms: Z with milliseconds, two offsets, with
+    microseconds or none, no fraction, empty and missing."""
+    ts, form = F.col("ts"), F.col("event_id") % 6
+
+    def text(hours: str, pattern: str) -> Column:
+        return F.date_format(F.expr(f"ts + INTERVAL {hours}"), pattern)
+
+    written = (
+        F.when(form == 0, text("0 HOUR", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+        .when(form == 1, text("2 HOUR", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+02:00'"))
+        .when(form == 2, text("-330 MINUTE", "yyyy-MM-dd'T'HH:mm:ss'-05:30'"))
+        .when(form == 3, text("0 HOUR", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(form == 4, F.lit(""))
+    )
+    return table(spark, sf_dir, "events").select("event_id", ts, written.alias("written"))
+
+
 def flow_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order line as a flow between the customer's and the supplier's nation.
 

@@ -55,7 +55,11 @@ def delete(spark: SparkSession, uri: str) -> None:
 
 
 def write_text(spark: SparkSession, uri: str, text: str) -> None:
-    """Replace a small file; readers see the old text, the new text or no file, never a part."""
+    """Replace a small file; readers see the old text or the new one, never a part and never none.
+
+    The new text is written aside and renamed over the old one, which Hadoop file systems do in
+    one step.
+    """
     fresh = f"{uri}.new"
     fs, path = _open(spark, fresh)
     out = fs.create(path, True)
@@ -63,5 +67,10 @@ def write_text(spark: SparkSession, uri: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    delete(spark, uri)
-    move(spark, fresh, uri)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    qualified, target = fs.makeQualified(path), fs.makeQualified(hadoop.Path(uri))
+    hadoop.FileContext.getFileContext(qualified.toUri(), spark._jsc.hadoopConfiguration()).rename(
+        qualified, target, options
+    )

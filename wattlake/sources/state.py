@@ -13,6 +13,7 @@ from wattlake.schemas import TableContract
 from wattlake.sources import files
 from wattlake.sources.tables import (
     InterruptedMerge,
+    finish_merge,
     merge_note,
     read_table,
     table_exists,
@@ -27,7 +28,8 @@ def mark_path(lake: str, table: str) -> str:
 def read_mark(spark: SparkSession, lake: str, contract: TableContract) -> datetime | None:
     """The stored mark; without one, the newest ``ingested_at`` in the table; else None.
 
-    The table says nothing about what is loaded while a merge into it has not ended.
+    The table says nothing about what is loaded while a merge into it has not ended, so such a
+    merge is ended first; one whose rows were not kept is refused.
     """
     text = files.read_text(spark, mark_path(lake, contract.name))
     if text:
@@ -35,7 +37,7 @@ def read_mark(spark: SparkSession, lake: str, contract: TableContract) -> dateti
     uri = table_path(lake, "silver", contract.name)
     if not table_exists(spark, uri):
         return None
-    if files.exists(spark, merge_note(uri)):
+    if files.exists(spark, merge_note(uri)) and not finish_merge(spark, uri, contract):
         raise InterruptedMerge(f"{uri} has an unfinished merge and no mark; rebuild it from Bronze")
     newest = (
         read_table(spark, uri, contract)

@@ -1,14 +1,15 @@
 """Silver and Gold tables: partitioned Parquet, validated before anything becomes visible.
 
 Every write is staged by Spark and published when the whole job has succeeded, so a lost
-executor or a broken rule leaves the table as it was.  Publishing itself replaces folders one by
-one: on plain Parquet it is not atomic for readers, and a driver lost in the middle of it can
-lose a folder, which the next merge notices and refuses.  Tables of a catalog that supports
-row-level changes use :func:`merge_into_catalog` instead, where that limit does not exist.
+executor or a broken rule leaves the table as it was.  Publishing moves the staged folders into
+the table one by one: on plain Parquet it is not atomic for readers, but a note names the staged
+folders until all are moved, and whoever opens the table for writing next moves the rest.  Tables of
+a catalog that supports row-level changes use :func:`merge_into_catalog` instead.
 """
 
 from __future__ import annotations
 
+import json
 import threading
 import uuid
 from collections.abc import Iterator, Sequence
@@ -150,61 +151,126 @@ def create_table(df: DataFrame, uri: str, contract: TableContract) -> None:
 
 
 class InterruptedMerge(RuntimeError):
-    """An earlier merge stopped while publishing and stored rows are gone; rebuild the table."""
+    """A merge of an earlier version, whose rows were not kept, stopped while publishing and stored
+    rows are gone; rebuild the table."""
 
 
 def merge_note(uri: str) -> str:
     return files.join_path(uri, "_merging")
 
 
-def check_last_merge(spark: SparkSession, uri: str) -> None:
-    """Refuse a table that lost folders to a merge that never finished publishing.
+def _merge_folder(uri: str) -> str:
+    return f"{uri.rstrip('/')}__merge_"
 
-    Where all of them are still there, each holds its old or its new rows, and merging the
-    batch again completes it.
+
+def finish_merge(spark: SparkSession, uri: str, contract: TableContract) -> bool:
+    """Publish what an interrupted merge had staged; whether there was any.
+
+    The note lists nothing but the place of the merged rows.  Folders still there have not been
+    moved, or were only removed from the table, so moving them again completes the merge however far
+    it had come.
     """
-    note = files.read_text(spark, merge_note(uri))
-    folders = note.splitlines() if note else []
-    lost = sorted(set(folders) - set(existing_folders(spark, uri, folders)))
-    if lost:
-        raise InterruptedMerge(f"{uri} lost {', '.join(lost)}; rebuild it from Bronze")
+    text = files.read_text(spark, merge_note(uri))
+    if not text:
+        return False
+    if not text.startswith("{"):
+        # a note of folders alone: what is lost cannot be published again
+        lost = sorted(set(text.splitlines()) - set(existing_folders(spark, uri, text.splitlines())))
+        if lost:
+            raise InterruptedMerge(f"{uri} lost {', '.join(lost)}; rebuild it from Bronze")
+        return False
+    note = json.loads(text)
+    for folder in partition_folders(spark, note["staged"], contract):
+        target = files.join_path(uri, folder)
+        files.delete(spark, target)
+        files.move(spark, files.join_path(note["staged"], folder), target)
+    if note["batch"]:
+        _write_batch(spark, uri, *note["batch"])
+    files.delete(spark, merge_note(uri))
+    files.delete(spark, note["staged"])
+    return True
+
+
+def last_batch(spark: SparkSession, uri: str, writer: str) -> int | None:
+    """The number of the last batch that a numbering writer has published into the table."""
+    text = files.read_text(spark, files.join_path(uri, "_batches", writer))
+    return int(text) if text else None
+
+
+def _write_batch(spark: SparkSession, uri: str, writer: str, number: int) -> None:
+    files.write_text(spark, files.join_path(uri, "_batches", writer), str(number))
+
+
+def _remove_leftovers(spark: SparkSession, uri: str) -> None:
+    """Drop rows staged by merges that stopped before they had a note."""
+    parent, _, prefix = _merge_folder(uri).rpartition("/")
+    for name in files.children(spark, parent):
+        if name.startswith(prefix):
+            files.delete(spark, files.join_path(parent, name))
 
 
 def upsert(
-    df: DataFrame, uri: str, contract: TableContract, newer_only: bool = False
-) -> None:
+    df: DataFrame,
+    uri: str,
+    contract: TableContract,
+    newer_only: bool = False,
+    batch: tuple[str, int] | None = None,
+) -> bool:
     """Insert new keys and replace the rows of known keys; ``df`` has each key once.
 
-    The batch is written once to the shared scratch folder, in plain files, which validates it
-    and gives Spark its real size for the join.  Only the partitions it touches are read and
-    rewritten; their folder names are the only thing the driver handles.
+    The frame is written once to the shared scratch folder, in plain files, which validates it
+    and gives Spark its real size for the join.  Only the partitions it touches are read; what
+    they become is written next to the table, noted, and moved into it.
 
     By default the batch always wins.  With ``newer_only`` a stored row with a later
     ``ingested_at`` is kept, which makes the result independent of arrival order.
+
+    ``batch`` is a writer's name and the rising number of its batch.  The number is stored with
+    what the batch publishes, and a batch that is already in the table is skipped: False.
     """
     spark = df.sparkSession
+    finish_merge(spark, uri, contract)
+    if batch:
+        last = last_batch(spark, uri, batch[0])
+        if last is not None and batch[1] <= last:
+            return False
     if not table_exists(spark, uri):
         # written aside and moved once, so that a lost driver leaves all of it or nothing
         replace_table(df, uri, contract)
-        return
-    batch = guard(conform(df, contract), contract)
+        if batch:
+            _write_batch(spark, uri, *batch)
+        return True
+    stage_merge(df, uri, contract, newer_only, batch)
+    finish_merge(spark, uri, contract)
+    return True
 
-    check_last_merge(spark, uri)
+
+def stage_merge(
+    df: DataFrame,
+    uri: str,
+    contract: TableContract,
+    newer_only: bool = False,
+    batch: tuple[str, int] | None = None,
+) -> None:
+    """The part of :func:`upsert` before anything in the table changes: what the touched partitions
+    become is written next to it, and the note says so.  From there on the merge will be completed."""
+    spark = df.sparkSession
+    _remove_leftovers(spark, uri)
+    checked = guard(conform(df, contract), contract)
     staged_uri = scratch_path(spark, f"{contract.name}-batch")
     try:
-        batch.write.parquet(staged_uri)
-        staged = read_table(spark, staged_uri, contract)
-        touched = touched_folders(staged, contract)
-        if not touched:
-            return
-        known = existing_folders(spark, uri, touched)
-        rows = staged
-        if known:
-            stored = read_table(spark, uri, contract, known)
-            rows = merged(stored, staged, contract, newer_only)
-        files.write_text(spark, merge_note(uri), "\n".join(known))
-        _publish(rows, uri, contract)
-        files.delete(spark, merge_note(uri))
+        checked.write.parquet(staged_uri)
+        rows = read_table(spark, staged_uri, contract)
+        touched = touched_folders(rows, contract)
+        if touched:
+            known = existing_folders(spark, uri, touched)
+            if known:
+                rows = merged(read_table(spark, uri, contract, known), rows, contract, newer_only)
+            place = f"{_merge_folder(uri)}{uuid.uuid4().hex}"
+            _publish(rows, place, contract)
+            files.write_text(spark, merge_note(uri), json.dumps({"staged": place, "batch": batch}))
+        elif batch:
+            _write_batch(spark, uri, *batch)
     finally:
         files.delete(spark, staged_uri)
 
