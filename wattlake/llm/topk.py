@@ -20,8 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattlake.session import scratch_path
+
 LEVELS = (1, 4, 16)
-_BEST = pa.schema([("query", pa.int64()), ("vec", pa.int64()), ("score", pa.int64())])
+_BEST = pa.schema([("ask", pa.int64()), ("vec", pa.int64()), ("score", pa.int64())])
 
 
 def segment_statistics(x: np.ndarray, segments: int) -> np.ndarray:
@@ -37,14 +39,16 @@ def segment_statistics(x: np.ndarray, segments: int) -> np.ndarray:
 def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Inner products of integer-valued rows, as 64-bit integers.
 
-    Doubles are exact below 2**53; larger ones go by integers of any size, cut to 64 bits.
+    Doubles are exact below 2**53; larger ones go by integers of any size, and one that does not fit
+    into 64 bits is an error.
     """
     top = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(1, q.shape[-1])
     if top < 2**53:
         return (q * x).sum(-1).astype(np.int64)
-    big = _integers(q) * _integers(x)
-    low, high = -(1 << 63), (1 << 63) - 1
-    return np.array([min(max(int(v), low), high) for v in big.sum(-1)], np.int64)
+    big = (_integers(q) * _integers(x)).sum(-1)
+    if any(not -(1 << 63) <= int(v) < 1 << 63 for v in big.flat):
+        raise OverflowError("an inner product does not fit into 64 bits")
+    return big.astype(np.int64)
 
 
 def _integers(x: np.ndarray) -> np.ndarray:
@@ -58,53 +62,58 @@ TILE = 64
 def block_top_k(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
 ) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per query the ids and scores of the k best candidates but itself, ties to smaller ids.
+    """Per query (by its place) the ids and scores of the k best candidates but itself, ties to
+    smaller ids.
 
-    ``ids`` must be ascending; several candidates may share an id.
+    ``ids`` must be ascending; several candidates may share an id, and of those that have the id and
+    the vector of a query one is the query itself.
     """
-    longest = np.sqrt((vectors**2).sum(1).max(initial=0))
+    with np.errstate(over="ignore"):
+        longest = np.sqrt((vectors**2).sum(1).max(initial=0))
+        slack = 1e-9 * np.sqrt((queries**2).sum(1)) * longest + 1e-6
+    if not np.isfinite(slack).all():
+        raise OverflowError("vectors are too long for bounds of their inner products")
     largest = np.abs(vectors).max(initial=0)
-    slack = 1e-9 * np.sqrt((queries**2).sum(1)) * longest + 1e-6
     levels = [
         (segment_statistics(queries, n), segment_statistics(vectors, n))
         for n in sorted({min(level, queries.shape[1]) for level in LEVELS})
     ]
-    seeds = levels[min(1, len(levels) - 1)]
     result = []
     for a in range(0, len(queries), TILE):
         tile = np.arange(a, min(a + TILE, len(queries)))
-        own = [np.flatnonzero(ids == i) for i in query_ids[tile]]
-        # the candidates with the highest middle bounds set the score to beat
-        middle = seeds[0][tile] @ seeds[1].T
-        for row, mine in enumerate(own):
-            middle[row, mine] = -np.inf
-        take = [min(k, len(ids) - len(mine)) for mine in own]
+        # the coarsest bounds say where to look first, and the scores there what is to be beaten
+        coarse = levels[0][0][tile] @ levels[0][1].T
+        for row, at in enumerate(tile):
+            same = np.arange(*np.searchsorted(ids, [query_ids[at], query_ids[at] + 1]))
+            coarse[row, same[(vectors[same] == queries[at]).all(1)][:1]] = -np.inf
+        others = np.isfinite(coarse)
+        take = np.minimum(k, others.sum(1))
         beat = np.full(len(tile), np.inf)
         for row, n in enumerate(take):
             if n:
-                first = np.argpartition(-middle[row], n - 1)[:n]
+                first = np.argpartition(-coarse[row], n - 1)[:n]
                 beat[row] = exact_scores(queries[tile[row]], vectors[first]).min() - slack[tile[row]]
-        columns = np.arange(len(ids))
-        alive = np.isfinite(middle) & np.isfinite(beat)[:, None]
-        for of_queries, of_vectors in levels:
-            alive &= of_queries[tile] @ of_vectors[columns].T >= beat[:, None]
+        columns, alive = np.arange(len(ids)), others & (coarse >= beat[:, None])
+        for of_queries, of_vectors in levels[1:]:
             some = alive.any(0)
             columns, alive = columns[some], alive[:, some]
-        # whole numbers below 2**53 are exact as doubles, in whatever order they are summed up
+            alive &= of_queries[tile] @ of_vectors[columns].T >= beat[:, None]
+        # whole numbers below 2**53 are exact as doubles, in whatever order they are summed up; where
+        # bounds leave most pairs, one product of all is cheaper than the pairs one by one
         whole = largest * np.abs(queries[tile]).max(initial=0) * queries.shape[1] < 2**53
-        table = queries[tile] @ vectors[columns].T if whole else None
+        table = queries[tile] @ vectors[columns].T if whole and 8 * alive.sum() > alive.size else None
         for row, n in enumerate(take):
             if not n:
                 continue
             left = np.flatnonzero(alive[row])
-            if whole:
+            if table is not None:
                 scores = table[row, left]
                 left = left[scores >= -np.partition(-scores, n - 1)[n - 1]]
                 scores = table[row, left].astype(np.int64)
             else:
                 scores = exact_scores(queries[tile[row]], vectors[columns[left]])
             best = np.lexsort((ids[columns[left]], -scores))[:n]
-            result.append((np.full(len(best), query_ids[tile[row]]), ids[columns[left[best]]], scores[best]))
+            result.append((np.full(len(best), tile[row]), ids[columns[left[best]]], scores[best]))
     return result
 
 
@@ -134,11 +143,11 @@ def top_k(
     """(query_id, rank, vec_id, score): for each query row the ``k`` best of all other rows.
 
     ``vectors`` has integer-valued components as doubles; the score is their inner product, which
-    is exact; one beyond 64 bits is cut to them.  ``is_query`` is a condition on its columns.  Ties go
-    to the smaller id.  Rows with a null id, a null vector or a component that is null or not
-    finite take no part.  Vectors of different lengths are compared as if the shorter ended in
-    zeros.  Of several rows with one id, each is a candidate for the queries of other ids, and a
-    query id is answered once, for its first vector in order.  Other columns are not returned.
+    is exact; one beyond 64 bits, or a vector too long to bound, is an error.  ``is_query`` is a
+    condition on its columns.  Ties go to the smaller id.  Rows with a null id, a null vector or a
+    component that is null or not finite take no part.  Vectors of different lengths are compared
+    as if the shorter ended in zeros.  Rows that share an id are different rows: each query row is
+    answered for itself, and only that row is no candidate of it.  Other columns are not returned.
     """
     usable = (
         F.col(id_col).isNotNull()
@@ -157,11 +166,17 @@ def top_k(
     ).first()
     blocks = max(1, math.ceil(total["rows"] / block))
     query_blocks = max(1, math.ceil(total["queries"] / query_block))
-    once = rows.filter("asks").groupBy("id").agg(F.min("vector").alias("vector"))
+    # equal query rows are asked once, under a number that the shared folder keeps
+    path = scratch_path(vectors.sparkSession, "asked")
+    (
+        rows.filter("asks").groupBy("id", "vector").agg(F.count(F.lit(1)).alias("times"))
+        .withColumn("ask", F.monotonically_increasing_id()).write.parquet(path)
+    )
+    once = vectors.sparkSession.read.parquet(path)
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     asked = once.select(
         (F.pmod(F.xxhash64("id"), F.lit(query_blocks))).cast("int").alias("qb"), numbers(blocks).alias("cb"),
-        "id", "vector",
+        "id", "vector", "ask",
     )
     offered = rows.select(
         numbers(query_blocks).alias("qb"),
@@ -180,15 +195,16 @@ def top_k(
         )
         if not found:
             return _BEST.empty_table()
-        return pa.table([np.concatenate(x) for x in zip(*found, strict=True)], schema=_BEST)
+        place, vecs, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.table([left.column("ask").to_numpy()[place], vecs, scores], schema=_BEST)
 
     near = (
         asked.groupBy("qb", "cb").cogroup(offered.groupBy("qb", "cb"))
-        .applyInArrow(best, "query long, vec long, score long")
-    )
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec")
-    return (
-        near.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select(F.col("query").alias("query_id"), "rank", F.col("vec").alias("vec_id"), "score")
+        .applyInArrow(best, "ask long, vec long, score long")
     )
+    order = Window.partitionBy("ask").orderBy(F.desc("score"), "vec")
+    ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    # one row per query and rank and row of the table that asks it
+    return ranked.join(once.select("ask", F.col("id").alias("query_id"), "times"), "ask").select(
+        "query_id", "rank", F.col("vec").alias("vec_id"), "score", F.explode(F.sequence(F.lit(1), "times")).alias("time")
+    ).drop("time")
