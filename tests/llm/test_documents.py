@@ -5,8 +5,10 @@ import hashlib
 import math
 import os
 import random
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import components, prose, shingles, varied, without_repeats, words
 from pyspark.sql import functions as F
@@ -417,10 +419,10 @@ def test_binomial_bound_is_exact():
             assert math.exp(quality_rules.log_binomial_cdf(k, n, p)) == pytest.approx(exact, abs=1e-12)
 
 
-def test_cutoffs_stop_at_the_first_failure():
-    assert quality_rules.accepted_cutoff([0, 0, 5, 90, 0], 1000, 0.02, 0.01) == 2
-    assert quality_rules.accepted_cutoff([0], 10, 0.02, 0.01) is None
-    assert quality_rules.accepted_cutoff([30], 1000, 0.02, 0.01) is None
+def test_settings_stop_at_the_first_failure():
+    assert quality_rules.accepted_setting([0, 0, 5, 90, 0], 1000, 0.02, 0.01) == 2
+    assert quality_rules.accepted_setting([0], 10, 0.02, 0.01) is None
+    assert quality_rules.accepted_setting([30], 1000, 0.02, 0.01) is None
 
 
 def test_good_documents_are_rarely_rejected(spark):
@@ -438,6 +440,83 @@ def test_good_documents_are_rarely_rejected(spark):
     assert judged.filter("lang IS NULL AND kept").count() == 300  # no labels, no rules
 
 
+def plain_verdicts(rows, labels, risk=0.02, delta=0.05):
+    """{id: kept} of (id, stratum, counts) rows, by going through settings and documents one by one."""
+    def cells(c):
+        words, letters = c["n_words"], c["n_capitals"] + c["n_small"]
+        share = lambda a, b: a / b if b else 0.0
+        found = {
+            "symbols_per_word": share(c["n_symbols"], words), "marks_per_word": share(c["n_marks"], words),
+            "capital_share": share(c["n_capitals"], letters), "duplicate_line_share": share(c["n_dup_lines"], c["n_lines"]),
+            "repeated_word_share": share(c["n_repeat_words"], words), "word_length": share(c["word_chars"], words),
+        }
+        size = quality_rules.CELLS
+        return {r: min(size, math.ceil(found[r] / top * size)) for r, (_, top) in quality_rules.RULES.items()}
+
+    failed = {i: c["n_words"] < 10 or 100 * c["n_repeat_words"] > 20 * c["n_words"] for i, _, c in rows}
+    able = [(i, s, cells(c)) for i, s, c in rows if not failed[i]]
+    good = {i for i, *_ in able if labels.get(i) == 1 and zlib.crc32(str(i).encode()) % 4}
+    strata = {s for i, s, _ in able if i in good}
+    kept = {i: not failed[i] for i, *_ in rows}
+    for stratum in strata:
+        mine = [(i, c) for i, s, c in able if s == stratum]
+        holdout = [c for i, c in mine if i in good]
+        chosen = None
+        for share in quality_rules.SETTINGS:
+            cutoffs = {}
+            for rule in quality_rules.RULES:
+                others = [c[rule] for i, c in mine if i not in good]
+                cutoffs[rule] = next(
+                    cell for cell in range(quality_rules.CELLS + 1)
+                    if sum(x > cell for x in others) <= share * len(others) and (others or cell == quality_rules.CELLS)
+                )
+            lost = sum(any(c[r] > cutoffs[r] for r in cutoffs) for c in holdout)
+            chance = sum(
+                math.exp(math.lgamma(len(holdout) + 1) - math.lgamma(x + 1) - math.lgamma(len(holdout) - x + 1))
+                * risk**x * (1 - risk) ** (len(holdout) - x) for x in range(lost + 1)
+            )
+            if lost > risk * len(holdout) or chance > delta / len(strata):
+                break
+            chosen = cutoffs
+        for i, c in mine if chosen else []:
+            kept[i] &= not any(c[r] > chosen[r] for r in chosen)
+    return kept
+
+
+def test_verdicts_equal_the_plain_version(spark):
+    pick = random.Random(4)
+    rows = []
+    for i in range(2400):
+        bad = pick.random() < 0.25
+        tokens = prose(i, pick.randrange(15, 60), 10**6)
+        for _ in range(pick.randrange(0, 20 if bad else 3)):
+            tokens[pick.randrange(len(tokens))] += pick.choice(["#", "!!", "%%", "ABC"])
+        rows.append((i, " ".join(tokens), pick.choice(["a", "a", None, None, "few"]) if i % 9 else "few", int(not bad)))
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = {i: good for i, _, lang, good in rows if pick.random() < 0.8 and (lang != "few" or i % 10 == 0)}
+    told = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
+    stats = text_stats.text_stats(pa.array([r[1] for r in rows]))
+    counts = [{k: int(v[n]) for k, v in stats.items()} for n in range(len(rows))]
+    expected = plain_verdicts([(r[0], r[2], c) for r, c in zip(rows, counts, strict=True)], labels)
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.apply_quality_rules(docs, told, keep=["doc_id"]).collect()}
+    assert got == expected
+    # the method rejects where there are labels enough, and only there
+    by = {s: [i for i, _, lang, _ in rows if lang == s and not got[i]] for s in ("a", None, "few")}
+    assert len(by["a"]) > 20 and len(by[None]) > 20 and len(by["few"]) < 5
+
+
+def test_false_rejections_stay_below_the_risk():
+    """Draws of good labels around a true share: more than the risk is seldom accepted."""
+    pick = np.random.default_rng(12)
+    shares = np.array([0.001, 0.004, 0.01, 0.019, 0.0201, 0.03, 0.06])  # true rejection per setting
+    wrong = 0
+    for _ in range(2000):
+        lost = np.searchsorted(np.sort(pick.random(900)), shares)
+        step = quality_rules.accepted_setting(lost, 900, 0.02, 0.05)
+        wrong += step is not None and shares[step] > 0.02
+    assert wrong / 2000 <= 0.05
+
+
 def test_rules_on_odd_rows(spark):
     docs = frame(spark, ODD, clash=True).withColumn("lang", F.lit(None).cast("string"))
     labels = spark.createDataFrame([(None, 1), (4, None), (7, 1), (7, 0)], "doc_id long, quality int")

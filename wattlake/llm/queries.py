@@ -76,7 +76,7 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality_rules.apply_quality_rules(docs, table(spark, sf_dir, "labels")).select(
+    return quality_rules.apply_quality_rules(docs, table(spark, sf_dir, "labels"), keep=["doc_id"]).select(
         "doc_id", *quality_rules.BASE, "base_failed", "kept"
     )
 
