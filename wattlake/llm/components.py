@@ -19,15 +19,19 @@ def are_stars(edges: DataFrame) -> bool:
     return seen.filter("larger > 0 AND n > 1").count() == 0
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b: longs), component the smallest node.
 
+    An edge with a null end is none.  The number of rounds grows with the logarithm of the longest
+    path; there is no limit to it.
+
     Alternates two steps that keep the components (Kiveris et al., "Connected components in
     MapReduce and beyond"): every node links its larger neighbours, then its smaller ones, to the
     smallest node it knows, until every edge points to the smallest node of its component.  The
     edges of each round are written to the shared folder, so a lost executor costs one round at
-    most.  A node with very many neighbours is a plain group of a sum-like aggregate and the
-    large side of a join that adaptive execution can split.
+    most.  So are the smallest nodes that each node knows: the edges are then joined with a table
+    whose real size Spark knows, which is sent to all tasks while it is small, and beyond that a
+    plain join, in which adaptive execution splits a node with very many neighbours.
     """
     spark = edges.sparkSession
     root = scratch_path(spark, "components")
@@ -44,15 +48,16 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     step = 0
     while not are_stars(current):
         step += 1
-        if step > most_rounds:
-            raise RuntimeError("components did not settle")
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-        large = (
+        least = written(
+            both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a")), f"least-{step}"
+        )
+        large = written(
             both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .filter("a > b").distinct()
+            .filter("a > b").distinct(),
+            f"large-{step}",
         )
-        small_least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small_least = written(large.groupBy("a").agg(F.min("b").alias("m")), f"small-{step}")
         small = (
             large.join(small_least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(small_least.select("a", F.col("m").alias("b")))
