@@ -94,6 +94,28 @@ def test_different_texts_with_one_id_stay(spark):
     assert sorted(got, key=repr) == sorted([rows[0], rows[3], rows[4], rows[7], rows[8], rows[9]], key=repr)
 
 
+def test_columns_named_like_results_come_through(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ["score", "predicted", "n_words", "kept", "base_failed", "n_removed", "__n_marks", "component_id", "__column1"]
+    clashing = docs.select(*(F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names), *docs.columns)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        plain, got = stage(spark, docs, SF), stage(spark, clashing, SF)
+        assert got.columns == clashing.columns
+        kept = got.collect()
+        assert {(r["doc_id"], r["text"]) for r in kept} == {(r["doc_id"], r["text"]) for r in plain.collect()}
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in kept for n in names)
+    assert corpus_pipeline.packed(spark, clashing, SF).count() >= docs.count()
+
+
+def test_tables_of_ids_and_texts_alone(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "other words"), (2, "a b c d e f"), (3, "x " * 30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
+    assert got == sorted({rows[0], rows[2], rows[4]})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, SF).columns == docs.columns
+
+
 def test_every_operator_has_a_query():
     names = entry.queries()
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
