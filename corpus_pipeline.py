@@ -20,17 +20,36 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _masked(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """``docs`` with names that no operator uses, for all columns but those it needs; :func:`_unmasked`
+    gives them back, so that a column named like a result is not taken for one."""
+    return docs.toDF(*(c if c in keep else f"__column{i}" for i, c in enumerate(docs.columns)))
+
+
+def _unmasked(masked: DataFrame, docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    return masked.select(
+        *(F.col(c if c in keep else f"__column{i}").alias(c) for i, c in enumerate(docs.columns))
+    )
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorisation machine takes for good ones."""
-    model = quality_model.fit_quality_model(docs, _labels(spark, sf_dir))
-    scored = quality_model.score_quality(docs, model)
-    return scored.filter(F.col("predicted") == 1).select(*docs.columns)
+    """Documents that the factorisation machine takes for good ones, with their columns as they are."""
+    keep = ("doc_id", "text", "n_chars")
+    masked = _masked(docs, keep)
+    model = quality_model.fit_quality_model(masked, _labels(spark, sf_dir))
+    scored = quality_model.score_quality(masked, model)
+    return _unmasked(scored.filter(F.col("predicted") == 1), docs, keep)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that neither a base rule nor a risk-controlled cutoff rejects."""
-    judged = quality_rules.apply_quality_rules(docs, _labels(spark, sf_dir))
-    return judged.filter("kept").select(*docs.columns)
+    """Documents that neither a base rule nor a risk-controlled cutoff rejects, with their columns
+    as they are; without a column ``lang`` all are one stratum."""
+    keep = ("doc_id", "text", "lang")
+    masked = _masked(docs, keep)
+    if "lang" not in docs.columns:
+        masked = masked.withColumn("lang", F.lit(None).cast("string"))
+    judged = quality_rules.apply_quality_rules(masked, _labels(spark, sf_dir))
+    return _unmasked(judged.filter("kept"), docs, keep)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +64,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         return known.join(chosen, "doc_id", "left_semi").select(*docs.columns).unionByName(unknown)
     # a number for each different id and text, in their order, stands for the id
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    different = known.groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("__rest"))
+    # a struct of nothing cannot be written
+    others = F.struct(*(rest or [F.lit(0).alias("__nothing")]))
+    different = known.groupBy("doc_id", "text").agg(F.min(others).alias("__rest"))
     path = scratch_path(spark, "repeated-ids")
     different.sort("doc_id", "text").withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
     numbered = spark.read.parquet(path)
@@ -56,14 +77,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages that a document with a smaller id has."""
-    cut = passages.remove_repeated_passages(docs)
-    size = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", size).select(*docs.columns)
+    """Texts without passages that a document with a smaller id has; ``n_chars``, where there is one,
+    follows a text that is cut, and all other columns stay as they are."""
+    keep = ("doc_id", "text", "n_chars")
+    cut = passages.remove_repeated_passages(_masked(docs, keep))
+    if "n_chars" in docs.columns:
+        size = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        cut = cut.withColumn("n_chars", size)
+    return _unmasked(cut, docs, keep)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in which training sequence."""
+    """Where each piece of each document lies in which training sequence; other columns than these
+    places are not returned."""
     return packing.pack_documents(docs)
 
 
