@@ -194,7 +194,9 @@ def apply_quality_rules(
     ``kept``: false if the base rules fail or a statistic lies above the cutoff of its rule and
     stratum.  Cutoffs are fitted on all documents that pass the base rules; of those labelled 1, the
     ones whose crc32 of the id as text is no multiple of 4 are the holdout.  In a stratum without an
-    XX
+    acceptable setting (too few in the holdout) only the base rules reject.  Counts are made in one
+    pass over the texts and written to the shared folder; a second pass judges the texts where
+    ``keep`` leaves them in the result.
 
     A null text has no words and fails the base rules.  A null stratum is a stratum.  Rows with a
     null id or label do not count as labelled; an id labelled twice counts by its lowest label.
@@ -208,8 +210,8 @@ def apply_quality_rules(
     )
     path = scratch_path(docs.sparkSession, "text-counts")
     returned = docs.columns if keep is None else list(keep)
-    small = [c for c in returned if c != text_col]
-    with_stats(docs, text_col, keep=[*small, id_col, stratum_col]).write.parquet(path)
+    again = text_col in returned
+    with_stats(docs, text_col, keep=[*([] if again else returned), id_col, stratum_col]).write.parquet(path)
     counted = docs.sparkSession.read.parquet(path)
     few = counted.filter(~base_failed()).select(
         F.col(id_col).alias("__id"), F.col(stratum_col).alias("stratum"), *BASE, *(_OWN + m for m in _MORE)
@@ -219,7 +221,7 @@ def apply_quality_rules(
         few.join(told, "__id", "left").withColumn("held", held), "stratum", risk, delta
     )
     # texts are not written for this: where they are returned, they are counted again
-    judged = with_stats(docs, text_col) if text_col in returned else counted
+    judged = with_stats(docs, text_col) if again else counted
     judged = judged.withColumn("base_failed", base_failed())
     judged = judged.join(
         bounded(cutoffs, len(known)), F.col(stratum_col).cast("string").eqNullSafe(F.col("__stratum")), "left"
