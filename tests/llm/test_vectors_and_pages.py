@@ -222,6 +222,107 @@ def test_odd_pages(spark):
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+FORMS = {
+    '<article><section id="search-results-explained"><p>a</p></section></article>': "a",
+    '<article><p class="notice-board-history">a</p><p class="share-price">b</p><p class="h2 social-studies">c</p></article>': "a\nb\nc",
+    "<article><!--> <p>a</p><!-- x --><!---><p>b</p><!-- <p>c</p> --!></article>": "a\nb",
+    "<article></article><main><p>m</p></main><p>o</p>": "m",
+    "<article><nav>n</nav></article><main></main><p>o</p>": "o",
+    '<article><p>a</p><article class="comment"><p>c</p></article></article>': "a",
+    '<article><p>a</p></article><article class="post comment-3"><p>c</p></article>': "a",
+    '<article class="post comments-open has-comments"><p>a</p></article>': "a",
+    "<article hidden><p>h</p></article><article><p>a</p></article>": "a",
+    '<article><p>a</p><div style="color:red; DISPLAY : none">h</div><p style="color:red">b</p></article>': "a\nb",
+    '<article><p title="hidden class=ad">a</p><p data-id="comments">b</p><p alt=\'id="ad"\'>c</p></article>': "a\nb\nc",
+    '<article><p>a</p><p CLASS=ad id=x>b</p><p class="x" class="ad">c</p></article>': "a\nc",
+    "<article><header><h1>H</h1></header><h2>T</h2><p>a</p></article>": "T\na",
+    f'<article><p class="{"ad-" * 9000}">a</p></article>': "a",
+} | {
+    f'<article><p>a</p><div class="{name}"><p>x</p></div></article>': "a"
+    for name in (
+        "reviews", "discussion", "reader-feedback", "adsbygoogle", "adbox", "ad", "x ad-top", "cookieNotice",
+        "related-posts", "site-footer", "widget_12", "social share", "comment-list", "main-nav", "ad1", "user-comments",
+    )
+}
+
+
+def test_forms_of_pages(spark):
+    rows = [(i, f"http://h{i}.example/", f"<body>{page}</body>") for i, page in enumerate(FORMS)]
+    got = extracted(spark, rows)
+    assert {page: got[i] for i, page in enumerate(FORMS)} == FORMS
+
+
+def plain_extraction(rows, share=0.2, least=5, many=100, least_share=0.001):
+    """The whole operator over (id, host, html) rows in plain dictionaries."""
+    parsed = {i: html_text.parse(page) for i, _, page in rows}
+    inside, outside, piece = html_text._INSIDE, html_text._OUTSIDE, html_text._PIECE
+    result = {}
+    for host in {h for _, h, _ in rows}:
+        own = {i: page for i, h, page in rows if h == host}
+        articles = {i: html_text._articles(parsed[i]) for i in own}
+        digests = {
+            i: [set(html_text.subtree_hashes(parsed[i]).values()), set(html_text.article_hashes(articles[i]).values())]
+            for i in own
+        }
+        text = {i: tuple(html_text.blocks_of(parsed[i])) for i in own}
+        totals = {True: len({text[i] for i in own if articles[i]}), False: len(set(own.values()))}
+
+        def judged(seen, totals=totals):
+            often, frequent = set(), set()
+            for digest, keys in seen.items():
+                total, n, kind = totals[digest[:1] == inside], len(keys), digest[:1]
+                if n >= least and n >= share * total:
+                    often.add(digest)
+                elif n >= least and kind != piece and n >= max(many, least_share * total):
+                    frequent.add(digest)
+            return often, frequent
+
+        seen = collections.defaultdict(set)
+        for i, (around, within) in digests.items():
+            for digest in around:
+                seen[digest].add(own[i])
+            for digest in within:
+                seen[digest].add(text[i])
+        often, frequent = judged(seen)
+        sure = {d for d in often if d[:1] != inside}
+        unsure = (often | frequent) - sure
+        again = collections.defaultdict(set)
+        for i, (around, within) in digests.items():
+            if articles[i]:
+                for digest in around & unsure:
+                    again[digest].add(own[i])
+            rest = html_text.blocks_of(parsed[i], sure | unsure)
+            before = html_text.blocks_of(parsed[i], sure)
+            if rest and sum(map(len, rest)) >= html_text.OWN_SHARE * sum(map(len, before)):
+                for digest in (within if articles[i] else around) & unsure:
+                    again[digest].add(("begins", rest[0]))
+        template = sure.union(*judged(again))
+        assert all(d[:1] in (inside, outside, piece) for d in template)
+        result |= {i: "\n".join(html_text.blocks_of(parsed[i], template)) for i in own}
+    return result
+
+
+def test_extraction_equals_a_plain_version(spark):
+    import random
+
+    pick = random.Random(8)
+    boxes = [f"<div><p>Box {k}</p><ul><li>one<li>two</ul></div>" for k in range(6)]
+    rows = []
+    for i in range(400):
+        host = pick.choice(["a.example", "a.example", "b.example", f"c{i % 40}.example"])
+        tag = pick.choice(["article", "main", "div", "section"])
+        paragraphs = "".join(f"<p>{' '.join(pick.choices('abcdefgh', k=pick.randrange(1, 14)))}</p>" for _ in range(3))
+        inner = "".join(b for k, b in enumerate(boxes) if pick.random() < 0.5 / (k + 1))
+        outer = "".join(b for k, b in enumerate(boxes) if pick.random() < 0.4 / (k + 1))
+        rows.append((i, host, f"<body><p>Site of {host}</p>{outer}<{tag}><h1>{i % 150}</h1>{paragraphs}{inner}</{tag}></body>"))
+    rows += [(1000 + i, host, page) for i, (_, host, page) in enumerate(rows[:60])]
+    expected = plain_extraction(rows, many=30)
+    got = extracted(spark, [(i, f"http://{host}/{i}", page) for i, host, page in rows], many_pages=30)
+    assert got == expected
+    bare = {i: "\n".join(html_text.blocks_of(html_text.parse(page))) for i, _, page in rows}
+    assert sum(got[i] != bare[i] for i in got) > 100
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_pages_of_the_tables(spark):
     """Every article of the tables, by a regular expression for their few forms."""

@@ -5,7 +5,7 @@ hashed.  Spark counts per host on how many pages a subtree occurs; one that recu
 its host is part of the site's template and is deleted with all below it.  Elements that say what
 they are (navigation, forms, adverts, comments, ...) go on every page, also where a host has too few
 pages to tell.  What remains of the article, or of the body where a page marks no article, is the
-text.
+text.  A ``header`` or ``footer`` goes in an article as well, with the headings in it.
 
 Inside an article (or main element) only whole blocks are judged, and counted over articles that
 differ: copies and near copies of an article on many pages of a host are not its template, and a
@@ -18,6 +18,7 @@ import hashlib
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,19 +55,29 @@ _PROSE, _PROSE_WORDS = frozenset("p pre blockquote address center".split()), 8
 #: An article of which less than this share of its text is its own may be a near copy of others.
 OWN_SHARE = 0.25
 #: Words in class, id or role that say the same of any element.
-_SAYS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|advertisement|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|"
-    r"breadcrumbs?|header|masthead|footer|sidebar|side|aside|widgets?|related|recommend\w*|"
-    r"cookies?|consent|gdpr|notices?|popup|modal|newsletter|subscribe|signup|login|search|"
-    r"comments?|commentlist|disqus|replies|respond|share|sharing|social|toolbar|pagination|pager|"
-    r"contentinfo|complementary|navigation|alert|alertdialog|form)(?=$|[\s_-])",
-    re.IGNORECASE,
+_FRAME = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adbox adslot adunit adsense"
+    " adsbygoogle sponsor sponsors sponsored promo promos promotion promotions banner banners"
+    " nav navbar navigation menu menus submenu breadcrumb breadcrumbs header masthead footer"
+    " sidebar sidebars side aside widget widgets cookie cookies consent gdpr notice notices popup"
+    " popups modal newsletter subscribe subscription signup login search searchform share shares"
+    " sharing social toolbar pagination pager contentinfo complementary alert alertdialog form".split()
 )
-#: Of these, words for boxes that hold other articles or comments, never the page's own.
-_OTHERS = re.compile(
-    r"(?:^|[\s_-])(?:related|recommend\w*|comments?|commentlist|disqus|replies|respond|widgets?)(?=$|[\s_-])",
-    re.IGNORECASE,
+#: Words for boxes that hold other articles or readers' comments, never the page's own text.
+_OTHERS = frozenset(
+    "related recommend recommended recommendation recommendations comment comments commentlist"
+    " disqus reply replies respond responses reviews discussion discussions feedback".split()
 )
+#: Words that may stand beside these in a name without changing what it says.
+_BESIDE = frozenset(
+    "site page global main primary secondary top bottom left right inner outer box boxes block blocks"
+    " wrap wrapper container content list lists item items bar area section region row column group"
+    " zone slot unit panel holder inline post posts article articles story stories entry entries"
+    " link links button buttons icon icons text title message media reader readers user users"
+    " sticky google video image".split()
+)
+_KNOWN = _FRAME | _OTHERS | _BESIDE
+_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 #: What ends an open element of the first kind when it begins.
 _ENDS = {
     "p": BLOCK - {"html", "body", "td", "th"},
@@ -83,11 +94,13 @@ _ENDS = {
 _WALLS = frozenset("article main section aside nav header footer table td th body html div form ul ol".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.IGNORECASE)
+_KEPT = frozenset({"class", "id", "role", "hidden", "aria-hidden", "style"})
+_MAY_KEEP = re.compile("class|id|role|hidden|style", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?|\"[^\"]*\"|'[^']*'")
 
 
 class Node:
@@ -100,12 +113,18 @@ class Node:
 
 
 def _attributes(rest: str) -> dict:
-    if not rest or not rest.strip(" /\n\t"):
+    """The attributes that matter; a style that hides its element counts as ``hidden``."""
+    if not _MAY_KEEP.search(rest or ""):
         return {}
-    return {
-        m[1].lower(): html.unescape(next((v for v in m.groups()[1:] if v is not None), ""))
-        for m in _ATTRIBUTE.finditer(rest)
-    }
+    found: dict = {}
+    for m in _ATTRIBUTE.finditer(rest):
+        name = (m[1] or "").lower()
+        if name in _KEPT:
+            # of attributes given twice, the first counts
+            found.setdefault(name, html.unescape(next((v for v in m.groups()[1:] if v is not None), "")))
+    if _HIDING.search(found.pop("style", "")):
+        found.setdefault("hidden", "")
+    return found
 
 
 def parse(page: str) -> Node:
@@ -166,21 +185,42 @@ def _end_paragraph(path: list[Node]) -> None:
 
 
 def is_boilerplate(node: Node) -> bool:
+    """Never main text: by its element, because it is hidden, or by what its names say.
+
+    Articles go only if hidden or named as other articles or comments, main elements never.
+    """
     if node.name in BOILERPLATE:
         return True
-    a = node.attributes
-    if not a or node.name in ("article", "main", "body", "html"):
+    if not node.attributes or node.name in ("main", "body", "html"):
         return False
-    if "hidden" in a or a.get("aria-hidden", "").lower() == "true":
+    if _hidden(node):
         return True
-    return _says(node, _SAYS)
+    return _says(node, _OTHERS) or (node.name != "article" and _says(node, _FRAME))
 
 
-def _says(node: Node, words: re.Pattern) -> bool:
-    a = node.attributes
-    return any(words.search(a[k]) for k in ("class", "id", "role") if k in a)
+def _hidden(node: Node) -> bool:
+    return "hidden" in node.attributes or node.attributes.get("aria-hidden", "").lower() == "true"
 
 
+@lru_cache(maxsize=1 << 14)
+def _words_of(name: str) -> frozenset:
+    """The words a class, id or role is made of, without numbers."""
+    parts = re.split(r"[\W\d_]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name))
+    return frozenset(p.lower() for p in parts if p)
+
+
+def _says(node: Node, words: frozenset) -> bool:
+    """Whether a name of the element consists of such words and those that may stand beside them:
+    ``related-posts`` does, ``notice-board-history`` and ``has-sidebar`` do not."""
+    for key in ("class", "id", "role"):
+        for name in node.attributes.get(key, "").split():
+            # no longer name consists of such words
+            if len(name) <= 80:
+                parts = _words_of(name)
+                if not parts.isdisjoint(words) and parts <= _KNOWN:
+                    return True
+    return False
+
 
 def _digests(tops: list[Node], walls: tuple, mark) -> dict[int, bytes]:
     """A digest, beginning with its ``mark``, of every element below ``tops`` that has text and a
@@ -252,9 +292,12 @@ def _key(texts: list[str]) -> int:
     return int.from_bytes(hashlib.blake2b(joined, digest_size=8).digest(), "big", signed=True)
 
 
-def blocks_of(root: Node, template: frozenset | set = frozenset()) -> list[str]:
-    """Texts of the blocks that remain, in page order."""
-    articles = _articles(root)
+def blocks_of(
+    root: Node, template: frozenset | set = frozenset(), articles: list[Node] | None = None
+) -> list[str]:
+    """Texts of the blocks that remain, in page order; ``articles`` where they are known already."""
+    if articles is None:
+        articles = _articles(root)
     tops = articles or [root]
     digests: dict[int, bytes] = {}
     if template:
@@ -292,14 +335,11 @@ def blocks_of(root: Node, template: frozenset | set = frozenset()) -> list[str]:
 
 def _named_only(node: Node) -> bool:
     """Boilerplate by class, id or role, or a form: what may also be a wrapper around a page."""
-    if node.name not in BOILERPLATE:
-        a = node.attributes
-        return "hidden" not in a and a.get("aria-hidden", "").lower() != "true"
-    return node.name == "form"
+    return not _hidden(node) if node.name not in BOILERPLATE else node.name == "form"
 
 
 def _articles(root: Node) -> list[Node]:
-    """The outermost articles, or else the main elements.
+    """The outermost articles if any has text, else the main elements if any has; none without text.
 
     Those outside boilerplate count, and those in wrappers: elements boilerplate by name alone
     (or forms) that hold most of the page's text, and are not made of others' posts.  If these
@@ -312,28 +352,31 @@ def _articles(root: Node) -> list[Node]:
             sizes.update(_text_sizes(root))
         return 2 * sizes[id(node)] > sizes[id(root)] and not _says(node, _OTHERS)
 
-    found = _outermost(root, wraps)
-    if any(_has_text(one) for one in found):
-        return found
-    return _outermost(root, lambda node: True) or found
+    for enter in (wraps, lambda node: True):
+        for found in _outermost(root, enter):
+            if any(_has_text(one) for one in found):
+                return found
+    return []
 
 
-def _outermost(root: Node, enter) -> list[Node]:
-    """The outermost articles, or else main elements, not below boilerplate but for named elements
+def _outermost(root: Node, enter) -> tuple[list[Node], list[Node]]:
+    """The outermost articles, and the main elements, not below boilerplate but for named elements
     to ``enter``."""
-    found: dict[str, list[Node]] = {"article": [], "main": []}
+    articles: list[Node] = []
+    mains: list[Node] = []
     pending = [(root, False)]
     while pending:
         node, inside = pending.pop()
         if node.name == "article":
-            found["article"].append(node)
+            if not is_boilerplate(node):
+                articles.append(node)
             continue
         if node.name == "main" and not inside:
-            found["main"].append(node)
+            mains.append(node)
             inside = True
         if not is_boilerplate(node) or (_named_only(node) and enter(node)):
             pending += [(c, inside) for c in reversed(node.children) if isinstance(c, Node)]
-    return found["article"] or found["main"]
+    return articles, mains
 
 
 def _text_sizes(root: Node) -> dict[int, int]:
@@ -437,7 +480,7 @@ def site_templates(
                 yield host, digest, whole
             articles = _articles(root)
             if articles:
-                article = _key(blocks_of(root))
+                article = _key(blocks_of(root, articles=articles))
                 yield host, _ARTICLES, article
                 for digest in set(article_hashes(articles).values()):
                     yield host, digest, article
@@ -485,8 +528,8 @@ def site_templates(
                 for digest in around:
                     yield host, digest, whole
             if found:
-                own = blocks_of(root, unsure | sure)
-                if own and sum(map(len, own)) >= OWN_SHARE * sum(map(len, blocks_of(root, sure))):
+                own = blocks_of(root, unsure | sure, articles)
+                if own and sum(map(len, own)) >= OWN_SHARE * sum(map(len, blocks_of(root, sure, articles))):
                     begins = _key(own[:1])
                     for digest in found:
                         yield host, digest, begins
