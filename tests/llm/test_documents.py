@@ -5,6 +5,8 @@ import hashlib
 import math
 import os
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -65,7 +67,6 @@ def corpus(seed=3):
 
 def test_counts_of_a_text_match_a_plain_count():
     texts = [t for _, t in corpus()] + ["a b\na b\n\n \nc", "#x $$ <p>|", "é é é é é é é", "", None]
-    import pyarrow as pa
 
     got = text_stats.text_stats(pa.array(texts, pa.string()))
     for i, text in enumerate(texts):
@@ -241,6 +242,77 @@ def test_altered_notices_are_judged_by_containment(spark):
     assert 0 < len(expected) < 12
 
 
+def folded_shingles(text):
+    """Shingles of words without ASCII punctuation."""
+    return shingles(re.sub(r"[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]", " ", text or ""))
+
+
+def test_no_notice_contains_another():
+    sets = {name: folded_shingles(text) for name, text in licenses.NOTICES.items()}
+    for a, mine in sets.items():
+        for b, other in sets.items():
+            assert a == b or len(mine & other) < 0.75 * len(other)
+
+
+def test_notices_as_people_write_them(spark):
+    texts = {
+        "We have Released under the MIT License and more": {"mit"},
+        "it is licensed under cc by-nc 4.0 and nothing else": {"cc-by-nc-4.0"},
+        'Licensed under the Apache License, Version 2.0 (the "License");\n * you may not use this file except in\n'
+        " * compliance with the License.\n * You may obtain a copy of the License at\n *\n"
+        " *     http://www.apache.org/licenses/LICENSE-2.0\n": {"apache-2.0", "apache-2.0-terms"},
+        "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General"
+        " Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n"
+        "# (at your option) any later version.": {"gnu-gpl", "gnu-3.0-or-later"},
+        "under the terms of the GNU Lesser General Public License; either version 2.1 of the License, or (at your option)"
+        " any later version.": {"gnu-lgpl", "gnu-2.1-or-later"},
+        "Released under a MIT License": set(),
+    }
+    rows = [(i, text) for i, text in enumerate(texts)]
+    got = licenses.scan_licenses(frame(spark, rows)).collect()
+    assert {text: {r["license"] for r in got if r["doc_id"] == i} for i, text in rows} == texts
+
+
+def test_word_numbers_count_words_between_white_space(spark):
+    row = (1, 'a - b (c) "Released under the MIT License", d')
+    got = licenses.scan_licenses(frame(spark, [row, row])).collect()
+    assert [(r["license"], r["first_word"], r["last_word"]) for r in got] == [("mit", 4, 8)] * 2
+
+
+def test_all_templates_against_all_texts(spark):
+    """Many templates that share words, against plain containment in the texts."""
+    notices = {f"n{k}": " ".join(prose(k, 6 + 3 * (k % 20), 90)) for k in range(300)}
+    rows = []
+    for i in range(150):
+        whole = words(notices[f"n{i * 2}"])
+        rows.append((i, " ".join(prose(1000 + i, 40) + varied(whole, i, i % 4) + prose(2000 + i, 25))))
+    rows += [(500 + i, t) for i, t in rows[:10]]
+    sets = {name: folded_shingles(text) for name, text in notices.items()}
+    expected = {
+        (i, name) for i, text in rows for name, need in sets.items()
+        if len(folded_shingles(text) & need) >= math.ceil(0.75 * len(need) - 1e-9)
+    }
+    got = licenses.scan_licenses(frame(spark, rows), notices=notices).collect()
+    assert {(r["doc_id"], r["license"]) for r in got} == expected and len(expected) > 60
+
+
+def test_looking_up_does_not_follow_the_number_of_templates():
+    text = pa.array([" ".join(prose(i, 400)) for i in range(400)])
+
+    def seconds(count):
+        notices = {f"n{k}": " ".join(prose(10_000 + k, 16, 10**6)) for k in range(count)}
+        classes = licenses.template_classes(notices, 0.75, 0.9999)
+        tables = [c.minima(licenses._salts(c.bands)) for c in classes]
+        times = []
+        for _ in range(3):
+            begin = time.process_time()
+            licenses.scan_slice(text, classes, 0.75, tables)
+            times.append(time.process_time() - begin)
+        return min(times)
+
+    assert seconds(300) < 3 * seconds(3)
+
+
 def test_licenses_of_odd_rows(spark):
     assert licenses.scan_licenses(frame(spark, ODD)).count() == 0
     assert licenses.scan_licenses(frame(spark, [])).count() == 0
@@ -346,7 +418,6 @@ def test_language_of_odd_rows(spark):
 
 
 def test_kernel_counts_common_grams():
-    import pyarrow as pa
 
     x = next(language.presence_blocks(pa.array(["abc", "abc", "xyz", ""])))
     k = language.kernel(x, x)

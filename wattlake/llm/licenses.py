@@ -17,9 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from wattlake.llm.license_texts import NOTICES
 from wattlake.llm.words import (
+    Windows,
+    Words,
     find_words,
     lower_ascii,
+    runs,
     scrambled,
     sliced,
     span_hashes,
@@ -29,30 +33,18 @@ from wattlake.llm.words import (
 
 SHINGLE = 5
 
-#: Notices looked for by default (fixed values: public license notices).
-NOTICES = {
-    "apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "mit": "Released under the MIT License.",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "mit-permission": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this"
-        " software and associated documentation files (the \"Software\"), to deal in the Software"
-        " without restriction, including without limitation the rights to use, copy, modify, merge,"
-        " publish, distribute, sublicense, and/or sell copies of the Software"
-    ),
-    "bsd-redistribution": (
-        "Redistribution and use in source and binary forms, with or without modification, are"
-        " permitted provided that the following conditions are met"
-    ),
-}
-
-
-def text_shingles(column: pa.Array):
-    """Words, and the hashes of all 5-word shingles with their first word and text."""
+#: True for bytes of words: digits, letters and all of longer characters, no punctuation.
+_OF_WORDS = np.array([chr(b).isalnum() or b >= 128 for b in range(256)])
+
+
+def text_shingles(column: pa.Array) -> tuple[Words, Windows]:
+    """Words without ASCII punctuation, and the hashes of all 5-word shingles with their first word
+    and text."""
     data, offsets = text_bytes(column)
-    words = find_words(lower_ascii(data), offsets)
-    return words, window_hashes(span_hashes(words.data, words.starts, words.ends), words.bounds, SHINGLE)
+    data = lower_ascii(data)
+    starts, ends = runs(_OF_WORDS[data], offsets)
+    words = Words(data, offsets, starts, ends, np.searchsorted(starts, offsets))
+    return words, window_hashes(span_hashes(data, starts, ends), words.bounds, SHINGLE)
 
 
 @dataclass(frozen=True)
@@ -72,6 +64,15 @@ class TemplateClass:
     bands: int
     templates: tuple[Template, ...]
 
+    def minima(self, salts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For every band the templates' least values in order, and whose they are."""
+        found = []
+        for salt in salts[: self.bands]:
+            least = np.array([minhash_values(t.shingles, salt).min() for t in self.templates])
+            order = np.argsort(least, kind="stable")
+            found.append((least[order], order))
+        return found
+
 
 def _salts(count: int) -> np.ndarray:
     return scrambled(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -115,19 +116,33 @@ def _blocks(bounds: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     return bounds[:-1][text] + nth * block, text
 
 
-def scan_slice(column: pa.Array, classes: list[TemplateClass], share: float) -> list[dict]:
-    """Matches in some texts: text number, template, windows, containment, first and last word."""
+def _looked_up(values: np.ndarray, keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of a value, owner) of all equal pairs of values and sorted keys."""
+    begin = np.searchsorted(keys, values, "left")
+    at = np.flatnonzero(begin < len(keys))
+    at = at[keys[begin[at]] == values[at]]
+    count = np.searchsorted(keys, values[at], "right") - begin[at]
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(at, count), owners[np.repeat(begin[at], count) + nth]
+
+
+def scan_slice(
+    column: pa.Array, classes: list[TemplateClass], share: float, tables: list | None = None
+) -> list[dict]:
+    """Matches in some texts: text number, template, windows, containment, first and last word.
+
+    ``tables`` are the templates' minima by class, where they are known already.
+    """
     words, found = text_shingles(column)
     hashes = found.hashes
     if not len(hashes):
         return []
     bounds = np.searchsorted(found.text, np.arange(len(words.bounds)))
     salts = _salts(max(c.bands for c in classes))
+    if tables is None:
+        tables = [c.minima(salts) for c in classes]
     blocks = [_blocks(bounds, c.block) for c in classes]
-    candidates = [
-        np.zeros((len(c.templates), len(text)), bool)
-        for c, (_, text) in zip(classes, blocks, strict=True)
-    ]
+    candidates: list[list[np.ndarray]] = [[] for _ in classes]
     for number, salt in enumerate(salts):
         values = minhash_values(hashes, salt)
         for k, c in enumerate(classes):
@@ -139,25 +154,30 @@ def scan_slice(column: pa.Array, classes: list[TemplateClass], share: float) ->
             both = least.copy()
             same = text[1:] == text[:-1]
             both[:-1][same] = np.minimum(least[:-1], least[1:])[same]
-            for t, template in enumerate(c.templates):
-                candidates[k][t] |= both == minhash_values(template.shingles, salt).min()
+            window, template = _looked_up(both, *tables[k][number])
+            if len(window):
+                candidates[k].append(template * len(both) + window)
+    # positions are told in words between white space
+    spaced = find_words(words.data, words.offsets)
+    place = np.searchsorted(spaced.starts, words.starts, "right") - 1
     rows: dict = {}
-    for c, hit, (starts, text) in zip(classes, candidates, blocks, strict=True):
-        for t, template in enumerate(c.templates):
-            for window in np.flatnonzero(hit[t]):
-                begin = starts[window]
-                end = min(begin + 2 * c.block, bounds[text[window] + 1])
-                inside = np.isin(hashes[begin:end], template.shingles)
-                common = len(np.unique(hashes[begin:end][inside]))
-                if common < template.needed(share):
-                    continue
-                base = words.bounds[text[window]]
-                at = found.first[begin:end][inside] - base
-                row = rows.setdefault((int(text[window]), template.name), [0, 0.0, 1 << 62, -1])
-                row[0] += 1
-                row[1] = max(row[1], common / len(template.shingles))
-                row[2] = min(row[2], int(at[0]))
-                row[3] = max(row[3], int(at[-1]) + SHINGLE - 1)
+    for c, hits, (starts, text) in zip(classes, candidates, blocks, strict=True):
+        for hit in np.unique(np.concatenate(hits)) if hits else ():
+            t, window = divmod(int(hit), len(starts))
+            template = c.templates[t]
+            begin = starts[window]
+            end = min(begin + 2 * c.block, bounds[text[window] + 1])
+            inside = np.isin(hashes[begin:end], template.shingles)
+            common = len(np.unique(hashes[begin:end][inside]))
+            if common < template.needed(share):
+                continue
+            at = found.first[begin:end][inside]
+            base = spaced.bounds[text[window]]
+            row = rows.setdefault((int(text[window]), template.name), [0, 0.0, 1 << 62, -1])
+            row[0] += 1
+            row[1] = max(row[1], common / len(template.shingles))
+            row[2] = min(row[2], int(place[at[0]] - base))
+            row[3] = max(row[3], int(place[at[-1] + SHINGLE - 1] - base))
     names = ("text", "license", "n_windows", "containment", "first_word", "last_word")
     return [dict(zip(names, (*key, *row), strict=True)) for key, row in rows.items()]
 
@@ -174,13 +194,15 @@ def scan_licenses(
     windows), ``containment`` (the best window's share of the notice's shingles), ``first_word``
     and ``last_word`` (numbers of the first and last word matched).
 
-    Words are compared in lower case (A-Z), in shingles of five.  A window matches if it contains
+    Words are compared in lower case (A-Z) and without ASCII punctuation, which parts them, in
+    shingles of five.  Word numbers count words between white space.  A window matches if it contains
     at least ``share`` of a notice's shingles; one that does is found with probability
     ``certainty`` or more.  A text that is null, empty or shorter than five words matches nothing.
     Repeated rows are reported each; other columns are not returned.  The notices travel with the
     job: they are a parameter, not data that grows.  An empty table gives an empty table.
     """
     classes = template_classes(notices, share, certainty)
+    tables = [c.minima(_salts(c.bands)) for c in classes]
     schema = StructType([docs.schema[id_col]])
     for name, kind in (
         ("license", "string"), ("n_windows", "long"), ("containment", "double"),
@@ -191,7 +213,7 @@ def scan_licenses(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch, text_col):
-                rows = scan_slice(part.column(text_col), classes, share)
+                rows = scan_slice(part.column(text_col), classes, share, tables)
                 if not rows:
                     continue
                 table = pa.Table.from_pylist(rows)
