@@ -291,6 +291,21 @@ def _prefix_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
+def _merged(posting: np.ndarray, begin: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The members of sorted lists in order, and in how many of the lists each is.
+
+    The lists are laid end to end and put in order together: one pass for all, whose work follows
+    the lists and not the number of sets.
+    """
+    count = ends - begin
+    at = np.arange(count.sum()) + np.repeat(begin - (np.cumsum(count) - count), count)
+    stream = np.sort(posting[at], kind="stable")
+    if not len(stream):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], stream[1:] != stream[:-1]]))
+    return stream[first].astype(np.int64), np.diff(np.append(first, len(stream)))
+
+
 def search_block(
     sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, percent: int, weight: float = 0.05
 ) -> Iterator[tuple[int, np.ndarray]]:
@@ -299,13 +314,17 @@ def search_block(
     ``sets`` hold shared shingles only, ``sizes`` count all.  With two sides, only pairs across
     them are searched.
     """
+    two_sides = side.any()
     lengths = [len(s) for s in sets]
     hashes, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), lengths)
     order = np.lexsort((owner, hashes))
-    names, posting = hashes[order], owner[order]
+    # the narrowest type, so that short numbers are sorted by their bytes
+    names, posting = hashes[order], owner[order].astype(np.min_scalar_type(len(sets)))
     begin = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
     ends = np.append(begin[1:], len(names))
     names = names[begin]
+    # place in the order of (list, set), to cut lists at a set
+    ranks = np.repeat(np.arange(len(names)), ends - begin) * len(sets) + posting
     for q, mine in enumerate(sets):
         place = np.searchsorted(names, mine)
         size = ends[place] - begin[place]
@@ -315,14 +334,13 @@ def search_block(
         longest = max(2, int(size.max(initial=2)))
         skipped = min(needed - 1, int(needed / (weight * math.log2(longest) + 1)), len(place) - 1)
         merged = place[: len(place) - skipped]
-        lists = [posting[begin[p] : ends[p]] for p in merged]
-        count = np.bincount(np.concatenate(lists), minlength=len(sets))
-        fits = (count >= needed - skipped) & (side != side[q] if side.any() else True)
-        fits[: q + 1] = False
-        found = np.flatnonzero(fits)
+        found, common = _merged(posting, np.searchsorted(ranks, merged * len(sets) + q, "right"), ends[merged])
+        fits = common >= needed - skipped
+        if two_sides:
+            fits &= side[found] != side[q]
+        found, common = found[fits], common[fits]
         if not len(found):
             continue
-        common = count[found]
         for p in place[len(place) - skipped :]:
             whole = posting[begin[p] : ends[p]]
             at = np.minimum(np.searchsorted(whole, found), len(whole) - 1)
