@@ -355,6 +355,21 @@ def test_counts_are_packed_like_single_pieces(seed):
         assert room(flat) == room(expected)
 
 
+def test_token_counts_of_a_model_are_packed(spark, model):
+    rows = [*ODD[:4], *((100 + i, " ".join(prose(i, (i * 11) % 60))) for i in range(40))]
+    encoded = pieces.encode_and_decode(frame(spark, rows), model, digests=True)
+    expected = collections.Counter()
+    for r in encoded.collect():
+        expected[r["doc_id"]] += r["n_tokens"]
+    got = packing.pack_documents(encoded, length=F.col("n_tokens"), sizes=(32, 128, 512)).collect()
+    tokens, used = collections.Counter(), collections.Counter()
+    for r in got:
+        tokens[r["doc_id"]] += r["n_tokens"]
+        used[r["bin_id"], r["bin_size"]] += r["n_tokens"]
+    assert tokens == expected
+    assert all(n <= size for (_, size), n in used.items()) and len({b for b, _ in used}) == len(used)
+
+
 def test_every_token_has_its_own_place(spark):
     rows = [*ODD, *((100 + i, " ".join(prose(i, (i * 37) % 150))) for i in range(300))]
     sizes = (16, 32, 64)

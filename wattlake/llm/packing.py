@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattlake.session import scratch_path
+
 SIZES = (256, 512, 1024, 2048, 4096)
 
 
@@ -103,9 +105,17 @@ def _places(bins: list[Bins]) -> dict[int, tuple[np.ndarray, ...]]:
     return {length: tuple(np.array(x, np.int64) for x in zip(*r, strict=True)) for length, r in rows.items()}
 
 
-def pieces_of(docs: DataFrame, id_col: str, length, longest: int) -> DataFrame:
-    """(id, piece, start, n_tokens): documents cut to at most ``longest`` tokens."""
+def counted_tokens(docs: DataFrame, id_col: str, length) -> DataFrame:
+    """(id, __n), written to the shared folder, as it is read several times and counting is what
+    costs."""
     counted = docs.select(F.col(id_col), F.coalesce(length.cast("long"), F.lit(0)).alias("__n"))
+    path = scratch_path(docs.sparkSession, "token-counts")
+    counted.write.parquet(path)
+    return docs.sparkSession.read.schema(counted.schema).parquet(path)
+
+
+def pieces_of(counted: DataFrame, id_col: str, longest: int) -> DataFrame:
+    """(id, piece, start, n_tokens): documents cut to at most ``longest`` tokens."""
     last = F.greatest(F.ceil(F.col("__n") / longest) - 1, F.lit(0))
     return counted.select(
         F.col(id_col), "__n", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("piece")
@@ -132,7 +142,8 @@ def pack_documents(
     """One row per piece: id, ``piece``, ``start`` (its first token in the document),
     ``n_tokens``, ``bin_id``, ``bin_size`` and ``bin_offset`` (its first token in the bin).
 
-    ``length`` is a column expression for a document's tokens, by default its words.  A document
+    ``length`` is a column expression for a document's tokens, by default its words; give a
+    tokenizer's counts (``pieces.encode_and_decode``) to pack for its model.  A document
     longer than the largest size is cut into pieces of that size and a rest.  Nothing is dropped:
     a document without tokens (null length or text, no words) has one row of 0 tokens, which is in
     no bin.  Repeated rows, and rows with a null id, are packed one by one.  Other columns of
@@ -140,7 +151,8 @@ def pack_documents(
     """
     spark = docs.sparkSession
     sizes = sorted(sizes)
-    pieces = pieces_of(docs, id_col, count_words(text_col) if length is None else length, sizes[-1])
+    counted = counted_tokens(docs, id_col, count_words(text_col) if length is None else length)
+    pieces = pieces_of(counted, id_col, sizes[-1])
     # pieces of a frequent length are numbered in many parts, so that none is a task's own
     parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     pieces = pieces.withColumn("__part", F.pmod(F.xxhash64(id_col, "piece"), F.lit(parts)))
