@@ -190,7 +190,7 @@ def right_vectors(diagonal: np.ndarray, off: np.ndarray, values: np.ndarray) ->
 
     ``values`` fall.  Vectors of values that lie close together are made orthogonal one after the
     other; one that adds nothing to those before it, as with equal values, is found again by
-    inverse iteration with the same factors from a vector orthogonal to them.
+    inverse iteration from a vector orthogonal to them.
     """
     a, b = np.abs(np.asarray(diagonal, float)), np.abs(np.asarray(off, float))
     signs = np.cumprod(np.concatenate([[1.0], np.where(diagonal[:-1] * off < 0, -1.0, 1.0)]))
@@ -211,11 +211,13 @@ def right_vectors(diagonal: np.ndarray, off: np.ndarray, values: np.ndarray) ->
             tries += 1
             if tries > 50:
                 raise ArithmeticError("no further vector for a repeated singular value")
-            z = _orthogonal(pick.standard_normal(len(a)), before)
+            # a little beside the value, so that the rounding of no vector found already outgrows
+            # all others; what is left must be large, or rounding is what is left
+            factors = _Twisted(a, b, float(value) * (1 + 8 * tries * EPS), tiny)
+            left = _orthogonal(pick.standard_normal(len(a)), before)
             for _ in range(3):
-                z = factors.solve(z / np.linalg.norm(z))
-                z = _orthogonal(z / np.linalg.norm(z), before)
-            left = z / np.linalg.norm(z)
+                z = factors.solve(left / np.linalg.norm(left))
+                left = _orthogonal(z / np.linalg.norm(z), before)
         result[:, k] = left / np.linalg.norm(left)
     return result * signs[:, None]
 
