@@ -1,6 +1,8 @@
 """Exact search and main-text extraction against plain versions."""
 
 import collections
+import html
+import json
 import math
 import os
 import re
@@ -252,6 +254,37 @@ def test_forms_of_pages(spark):
     assert {page: got[i] for i, page in enumerate(FORMS)} == FORMS
 
 
+def plain_blocks(root, template=frozenset()):
+    """Blocks of a page, by walking its tree with the template known."""
+    articles = html_text._articles(root)
+    digests = html_text.article_hashes(articles) if articles else html_text.subtree_hashes(root)
+    blocks, line = [], []
+
+    def flush():
+        text = " ".join(html.unescape("".join(line)).split())
+        blocks.extend([text] if text else [])
+        line.clear()
+
+    def walk(one):
+        if isinstance(one, str):
+            line.append(one)
+            return
+        if one.name in html_text.BLOCK:
+            flush()
+        if one.name == "br":
+            line.append(" ")
+        elif not html_text.is_boilerplate(one) and digests.get(id(one)) not in template:
+            for child in one.children:
+                walk(child)
+            if one.name in html_text.BLOCK:
+                flush()
+
+    for top in articles or [root]:
+        walk(top)
+    flush()
+    return blocks
+
+
 def plain_extraction(rows, share=0.2, least=5, many=100, least_share=0.001):
     """The whole operator over (id, host, html) rows in plain dictionaries."""
     parsed = {i: html_text.parse(page) for i, _, page in rows}
@@ -264,7 +297,7 @@ def plain_extraction(rows, share=0.2, least=5, many=100, least_share=0.001):
             i: [set(html_text.subtree_hashes(parsed[i]).values()), set(html_text.article_hashes(articles[i]).values())]
             for i in own
         }
-        text = {i: tuple(html_text.blocks_of(parsed[i])) for i in own}
+        text = {i: tuple(plain_blocks(parsed[i])) for i in own}
         totals = {True: len({text[i] for i in own if articles[i]}), False: len(set(own.values()))}
 
         def judged(seen, totals=totals):
@@ -291,17 +324,48 @@ def plain_extraction(rows, share=0.2, least=5, many=100, least_share=0.001):
             if articles[i]:
                 for digest in around & unsure:
                     again[digest].add(own[i])
-            rest = html_text.blocks_of(parsed[i], sure | unsure)
-            before = html_text.blocks_of(parsed[i], sure)
+            rest = plain_blocks(parsed[i], sure | unsure)
+            before = plain_blocks(parsed[i], sure)
             if rest and sum(map(len, rest)) >= html_text.OWN_SHARE * sum(map(len, before)):
                 for digest in (within if articles[i] else around) & unsure:
                     again[digest].add(("begins", rest[0]))
         template = sure.union(*judged(again))
         assert all(d[:1] in (inside, outside, piece) for d in template)
-        result |= {i: "\n".join(html_text.blocks_of(parsed[i], template)) for i in own}
+        result |= {i: "\n".join(plain_blocks(parsed[i], template)) for i in own}
     return result
 
 
+@pytest.mark.parametrize("frame", ["<article>{}</article>", "<main>{}</main>", "{}"])
+def test_outlines_keep_what_a_walk_of_the_tree_keeps(frame):
+    """Random trees, blocks in inline elements included, under every kind of random template."""
+    import random
+
+    pick = random.Random(len(frame))
+
+    def piece(depth):
+        if depth == 0 or pick.random() < 0.3:
+            return pick.choice(["a", " b c ", "&amp;", "&lt;d ", "<br>", "<img>", " ", "\n e"])
+        tag = pick.choice(["p", "div", "b", "span", "ul", "li", "section", "nav", "td", "blockquote"])
+        return f"<{tag}>{''.join(piece(depth - 1) for _ in range(pick.randrange(4)))}</{tag}>"
+
+    changed = 0
+    for _ in range(1500):
+        root = html_text.parse(frame.format("".join(piece(5) for _ in range(4))))
+        articles = html_text._articles(root)
+        found = html_text.article_hashes(articles) if articles else html_text.subtree_hashes(root)
+        known = sorted(set(found.values()))
+        places = {node: known.index(d) for node, d in found.items()}
+        parts = json.loads(json.dumps(html_text.outline(articles or [root], places)))
+        whole = html_text.remaining(parts)
+        assert whole == plain_blocks(root)
+        for share in (0.1, 0.5):
+            gone = {i for i in range(len(known)) if pick.random() < share}
+            rest = html_text.remaining(parts, gone)
+            assert rest == plain_blocks(root, {known[i] for i in gone})
+            changed += rest != whole
+    assert changed > 300
+
+
 def test_extraction_equals_a_plain_version(spark):
     import random
 
@@ -319,15 +383,13 @@ def test_extraction_equals_a_plain_version(spark):
     expected = plain_extraction(rows, many=30)
     got = extracted(spark, [(i, f"http://{host}/{i}", page) for i, host, page in rows], many_pages=30)
     assert got == expected
-    bare = {i: "\n".join(html_text.blocks_of(html_text.parse(page))) for i, _, page in rows}
+    bare = {i: "\n".join(plain_blocks(html_text.parse(page))) for i, _, page in rows}
     assert sum(got[i] != bare[i] for i in got) > 100
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_pages_of_the_tables(spark):
     """Every article of the tables, by a regular expression for their few forms."""
-    import html
-
     got = html_text.extract_text(spark.read.parquet(f"{SF}/pages.parquet")).collect()
     for r in got:
         article = re.search(r"<article>(.*?)</article>", r["html"], re.DOTALL)[1]

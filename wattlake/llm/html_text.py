@@ -16,14 +16,15 @@ from __future__ import annotations
 
 import hashlib
 import html
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField
 
 from wattlake.llm.frames import with_computed
 from wattlake.llm.words import sliced
@@ -292,47 +293,89 @@ def _key(texts: list[str]) -> int:
     return int.from_bytes(hashlib.blake2b(joined, digest_size=8).digest(), "big", signed=True)
 
 
-def blocks_of(
-    root: Node, template: frozenset | set = frozenset(), articles: list[Node] | None = None
-) -> list[str]:
-    """Texts of the blocks that remain, in page order; ``articles`` where they are known already."""
-    if articles is None:
-        articles = _articles(root)
-    tops = articles or [root]
-    digests: dict[int, bytes] = {}
-    if template:
-        digests = article_hashes(articles) if articles else subtree_hashes(root)
-    blocks: list[str] = []
-    line: list[str] = []
+#: In an outline: a block ends, a marked element ends; a number from 0 on begins the latter.
+_BREAK, _CLOSE = -2, -1
+
+
+def outline(tops: list[Node], places: dict[int, int]) -> list:
+    """What may remain of the trees below ``tops``, as a flat list that JSON can hold.
+
+    Elements in ``places`` (a number by identity) are those a template may delete: their number
+    and ``_CLOSE`` stand around what they hold.  ``_BREAK`` stands where a block begins or ends.  A
+    line without such an element in it is its final text; the pieces of any other are lists of one
+    string, to be joined when it is known which of them remain.  Boilerplate is left out.
+    """
+    found: list = []
+    line: list = []
 
     def flush() -> None:
-        text = " ".join(html.unescape("".join(line)).split())
-        if text:
-            blocks.append(text)
+        if any(isinstance(one, int) for one in line):
+            found.extend(one if isinstance(one, int) else [one] for one in line)
+        elif text := _clean(line):
+            found.append(text)
         line.clear()
+        if found and found[-1] != _BREAK:
+            found.append(_BREAK)
 
-    # a stack of what is still to do: nodes, strings, and None where a block ends
+    # a stack of what is still to do: nodes, strings, and for an element that ends whether it is a
+    # block and whether it is marked
     pending: list = list(reversed(tops))
     while pending:
         one = pending.pop()
-        if one is None:
-            flush()
-        elif isinstance(one, str):
+        if isinstance(one, str):
             line.append(one)
-        elif is_boilerplate(one) or digests.get(id(one)) in template:
+        elif isinstance(one, tuple):
+            block, marked = one
+            if block:
+                flush()
+            if marked:
+                (found if block else line).append(_CLOSE)
+        elif is_boilerplate(one):
             if one.name in BLOCK:
                 flush()
-        elif one.name in ("br", "wbr", "img"):
-            line.append(" " if one.name == "br" else "")
+        elif one.name == "br":
+            line.append(" ")
         else:
-            if one.name in BLOCK:
+            block, place = one.name in BLOCK, places.get(id(one))
+            if block:
                 flush()
-                pending.append(None)
+            if place is not None:
+                (found if block else line).append(place)
+            if block or place is not None:
+                pending.append((block, place is not None))
             pending += reversed(one.children)
     flush()
+    return found
+
+
+def remaining(parts: list, gone: set | frozenset = frozenset()) -> list[str]:
+    """Texts of the blocks that an outline keeps without the elements numbered in ``gone``."""
+    blocks: list[str] = []
+    line: list[str] = []
+    below = 0
+    for one in parts:
+        if below:
+            if isinstance(one, int) and one != _BREAK:
+                below += 1 if one != _CLOSE else -1
+        elif isinstance(one, str):
+            blocks.append(one)
+        elif isinstance(one, list):
+            line += one
+        elif one == _BREAK:
+            if text := _clean(line):
+                blocks.append(text)
+            line.clear()
+        elif one in gone:
+            below = 1
+    if text := _clean(line):
+        blocks.append(text)
     return blocks
 
 
+def _clean(line: list[str]) -> str:
+    return " ".join(html.unescape("".join(line)).split())
+
+
 def _named_only(node: Node) -> bool:
     """Boilerplate by class, id or role, or a form: what may also be a wrapper around a page."""
     return not _hidden(node) if node.name not in BOILERPLATE else node.name == "form"
@@ -410,25 +453,40 @@ def host_of(url_col: str):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[a-zA-Z][\w+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1))
 
 
-def _counted(pages: DataFrame, compute) -> DataFrame:
-    """(host, digest, n): on how many different keys a digest occurs; ``compute`` yields the
-    (host, digest, key) of a slice."""
+def _pages_of(pages: DataFrame, url_col: str, html_col: str, keep: list[str]) -> DataFrame:
+    """The ``keep`` columns and what is needed of each page, from the only time that it is parsed:
+    ``__host``, ``__whole`` (a key of the html), ``__article`` (a key of its articles' text, null
+    without one), ``__digests`` (of its subtrees) and ``__outline``; a null page has no keys."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in sliced(batch, "html"):
-                rows = list(compute(part))
-                hosts, digests, keys = zip(*rows, strict=True) if rows else ((), (), ())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hosts, pa.string()), pa.array(digests, pa.binary()), pa.array(keys, pa.int64())],
-                    names=["host", "digest", "key"],
-                )
-
-    return (
-        pages.mapInArrow(run, "host string, digest binary, key long")
-        .distinct()
-        .groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n"))
-    )
+    def compute(part: pa.RecordBatch) -> dict:
+        wholes, keys, digests, outlines = [], [], [], []
+        for page in part.column(html_col).to_pylist():
+            root = parse(page or "")
+            articles = _articles(root)
+            around, inside = subtree_hashes(root), article_hashes(articles) if articles else {}
+            known = sorted({*around.values(), *inside.values()})
+            place = {digest: i for i, digest in enumerate(known)}
+            marked = inside if articles else around
+            parts = outline(articles or [root], {node: place[d] for node, d in marked.items()})
+            wholes.append(None if page is None else _key([page]))
+            keys.append(_key(remaining(parts)) if articles else None)
+            digests.append(known)
+            outlines.append(json.dumps(parts, ensure_ascii=False, separators=(",", ":")))
+        return {"__whole": wholes, "__article": keys, "__digests": digests, "__outline": outlines}
+
+    fields = [
+        StructField("__whole", LongType()),
+        StructField("__article", LongType()),
+        StructField("__digests", ArrayType(BinaryType(), False), False),
+        StructField("__outline", StringType(), False),
+    ]
+    hosted = pages.withColumn("__host", host_of(url_col))
+    return _stored(with_computed(hosted, html_col, fields, compute, [*keep, "__host"]), "site-pages")
+
+
+def _counted(occurrences: DataFrame) -> DataFrame:
+    """(host, digest, n): on how many different keys a digest occurs."""
+    return occurrences.distinct().groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _template_sets(part: pa.RecordBatch, host_col: str, template_col: str) -> list[frozenset]:
@@ -444,7 +502,7 @@ def _template_sets(part: pa.RecordBatch, host_col: str, template_col: str) -> li
 def _stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written and read again, so that Spark plans joins by its real size."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -453,12 +511,11 @@ _PAGES, _ARTICLES = b"pages", b"articles"
 
 
 def site_templates(
-    pages: DataFrame, url_col: str, html_col: str, share: float, least_pages: int,
-    many_pages: int, least_share: float,
+    pages: DataFrame, share: float, least_pages: int, many_pages: int, least_share: float
 ) -> DataFrame:
-    """(__host, __template): per host the digests of subtrees on ``least_pages`` of its different
-    pages, and on ``share`` of them; of whole blocks, ``many_pages`` are enough whatever the share,
-    if they are ``least_share`` of the pages.
+    """(__at, __template): per host of ``_pages_of`` the digests of subtrees on ``least_pages`` of
+    its different pages, and on ``share`` of them; of whole blocks, ``many_pages`` are enough
+    whatever the share, if they are ``least_share`` of the pages.
 
     Outside articles, pages with the same html count once; inside, articles with the same text.
     Blocks inside articles, and those outside that only ``many_pages`` speak for, are counted a
@@ -467,31 +524,20 @@ def site_templates(
     all.  An array has at most (subtrees of a page / least_share) digests, so it is bounded by the
     pages' form, not by their number.
     """
-    different = pages.select(host_of(url_col).alias("host"), F.col(html_col).alias("html")).filter(
-        F.col("html").isNotNull()
+    different = pages.filter(F.col("__whole").isNotNull())
+    kind = F.substring("digest", 1, 1)
+    totals_of = F.array_compact(
+        F.array(F.lit(_PAGES), F.when(F.col("__article").isNotNull(), F.lit(_ARTICLES)))
     )
-
-    def first(part: pa.RecordBatch):
-        for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
-            root = parse(page)
-            whole = _key([page])
-            yield host, _PAGES, whole
-            for digest in set(subtree_hashes(root).values()):
-                yield host, digest, whole
-            articles = _articles(root)
-            if articles:
-                article = _key(blocks_of(root, articles=articles))
-                yield host, _ARTICLES, article
-                for digest in set(article_hashes(articles).values()):
-                    yield host, digest, article
-
+    in_article = (kind == F.lit(_INSIDE)) | (F.col("digest") == F.lit(_ARTICLES))
+    occurrences = different.select(
+        F.col("__host").alias("host"), "__whole", "__article",
+        F.explode(F.concat("__digests", totals_of)).alias("digest"),
+    ).select("host", "digest", F.when(in_article, F.col("__article")).otherwise(F.col("__whole")).alias("key"))
     is_total = F.col("digest").isin(_PAGES, _ARTICLES)
-    counts = _stored(
-        _counted(different, first).filter((F.col("n") >= least_pages) | is_total), "site-counts"
-    )
-    kind = F.substring("digest", 1, 1)
+    counts = _stored(_counted(occurrences).filter((F.col("n") >= least_pages) | is_total), "site-counts")
     totals = counts.filter(is_total).select(
-        F.col("host").alias("__host"), (F.col("digest") == F.lit(_ARTICLES)).alias("__inside"), F.col("n").alias("total")
+        F.col("host").alias("__of"), (F.col("digest") == F.lit(_ARTICLES)).alias("__inside"), F.col("n").alias("total")
     )
     often = F.col("n") >= share * F.col("total")
     many = (kind != F.lit(_PIECE)) & (F.col("n") >= F.greatest(F.lit(many_pages), least_share * F.col("total")))
@@ -499,14 +545,14 @@ def site_templates(
     def enough(counted: DataFrame) -> DataFrame:
         return (
             counted.filter(~is_total & (F.col("n") >= least_pages))
-            .join(totals, (F.col("host") == F.col("__host")) & ((kind == F.lit(_INSIDE)) == F.col("__inside")))
+            .join(totals, (F.col("host") == F.col("__of")) & ((kind == F.lit(_INSIDE)) == F.col("__inside")))
             .filter(often | many)
             .select("host", "digest", (often & (kind != F.lit(_INSIDE))).alias("sure"))
         )
 
     recurring = enough(counts)
     candidates = _stored(
-        recurring.groupBy(F.col("host").alias("__host"))
+        recurring.groupBy(F.col("host").alias("__at"))
         .agg(
             F.collect_list(F.when(~F.col("sure"), F.col("digest"))).alias("__unsure"),
             F.collect_list(F.when(F.col("sure"), F.col("digest"))).alias("__sure"),
@@ -515,32 +561,44 @@ def site_templates(
         "site-candidates",
     )
 
-    def again(part: pa.RecordBatch):
-        hosts, texts = part.column("host").to_pylist(), part.column("html").to_pylist()
-        sets = zip(_template_sets(part, "host", "__unsure"), _template_sets(part, "host", "__sure"), strict=True)
-        for host, page, (unsure, sure) in zip(hosts, texts, sets, strict=True):
-            root = parse(page)
-            articles = _articles(root)
-            around = set(subtree_hashes(root).values()) & unsure
-            found = set(article_hashes(articles).values()) & unsure if articles else around
-            if articles:
-                whole = _key([page])
-                for digest in around:
-                    yield host, digest, whole
+    def own_occurrences(part: pa.RecordBatch) -> Iterator[tuple[str, bytes, int]]:
+        columns = [part.column(name).to_pylist() for name in ("__host", "__whole", "__article", "__digests", "__outline")]
+        sets = zip(_template_sets(part, "__host", "__unsure"), _template_sets(part, "__host", "__sure"), strict=True)
+        for host, whole, article, digests, parts, (unsure, sure) in zip(*columns, sets, strict=True):
+            found = [d for d in digests if d in unsure]
+            if article is not None:
+                yield from ((host, d, whole) for d in found if d[:1] != _INSIDE)
+                found = [d for d in found if d[:1] == _INSIDE]
             if found:
-                own = blocks_of(root, unsure | sure, articles)
-                if own and sum(map(len, own)) >= OWN_SHARE * sum(map(len, blocks_of(root, sure, articles))):
+                read = json.loads(parts)
+                own = remaining(read, _places(digests, unsure | sure))
+                if own and sum(map(len, own)) >= OWN_SHARE * sum(map(len, remaining(read, _places(digests, sure)))):
                     begins = _key(own[:1])
-                    for digest in found:
-                        yield host, digest, begins
+                    yield from ((host, d, begins) for d in found)
 
-    of_hosts = different.join(candidates, F.col("host") == F.col("__host")).select("host", "html", "__unsure", "__sure")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in sliced(batch, "__outline"):
+                rows = list(own_occurrences(part))
+                hosts, digests, keys = zip(*rows, strict=True) if rows else ((), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hosts, pa.string()), pa.array(digests, pa.binary()), pa.array(keys, pa.int64())],
+                    names=["host", "digest", "key"],
+                )
+
+    again = different.join(candidates, F.col("__host") == F.col("__at")).select(
+        "__host", "__whole", "__article", "__digests", "__outline", "__unsure", "__sure"
+    ).mapInArrow(run, "host string, digest binary, key long")
     return (
-        enough(_counted(of_hosts, again)).unionByName(recurring.filter("sure"))
-        .groupBy(F.col("host").alias("__host")).agg(F.collect_list("digest").alias("__template"))
+        enough(_counted(again)).unionByName(recurring.filter("sure"))
+        .groupBy(F.col("host").alias("__at")).agg(F.collect_list("digest").alias("__template"))
     )
 
 
+def _places(digests: list[bytes], template: frozenset) -> set[int]:
+    return {i for i, digest in enumerate(digests) if digest in template}
+
+
 def extract_text(
     pages: DataFrame,
     url_col: str = "url",
@@ -549,27 +607,33 @@ def extract_text(
     least_pages: int = 5,
     many_pages: int = 100,
     least_share: float = 0.001,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All columns of ``pages``, ``text`` and ``n_chars`` (its code points).
+    """The ``keep`` columns of ``pages`` (all by default), ``text`` and ``n_chars`` (its code points).
 
     The text is that of the page's articles (else of its main element, else of its body) without
     boilerplate and without subtrees of the host's template (``site_templates``).  Character references are decoded,
     white space within a block is one space, blocks are joined by a line feed.  A null or empty
     page has the empty text.  A page whose url is null or has no host belongs to the host ''.
     Repeated rows get the same text; columns of ``pages`` named like results are replaced.
+
+    A page is parsed once; its outline and digests wait in the shared folder, next to the ``keep``
+    columns, for the host's template.  To leave the html out of ``keep`` saves writing it again.
     """
-    templates = _stored(
-        site_templates(pages, url_col, html_col, share, least_pages, many_pages, least_share), "site-templates"
-    )
-    marked = pages.withColumn("__at", host_of(url_col)).join(
-        templates, F.col("__at") == F.col("__host"), "left"
+    kept = [c for c in pages.columns if keep is None or c in keep]
+    parsed = _pages_of(pages, url_col, html_col, kept)
+    templates = _stored(site_templates(parsed, share, least_pages, many_pages, least_share), "site-templates")
+    marked = parsed.select(*kept, "__host", "__digests", "__outline").join(
+        templates, F.col("__host") == F.col("__at"), "left"
     )
 
     def compute(part: pa.RecordBatch) -> dict:
         texts = []
-        for page, template in zip(part.column(html_col).to_pylist(), _template_sets(part, "__at", "__template"), strict=True):
-            texts.append("\n".join(blocks_of(parse(page), template)) if page else "")
+        sets = _template_sets(part, "__host", "__template")
+        rows = zip(part.column("__digests").to_pylist(), part.column("__outline").to_pylist(), sets, strict=True)
+        for digests, parts, template in rows:
+            texts.append("\n".join(remaining(json.loads(parts), _places(digests, template))))
         return {"text": texts, "n_chars": [len(t) for t in texts]}
 
     fields = [StructField("text", StringType(), False), StructField("n_chars", LongType(), False)]
-    return with_computed(marked, html_col, fields, compute, keep=pages.columns)
+    return with_computed(marked, "__outline", fields, compute, keep=kept)

@@ -96,7 +96,7 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return html_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
+    return html_text.extract_text(pages, keep=["page_id", "url"]).select("page_id", "url", "text", "n_chars")
 
 
 def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
