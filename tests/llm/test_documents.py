@@ -432,11 +432,60 @@ def test_language_of_odd_rows(spark):
     assert language.identify_language(frame(spark, []), model).count() == 0
 
 
-def test_kernel_counts_common_grams():
+def gram_set(text):
+    """The character n-grams of a text, as strings."""
+    text = "".join(c.lower() if c.isalpha() or ord(c) > 127 else " " for c in text)
+    return {text[i : i + n] for n in language.LENGTHS for i in range(len(text) - n + 1)}
+
+
+def test_kernel_equals_that_of_gram_sets(monkeypatch):
+    texts = ["abc", "ABC", "xyz", "", "a", "Größe, größer!", "ÅNGSTRÖM größe", "пример ПРИМЕР", "日本語の文", "😀😀 ok 😀"]
+    sets = [gram_set(t) for t in texts]
+    assert len(set().union(*sets)) > 80
+    for at_once in (1 << 20, 4):
+        monkeypatch.setattr(language, "CHARACTERS_AT_ONCE", at_once)
+        x = np.concatenate(list(language.presence_blocks(pa.array([*texts, None]))))
+        assert x.sum(1).tolist() == [len(s) for s in sets] + [0]
+        k = language.kernel(x, x)
+        for i, one in enumerate(sets):
+            for j, other in enumerate(sets):
+                size = max(len(one), 1) * max(len(other), 1)
+                assert k[i, j] == pytest.approx(len(one & other) / size**0.5, abs=1e-6)
+
+
+def test_all_landmarks_give_plain_kernel_ridge_regression():
+    import random
 
-    x = next(language.presence_blocks(pa.array(["abc", "abc", "xyz", ""])))
-    k = language.kernel(x, x)
-    assert k[0, 1] == pytest.approx(1) and k[0, 2] == 0 and k[3].sum() == 0
+    pick = random.Random(4)
+    vocabulary = {"a": ["der", "die", "das", "und", "nicht"], "b": ["the", "and", "not", "of", "das"], "c": ["le", "et", "non"]}
+    langs = ["a"] * 20 + ["b"] * 9 + ["c"] * 5
+    texts = [" ".join(pick.choices(vocabulary[l], k=6)) for l in langs]
+    x = np.concatenate(list(language.presence_blocks(pa.array(texts))))
+    model = language.fit_ridge(x, langs, landmarks=len(langs), ridge=0.05)
+    new = next(language.presence_blocks(pa.array(["das und der", "the das of", "et et le non", "zzz"])))
+    # (K + ridge * W^-1)^-1 y, each language of weight 1
+    k = language.kernel(x, x).astype(float)
+    y = np.array([[float(l == n) for n in "abc"] for l in langs])
+    plain = language.kernel(new, x) @ np.linalg.solve(k + 0.05 * np.diag([langs.count(l) for l in langs]), y)
+    assert model.languages == ("a", "b", "c")
+    assert model.scores(new) == pytest.approx(plain, abs=1e-3)
+
+
+def test_equal_scores_go_to_the_first_language(spark):
+    rows = [(i, "one and the same") for i in range(60)]
+    known = frame(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "y").otherwise("x"))
+    x = np.ones((2, language.DIMS), bool)
+    model = language.LanguageModel(("x", "y"), x[:1], np.ones((1, 2), np.float32))
+    got = language.identify_language(known.unionAll(known), model).collect()
+    assert len(got) == 120 and {r["lang_pred"] for r in got} == {"x"}
+
+
+def test_fit_takes_the_first_of_each_language(spark):
+    """Bounded per language, also where one id has most rows; rare languages are taken whole."""
+    rows = [(i, f"text {chr(97 + i % 26)} {chr(97 + i // 26 % 26)}") for i in range(2000)] + [(7, "text again")] * 900
+    lang = F.when(F.col("doc_id") % 100 == 3, "rare").when(F.col("doc_id") % 2 == 0, "even").otherwise("odd")
+    model = language.fit_language_model(frame(spark, rows).withColumn("lang", lang), sample_per_language=30)
+    assert model.languages == ("even", "odd", "rare") and len(model.landmarks) <= 90
 
 
 # --- quality classifier ------------------------------------------------------------------------

@@ -11,6 +11,7 @@ the landmarks', and one more with the fitted coefficients.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,46 +20,72 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, StringType, StructField
 
 from wattlake.llm.frames import with_computed
-from wattlake.llm.words import text_bytes
+from wattlake.llm.words import scrambled, text_bytes
 
-DIMS = 1 << 13
+BITS = 14
+DIMS = 1 << BITS
 LENGTHS = (2, 3, 4)
 ROWS_AT_ONCE = 512
+CHARACTERS_AT_ONCE = 1 << 20
 UNKNOWN = "und"
-
-
-def _folded(data: np.ndarray) -> np.ndarray:
-    """ASCII letters in lower case, other ASCII as one kind of separator, the rest as it is."""
-    table = np.full(256, 32, np.uint8)
-    table[128:] = np.arange(128, 256)
-    table[97:123] = np.arange(97, 123)
-    table[65:91] = np.arange(97, 123)
-    return table[data]
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+@lru_cache(maxsize=1)
+def _small_letters() -> np.ndarray:
+    """For the code points of two bytes: letters in lower case, other ASCII as one kind of
+    separator, the rest as it is."""
+    table = np.arange(1 << 16, dtype=np.uint32)
+    for code in range(1 << 16):
+        small = chr(code).lower()
+        if code < 128 and not small.isalpha():
+            table[code] = 32
+        elif len(small) == 1:
+            table[code] = ord(small)
+    return table
+
+
+def folded_characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The folded code points of texts in UTF-8, and where each text begins among them."""
+    leads = (data & 0xC0) != 0x80
+    starts = np.flatnonzero(leads)
+    first = data[starts]
+    code = first.astype(np.uint32)
+    longer = np.flatnonzero(first >= 0xC0)
+    if len(longer):
+        padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.uint32)
+        at, lead = starts[longer], code[longer]
+        one, two, three = (padded[at + i] & 63 for i in (1, 2, 3))
+        code[longer] = np.select(
+            [lead < 0xE0, lead < 0xF0],
+            [(lead & 31) << 6 | one, (lead & 15) << 12 | one << 6 | two],
+            (lead & 7) << 18 | one << 12 | two << 6 | three,
+        )
+    common = code < 1 << 16
+    code[common] = _small_letters()[code[common]]
+    return code, np.concatenate([[0], np.cumsum(leads)])[offsets]
 
 
 def presence_blocks(column: pa.Array):
     """Yields boolean matrices (texts by n-gram dimensions) for up to ``ROWS_AT_ONCE`` texts."""
     data, offsets = text_bytes(column)
-    data = _folded(data).astype(np.uint32)
     for a in range(0, len(offsets) - 1, ROWS_AT_ONCE):
         b = min(a + ROWS_AT_ONCE, len(offsets) - 1)
-        part = data[offsets[a] : offsets[b]]
-        places = offsets[a : b + 1] - offsets[a]
+        part, places = folded_characters(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         row = np.repeat(np.arange(b - a, dtype=np.int64), np.diff(places))
         x = np.zeros((b - a, DIMS), bool)
         flat = x.reshape(-1)
-        code = part.copy()
-        for n in range(2, max(LENGTHS) + 1):
-            if len(part) < n:
-                break
-            code = (code[:-1] << np.uint32(8)) | part[n - 1 :]
-            if n not in LENGTHS:
-                continue
-            # multiply and take the upper bits; the length keeps orders apart
-            mixed = (code ^ np.uint32(n * 0x85EBCA6B & 0xFFFFFFFF)) * np.uint32(0x9E3779B1)
-            mixed = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-            at = row[: len(code)] * DIMS + (mixed >> np.uint32(32 - 13))
-            flat[at[row[: len(code)] == row[n - 1 :]]] = True
+        # a very long text goes in pieces that overlap by an n-gram
+        for begin in range(0, len(part), CHARACTERS_AT_ONCE):
+            piece = slice(begin, begin + CHARACTERS_AT_ONCE + max(LENGTHS) - 1)
+            of, values = row[piece], scrambled(part[piece].astype(np.uint64) + np.uint64(1))
+            code = values
+            for n in range(2, min(max(LENGTHS), len(values)) + 1):
+                # all characters, and their number, tell in the upper bits
+                code = code[:-1] * _BASE + values[n - 1 :]
+                if n in LENGTHS:
+                    at = of[: len(code)] * DIMS + (code >> np.uint64(64 - BITS)).astype(np.int64)
+                    flat[at[of[: len(code)] == of[n - 1 :]]] = True
         yield x
 
 
@@ -73,7 +100,9 @@ class LanguageModel:
 
 
 def kernel(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    common = x.astype(np.float32) @ y.astype(np.float32).T
+    right = y.astype(np.float32).T
+    at_once = range(0, max(len(x), 1), ROWS_AT_ONCE)
+    common = np.concatenate([x[a : a + ROWS_AT_ONCE].astype(np.float32) @ right for a in at_once])
     size = np.sqrt(np.maximum(x.sum(1), 1)[:, None] * np.maximum(y.sum(1), 1)[None, :])
     return common / size.astype(np.float32)
 
@@ -115,7 +144,6 @@ def fit_language_model(
     Documents whose ``crc32(id as text) mod 4`` is 2 are held out.  Executors turn texts into sets
     of n-grams; the driver gets ``DIMS`` bits per sampled text.
     """
-    order = [F.xxhash64("id"), "id"]
     told = (
         docs.select(
             F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
@@ -125,16 +153,14 @@ def fit_language_model(
         .filter(F.crc32(F.col("id").cast("string")) % 4 != 2)
         .filter(has_letter("text"))
     )
-    # choose ids without their texts, then fetch the texts of those
-    # first within parts of a language, so that no task gets the firsts of all others
-    parted = told.select("id", "lang", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64)).alias("part"))
-    picked = (
-        parted.withColumn("n", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
-        .filter(F.col("n") <= sample_per_language)
-        .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-        .filter(F.col("n") <= sample_per_language)
-        .orderBy("n", "lang").limit(sample).select("id")
-    )
+    # choose ids without their texts, then fetch the texts of those: first within many parts of a
+    # language, then within fewer, so that a task gets a few thousand ids at most besides its own
+    picked = told.select("id", "lang", F.xxhash64("id").alias("hash"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(64)).alias("part"))
+    for parts in (64, 8, 1):
+        picked = picked.withColumn("part", F.pmod("part", F.lit(parts)))
+        firsts = Window.partitionBy("lang", "part").orderBy("hash", "id")
+        picked = picked.withColumn("n", F.row_number().over(firsts)).filter(F.col("n") <= sample_per_language)
+    picked = picked.orderBy("n", "lang").limit(sample).select("id")
     few = told.join(F.broadcast(picked.distinct()), "id").select("lang", "text")
 
     def compute(part: pa.RecordBatch) -> dict:
