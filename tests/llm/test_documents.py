@@ -491,20 +491,88 @@ def test_fit_takes_the_first_of_each_language(spark):
 # --- quality classifier ------------------------------------------------------------------------
 
 
+def sparse(rows):
+    """Rows as dictionaries of features, in the form the machine takes."""
+    sizes = [len(r) for r in rows]
+    return quality_model.SparseRows(
+        np.concatenate([[0], np.cumsum(sizes)]),
+        np.array([f for r in rows for f in r]), np.array([x for r in rows for x in r.values()]),
+    )
+
+
 def test_interactions_by_sums_of_squares():
     pick = np.random.default_rng(1)
-    machine = quality_model.FactorisationMachine(
-        0.3, pick.normal(0, 1, quality_model.DIMS), pick.normal(0, 1, (quality_model.DIMS, 3))
-    )
-    x = np.zeros((4, quality_model.DIMS))
-    for row in x:
-        row[pick.choice(quality_model.DIMS, 6, replace=False)] = pick.normal(0, 0.5, 6)
+    dims = quality_model.DIMS
+    machine = quality_model.FactorisationMachine(0.3, pick.normal(0, 1, dims), pick.normal(0, 1, (dims, 3)))
+    rows = [
+        {int(i): pick.normal(0, 0.5) for i in pick.choice(dims, n, replace=False)} for n in (6, 1, 40, 6)
+    ]
     raw = []
-    for row in x:
-        on = np.flatnonzero(row)
-        pairs = sum(machine.factors[i] @ machine.factors[j] * row[i] * row[j] for i in on for j in on if i < j)
-        raw.append(machine.bias + machine.weights @ row + pairs)
-    assert machine.scores(x) == pytest.approx(1 / (1 + np.exp(-np.array(raw))))
+    for row in rows:
+        pairs = sum(
+            machine.factors[i] @ machine.factors[j] * row[i] * row[j] for i in row for j in row if i < j
+        )
+        raw.append(machine.bias + sum(machine.weights[i] * x for i, x in row.items()) + pairs)
+    assert machine.scores(sparse(rows)) == pytest.approx(1 / (1 + np.exp(-np.array(raw))))
+    assert machine.scores(sparse([])).tolist() == []
+
+
+def test_features_equal_those_of_word_sets():
+    texts = ["the cat the hat", "", None, "# $ %", "cat", " ".join(f"w{i}" for i in range(3000))]
+    sizes = pa.array([5, None, 0, 10**9, -1, 12])
+    found = quality_model.feature_rows(pa.array(texts), [sizes])
+    one_word = {t: quality_model.feature_rows(pa.array([t])).features[0] for t in {w for x in texts if x for w in x.split()}}
+    more = len(quality_model.EDGES) + 1
+    for i, text in enumerate(texts):
+        mine = slice(found.bounds[i], found.bounds[i + 1])
+        cells = sorted({one_word[w] for w in (text or "").split()})
+        assert found.features[mine][:-more].tolist() == cells
+        assert found.values[mine].tolist() == pytest.approx([max(len(cells), 1) ** -0.5] * len(cells) + [1] * more)
+        at = quality_model.WORD_DIMS
+        for feature, edges in zip(found.features[mine][-more:], [*quality_model.EDGES.values(), quality_model.METADATA_EDGES], strict=True):
+            assert at <= feature < at + len(edges) + 2
+            at += len(edges) + 1
+    assert quality_model.feature_rows(pa.array([], pa.string())).bounds.tolist() == [0]
+
+
+def test_gradients_equal_differences_of_the_loss():
+    pick = np.random.default_rng(3)
+    x = pick.normal(0, 1, (7, 5)) * (pick.random((7, 5)) < 0.6)
+    labels, decay = (pick.random(7) < 0.5).astype(float), 0.1
+    b, w, v = np.array([0.2]), pick.normal(0, 1, 5), pick.normal(0, 1, (5, 3))
+
+    def loss():
+        raw = b[0] + x @ w
+        for i in range(5):
+            for j in range(i):
+                raw = raw + (v[i] @ v[j]) * x[:, i] * x[:, j]
+        return np.mean(np.log1p(np.exp(raw)) - labels * raw) + decay / 2 * ((w**2).sum() + (v**2).sum())
+
+    rows = sparse([{i: value for i, value in enumerate(r) if value or i == 0} for r in x])
+    found = quality_model.gradients(b[0], w, v, rows, labels, decay)
+    for param, gradient in zip((b, w, v), found, strict=True):
+        for at in np.ndindex(param.shape):
+            before = param[at]
+            param[at] = before + 1e-5
+            above = loss()
+            param[at] = before - 1e-5
+            below = loss()
+            param[at] = before
+            assert gradient[at] == pytest.approx((above - below) / 2e-5, abs=1e-6)
+
+
+def test_fit_learns_an_interaction():
+    """The label is that two of four features meet, which no linear score can tell."""
+    pick = np.random.default_rng(5)
+    rows, labels = [], []
+    for _ in range(1200):
+        on = (int(pick.integers(2)), 2 + int(pick.integers(2)))
+        rows.append((np.array(on), np.ones(2)))
+        labels.append(float(on in ((0, 2), (1, 3))))
+    machine = quality_model.fit_machine(rows, np.array(labels), rank=4, epochs=60, dims=8)
+    scores = machine.scores(sparse([dict.fromkeys(r[0].tolist(), 1.0) for r in rows]))
+    assert ((scores >= 0.5) == np.array(labels)).all()
+    assert not machine.factors[4:].any() and not machine.weights[4:].any()
 
 
 @data

@@ -6,13 +6,14 @@ its metadata (numeric columns, ``n_chars`` unless told otherwise).  The machine
 
     sum_{i<j} <v_i, v_j> x_i x_j = 1/2 sum_f [ (sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2 ]
 
-so a batch of documents is scored by two matrix products, in time linear in its features.
+so a batch of documents, kept as sparse rows, is scored in time linear in the features they have.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,7 @@ from pyspark.sql.types import BinaryType, DoubleType, IntegerType, NumericType,
 from wattlake.llm.frames import with_computed
 from wattlake.llm.text_stats import text_stats
 
-WORD_DIMS = 1 << 11
-ROWS_AT_ONCE = 512
+WORD_DIMS = 1 << 15
 
 #: Borders of the indicators' cells; fixed, so that a document's features depend on it alone.
 EDGES = {
@@ -61,15 +61,28 @@ def _metadata_cells(column: pa.Array) -> np.ndarray:
     return np.where(np.isnan(values), METADATA_DIMS - 1, cells)
 
 
-def feature_rows(column: pa.Array, metadata: Sequence[pa.Array] = ()):
-    """Yields, for up to ``ROWS_AT_ONCE`` texts at a time, a dense matrix of features."""
+class SparseRows(NamedTuple):
+    """Features (numbers and values) of all rows; those of row i begin at ``bounds[i]``.  No row
+    is without features."""
+
+    bounds: np.ndarray
+    features: np.ndarray
+    values: np.ndarray
+
+
+def feature_rows(column: pa.Array, metadata: Sequence[pa.Array] = ()) -> SparseRows:
+    """The features of texts: the cells of their words, then one cell of every indicator."""
     stats = text_stats(column, hashed=True)
     words, hashes = stats["words"], stats["hashes"]
     texts = len(words.bounds) - 1
-    bucket = (hashes % np.uint64(WORD_DIMS)).astype(np.int64)
+    row = np.repeat(np.arange(texts), np.diff(words.bounds))
+    keys = row * WORD_DIMS + (hashes % np.uint64(WORD_DIMS)).astype(np.int64)
+    keys.sort()
+    of, cell = np.divmod(keys[np.diff(keys, prepend=-1) != 0], WORD_DIMS)
+    present = np.bincount(of, minlength=texts)
     n = np.maximum(stats["n_words"], 1)
     letters = np.maximum(stats["n_capitals"] + stats["n_small"], 1)
-    values = {
+    shape = {
         "symbols": stats["n_symbols"] / n,
         "marks": stats["n_marks"] / n,
         "capitals": stats["n_capitals"] / letters,
@@ -78,25 +91,25 @@ def feature_rows(column: pa.Array, metadata: Sequence[pa.Array] = ()):
         "word_chars": stats["word_chars"] / n,
         "digits": stats["n_digits"] / np.maximum(stats["word_chars"], 1),
         "words": stats["n_words"],
+        "distinct": present / np.minimum(n, WORD_DIMS),
     }
-    cells = [_metadata_cells(one) for one in metadata]
-    for a in range(0, texts, ROWS_AT_ONCE):
-        b = min(a + ROWS_AT_ONCE, texts)
-        mine = slice(words.bounds[a], words.bounds[b])
-        row = np.repeat(np.arange(b - a), np.diff(words.bounds[a : b + 1]))
-        x = np.zeros((b - a, DIMS + METADATA_DIMS * len(cells)), np.float32)
-        x[row, bucket[mine]] = 1
-        present = x[:, :WORD_DIMS].sum(1)
-        x[:, :WORD_DIMS] /= np.sqrt(np.maximum(present, 1))[:, None]
-        shape = {k: v[a:b] for k, v in values.items()} | {"distinct": present / np.minimum(n[a:b], WORD_DIMS)}
-        at = WORD_DIMS
-        for name, edges in EDGES.items():
-            x[np.arange(b - a), at + np.searchsorted(edges, shape[name], "right")] = 1
-            at += len(edges) + 1
-        for cell in cells:
-            x[np.arange(b - a), at + cell[a:b]] = 1
-            at += METADATA_DIMS
-        yield x
+    indicators = []
+    at = WORD_DIMS
+    for name, edges in EDGES.items():
+        indicators.append(at + np.searchsorted(edges, shape[name], "right"))
+        at += len(edges) + 1
+    for one in metadata:
+        indicators.append(at + _metadata_cells(one))
+        at += METADATA_DIMS
+    more = len(indicators)
+    bounds = np.concatenate([[0], np.cumsum(present + more)])
+    features, values = np.empty(bounds[-1], np.int32), np.ones(bounds[-1])
+    places = np.arange(len(of)) + of * more
+    features[places] = cell
+    values[places] = (1 / np.sqrt(np.maximum(present, 1)))[of]
+    for i, one in enumerate(indicators):
+        features[bounds[1:] - more + i] = one
+    return SparseRows(bounds, features, values)
 
 
 @dataclass(frozen=True)
@@ -106,12 +119,38 @@ class FactorisationMachine:
     factors: np.ndarray
     metadata: tuple[str, ...] = ()
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
+    def scores(self, rows: SparseRows) -> np.ndarray:
         """The probability of label 1 for each row."""
-        together = x @ self.factors
-        alone = (x * x) @ (self.factors * self.factors)
-        raw = self.bias + x @ self.weights + 0.5 * (together * together - alone).sum(1)
-        return 1 / (1 + np.exp(-np.clip(raw.astype(np.float64), -30, 30)))
+        begins = rows.bounds[:-1]
+        if not len(begins):
+            return np.zeros(0)
+        scaled = self.factors[rows.features] * rows.values[:, None]
+        together = np.add.reduceat(scaled, begins)
+        alone = np.add.reduceat((scaled * scaled).sum(1), begins)
+        linear = np.add.reduceat(self.weights[rows.features] * rows.values, begins)
+        raw = self.bias + linear + 0.5 * ((together * together).sum(1) - alone)
+        return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+
+
+def gradients(
+    bias: float, w: np.ndarray, v: np.ndarray, rows: SparseRows, labels: np.ndarray, decay: float
+) -> list[np.ndarray]:
+    """Those of the mean logistic loss and ``decay / 2`` times the squares of the weights, by bias,
+    weights and factors."""
+    begins, at = rows.bounds[:-1], rows.features
+    scaled = v[at] * rows.values[:, None]
+    together = np.add.reduceat(scaled, begins)
+    alone = np.add.reduceat((scaled * scaled).sum(1), begins)
+    raw = bias + np.add.reduceat(w[at] * rows.values, begins) + 0.5 * ((together**2).sum(1) - alone)
+    error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels) / len(labels)
+    row = np.repeat(np.arange(len(labels)), np.diff(rows.bounds))
+    pulls = error[row] * rows.values
+    sums = [np.bincount(at, pulls * one, len(w)) for one in (1.0, rows.values, *together.T[:, row])]
+    return [
+        np.array([error.sum()]),
+        sums[0] + decay * w,
+        np.stack(sums[2:], 1) - v * sums[1][:, None] + decay * v,
+    ]
 
 
 def fit_machine(
@@ -124,33 +163,36 @@ def fit_machine(
     seed: int = 7,
     dims: int = DIMS,
 ) -> FactorisationMachine:
-    """Logistic loss by Adam over mini-batches of sparse rows (feature numbers and values)."""
+    """Logistic loss by Adam over mini-batches of sparse rows (feature numbers and values).
+
+    A step looks at the features of its batch alone.  Features that no row has weigh nothing.
+    """
     random = np.random.default_rng(seed)
     share = np.clip(labels.mean(), 0.01, 0.99) if len(labels) else 0.5
     b = np.array([np.log(share / (1 - share))])
     w, v = np.zeros(dims), random.normal(0, 0.01, (dims, rank))
     params = [b, w, v]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+    place_of = np.zeros(dims, np.int64)
     step = 0
     for _ in range(epochs if len(set(labels.tolist())) > 1 else 0):
         for at in np.array_split(random.permutation(len(labels)), max(1, len(labels) // 128)):
-            x = np.zeros((len(at), dims))
-            for i, r in enumerate(at):
-                x[i, rows[r][0]] = rows[r][1]
-            together = x @ v
-            raw = b[0] + x @ w + 0.5 * (together**2 - (x * x) @ (v * v)).sum(1)
-            error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[at]) / len(at)
-            pull = (x * x).T @ error
-            grads = [
-                np.array([error.sum()]),
-                x.T @ error + decay * w,
-                x.T @ (error[:, None] * together) - v * pull[:, None] + decay * v,
-            ]
+            features = np.concatenate([rows[r][0] for r in at])
+            values = np.concatenate([rows[r][1] for r in at]).astype(float)
+            bounds = np.cumsum([0, *(len(rows[r][0]) for r in at)])
+            mine = np.flatnonzero(np.bincount(features, minlength=dims))
+            place_of[mine] = np.arange(len(mine))
             step += 1
-            for p, g, (m, s) in zip(params, grads, moments, strict=True):
-                m += 0.1 * (g - m)
-                s += 0.001 * (g * g - s)
-                p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
+            changes = gradients(b[0], w[mine], v[mine], SparseRows(bounds, place_of[features], values), labels[at], decay)
+            for p, g, (m, s), on in zip(params, changes, moments, (slice(None), mine, mine), strict=True):
+                first, second = m[on], s[on]
+                first = m[on] = first + 0.1 * (g - first)
+                second = s[on] = second + 0.001 * (g * g - second)
+                p[on] -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    unseen = np.ones(dims, bool)
+    for features, _ in rows:
+        unseen[features] = False
+    v[unseen] = 0
     return FactorisationMachine(float(b[0]), w.astype(np.float32), v.astype(np.float32))
 
 
@@ -188,7 +230,7 @@ def fit_quality_model(
     """The machine, fitted on at most ``2 * sample_per_label`` labelled documents.
 
     Documents whose ``crc32(id as text) mod 3`` is 1 are held out.  Executors turn the texts into
-    features; the driver gets at most ``DIMS`` numbers, and one a metadata column, per document.  The sample has as many of
+    features; the driver gets at most ``DIMS`` features, and one a metadata column, per document.  The sample has as many of
     either label; the bias is corrected to the shares of all labels that are not held out.
     ``metadata`` names numeric columns that are features too; None stands for ``n_chars``, if the
     table has it.
@@ -201,9 +243,10 @@ def fit_quality_model(
 
     def compute(part: pa.RecordBatch) -> dict:
         more = [part.column(f"__meta{i}") for i in range(len(used))]
-        out = [row for x in feature_rows(part.column("text"), more) for row in x]
-        return {"features": [np.flatnonzero(r).astype(np.uint16).tobytes() for r in out],
-                "values": [r[r != 0].astype(np.float16).tobytes() for r in out]}
+        found = feature_rows(part.column("text"), more)
+        pairs = list(zip(found.bounds[:-1], found.bounds[1:], strict=True))
+        return {"features": [found.features[a:b].astype(np.uint16).tobytes() for a, b in pairs],
+                "values": [found.values[a:b].astype(np.float16).tobytes() for a, b in pairs]}
 
     fields = [StructField("features", BinaryType()), StructField("values", BinaryType())]
     found = with_computed(sample, "text", fields, compute, keep=["label"]).collect()
@@ -233,8 +276,7 @@ def score_quality(
 
     def compute(part: pa.RecordBatch) -> dict:
         more = [part.column(c) for c in used]
-        blocks = [model.scores(x) for x in feature_rows(part.column(text_col), more)]
-        scores = np.concatenate(blocks) if blocks else np.zeros(0)
+        scores = model.scores(feature_rows(part.column(text_col), more))
         return {"score": scores, "predicted": (scores >= 0.5).astype(np.int32)}
 
     fields = [StructField("score", DoubleType(), False), StructField("predicted", IntegerType(), False)]
